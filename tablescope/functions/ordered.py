@@ -14,6 +14,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut_lineage
 from .values import col, numeric_frame
 
 ROWS_PER_BUCKET = 2_000_000
@@ -189,3 +190,22 @@ def add_average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROW
             condition.append(F.col("_salt") == F.col("_salt_v"))
         ranked = ranked.join(table, condition).drop("_value", "_salt_v", "_salt")
     return ranked.drop("_spread")
+
+
+def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Distinct values of ``column`` numbered from 0 in ascending order.
+
+    Values are range-partitioned and written to a checkpoint, which fixes
+    their partitions; only one row count per partition reaches the driver.
+    """
+    ranged = df.select(col(column)).distinct().repartitionByRange(col(column)).sortWithinPartitions(col(column))
+    placed = cut_lineage(ranged).withColumn("_id", F.monotonically_increasing_id())
+    placed = placed.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
+    offsets, seen = [], 0
+    for r in counts:
+        offsets.append((r["_part"], seen))
+        seen += r["n"]
+    # one row per partition
+    table = df.sparkSession.createDataFrame(offsets, "_part int, _offset bigint")
+    return placed.join(F.broadcast(table), "_part").select(col(column), (F.col("_offset") + F.col("_at")).alias(name))
