@@ -1,0 +1,5 @@
+"""Empty on purpose: the analysis is defined on complete tables.
+
+Medians, ranks, clusters and outlier limits all need the whole table, and no
+operator of the inventory runs on a stream.
+"""
