@@ -29,8 +29,8 @@ def _coefficient(x: Column, y: Column) -> Column:
     a, b = F.when(both, x), F.when(both, y)
     spread = F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))
     r = F.covar_pop(a, b) / spread
-    constant = (F.min(a) == F.max(a)) | (F.min(b) == F.max(b))
-    return F.when(constant, F.lit(None).cast("double")).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    varied = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    return F.when(varied, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def _pair_table(numbers: DataFrame, entries: list[tuple[int, str, str, str, str]], method: str) -> DataFrame:

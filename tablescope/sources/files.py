@@ -32,9 +32,14 @@ def missing_to_null(df: DataFrame) -> DataFrame:
 
 
 def _fits(value: Column) -> dict[str, Column]:
-    """Per physical type, whether a non-missing text is a literal of it."""
+    """Per physical type, whether a text is a literal of it.
+
+    Missing cells fit every type but bigint: whole numbers with gaps are read
+    as double, as data-frame libraries without integer gaps do.
+    """
+    whole = value.rlike(INTEGER_PATTERN) & F.trim(value).try_cast("bigint").isNotNull()
     return {
-        "bigint": F.coalesce(value.rlike(INTEGER_PATTERN) & F.trim(value).try_cast("bigint").isNotNull(), F.lit(False)),
+        "bigint": F.coalesce(whole, F.lit(False)),
         "double": value.rlike(NUMBER_PATTERN) | value.rlike(INFINITY_PATTERN),
         "boolean": value.isin(*TRUE_TOKENS, *FALSE_TOKENS),
     }
