@@ -18,10 +18,10 @@ def _flatten(parents: DataFrame) -> DataFrame:
     current = cut_lineage(parents.select("node", F.col("parent").alias("root")))
     while True:
         above = current.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        jumped = lookup(current, "root", above, "node").select("node", "root", F.coalesce("next", "root").alias("next"))
+        jumped = lookup(current, "root", above, "node").select("node", F.coalesce("next", "root").alias("root"), (F.col("next") != F.col("root")).alias("moved"))
         jumped = cut_lineage(jumped)
-        current = jumped.select("node", F.col("next").alias("root"))
-        if jumped.filter(F.col("root") != F.col("next")).isEmpty():
+        current = jumped.select("node", "root")
+        if jumped.filter("moved").isEmpty():
             return current
 
 

@@ -12,9 +12,9 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import fixed_partitions
 from .values import col, numeric_frame
 
 ROWS_PER_BUCKET = 2_000_000
@@ -26,31 +26,34 @@ SALTS = 64
 
 
 class Splits:
-    """Sorted cut points and frequent values per variable (driver-side, bounded)."""
+    """Sorted cut points, frequent values and row counts per variable (bounded)."""
 
-    def __init__(self, cuts: dict[str, list[float]], hot: dict[str, list[float]]):
+    def __init__(self, cuts: dict[str, list[float]], hot: dict[str, list[float]], totals: dict[str, int]):
         self.cuts = cuts
         self.hot = hot
+        self.totals = totals
 
     def __bool__(self) -> bool:
         return any(self.cuts.values())
 
+    def of(self, c: str) -> "Splits":
+        return Splits({c: self.cuts.get(c, [])}, {c: self.hot.get(c, [])}, {c: self.totals.get(c, 0)})
+
     @property
     def rows(self) -> int:
         return sum(len(c) + 1 for c in self.cuts.values())
 
 
-def find_splits(
-    df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None, max_buckets: int = MAX_BUCKETS
-) -> Splits:
-    """Cut points by approximate quantiles; none when the table is small."""
-    if n_rows is None:
-        n_rows = df.agg(F.count(F.lit(1))).first()[0]
-    if n_rows <= rows_per_bucket:
-        return Splits({}, {})
-    buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(n_rows / rows_per_bucket)))
-    probabilities = [i / buckets for i in range(1, buckets)]
+def find_splits(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> Splits:
+    """Count the values of each column; cut large tables by approximate quantiles."""
     numbers = numeric_frame(df, cols)
+    counts = numbers.agg(*[F.count(col(c)).alias(f"_{i}") for i, c in enumerate(cols)]).first()
+    totals = dict(zip(cols, counts))
+    largest = max(totals.values())
+    if largest <= rows_per_bucket:
+        return Splits({}, {}, totals)
+    buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(largest / rows_per_bucket)))
+    probabilities = [i / buckets for i in range(1, buckets)]
     row = numbers.agg(
         *[F.percentile_approx(col(c), probabilities, max(10_000, 4 * buckets)).alias(c) for c in cols]
     ).first()
@@ -63,7 +66,7 @@ def find_splits(
             seen[p] = seen.get(p, 0) + 1
         cuts[c] = sorted(p for p in seen if math.isfinite(p))
         hot[c] = sorted(p for p, times in seen.items() if times >= repeats)
-    return Splits(cuts, hot)
+    return Splits(cuts, hot, totals)
 
 
 def mark_ranges(numbers: DataFrame, cuts: dict[str, list[float]], names: dict[str, str]) -> DataFrame:
@@ -81,61 +84,53 @@ def mark_ranges(numbers: DataFrame, cuts: dict[str, list[float]], names: dict[st
 
 
 def _long_values(df: DataFrame, cols: list[str], splits: Splits) -> DataFrame:
-    numbers = numeric_frame(df, cols)
+    """``(v, bucket, value)``: the values of all columns below each other."""
+    numbers = numeric_frame(df, cols).toDF(*[str(i) for i in range(len(cols))])
     if not splits:
-        return (
-            numbers.unpivot([], [col(c) for c in cols], "variable", "value")
-            .filter(F.col("value").isNotNull())
-            .withColumn("bucket", F.lit(0))
-        )
-    place = {c: f"_bucket_{i}" for i, c in enumerate(cols)}
-    marked = mark_ranges(numbers, splits.cuts, place)
-    cells = [F.struct(F.lit(c).alias("variable"), col(c).alias("value"), F.col(place[c]).alias("bucket")) for c in cols]
+        long = numbers.unpivot([], list(numbers.columns), "v", "value").filter(F.col("value").isNotNull())
+        return long.select(F.col("v").cast("int").alias("v"), F.lit(0).alias("bucket"), "value")
+    place = {str(i): f"_bucket_{i}" for i in range(len(cols))}
+    marked = mark_ranges(numbers, {str(i): splits.cuts.get(c, []) for i, c in enumerate(cols)}, place)
+    cells = [F.struct(F.lit(i).alias("v"), F.col(place[str(i)]).alias("bucket"), F.col(str(i)).alias("value")) for i in range(len(cols))]
     return marked.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
 
 
-def value_counts(df: DataFrame, cols: list[str], splits: Splits | None = None) -> DataFrame:
-    """``(variable, bucket, value, n)``: one row per distinct value."""
-    return _long_values(df, cols, splits or Splits({}, {})).groupBy("variable", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
+def _per_column(values: list) -> Column:
+    """Constant of the column that a long row belongs to."""
+    return F.element_at(F.array(*[F.lit(x) for x in values]), F.col("v") + 1)
 
 
-def rank_table(
-    df: DataFrame,
-    cols: list[str],
-    splits: Splits | None = None,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    n_rows: int | None = None,
-) -> DataFrame:
-    """``(variable, value, n, before, total, avg_rank)`` for every distinct value.
+def value_counts(df: DataFrame, cols: list[str], splits: Splits) -> DataFrame:
+    """``(v, bucket, value, n)``: one row per distinct value."""
+    return _long_values(df, cols, splits).groupBy("v", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    ``before`` counts the smaller rows, ``avg_rank`` is the tie-averaged rank.
+
+def rank_table(df: DataFrame, cols: list[str], splits: Splits | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """``(v, value, n, before, total, avg_rank)`` for every distinct value.
+
+    ``v`` is the position of the column in ``cols``, ``before`` counts the
+    smaller rows and ``avg_rank`` is the tie-averaged rank.
     """
     if splits is None:
-        splits = find_splits(df, cols, rows_per_bucket, n_rows)
+        splits = find_splits(df, cols, rows_per_bucket)
     counts = value_counts(df, cols, splits)
-    ordered = Window.partitionBy("variable", "bucket").orderBy("value")
+    ordered = Window.partitionBy("v", "bucket").orderBy("value")
     running = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     if not splits:
-        ranked = counts.select(
-            "variable", "value", "n", running.alias("before"),
-            F.sum("n").over(Window.partitionBy("variable", "bucket")).alias("total"),
-        )
+        ranked = counts.select("v", "value", "n", running.alias("before"))
     else:
-        totals = counts.groupBy("variable", "bucket").agg(F.sum("n").alias("in_bucket"))
-        per_variable = Window.partitionBy("variable")
-        offsets = totals.select(
-            "variable", "bucket",
-            (F.sum("in_bucket").over(per_variable.orderBy("bucket")) - F.col("in_bucket")).alias("offset"),
-            F.sum("in_bucket").over(per_variable).alias("total"),
-        )
+        totals = counts.groupBy("v", "bucket").agg(F.sum("n").alias("in_bucket"))
+        offset = F.sum("in_bucket").over(Window.partitionBy("v").orderBy("bucket")) - F.col("in_bucket")
+        offsets = totals.select("v", "bucket", offset.alias("offset"))
         if splits.rows <= MAX_BROADCAST_ROWS:  # at most one row per cut point
             offsets = F.broadcast(offsets)
         ranked = (
-            counts.select("variable", "bucket", "value", "n", running.alias("inside"))
-            .join(offsets, ["variable", "bucket"])
-            .select("variable", "value", "n", (F.col("offset") + F.col("inside")).alias("before"), "total")
+            counts.select("v", "bucket", "value", "n", running.alias("inside"))
+            .join(offsets, ["v", "bucket"])
+            .select("v", "value", "n", (F.col("offset") + F.col("inside")).alias("before"))
         )
-    return ranked.withColumn("avg_rank", F.col("before") + (F.col("n") + 1) / 2)
+    totals = _per_column([int(splits.totals[c]) for c in cols]).cast("bigint")
+    return ranked.withColumns({"total": totals, "avg_rank": F.col("before") + (F.col("n") + 1) / 2})
 
 
 def quantile_columns(probabilities: dict[str, float]) -> list:
@@ -153,19 +148,20 @@ def quantile_columns(probabilities: dict[str, float]) -> list:
 
 
 def order_statistics(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> DataFrame:
-    """Quantiles and mode per variable: ``(variable, <names>, mode)``."""
+    """Quantiles and mode (smallest on ties) per column: ``(variable, <names>, mode)``."""
     smallest_most_frequent = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
-    return rank_table(df, cols, **kwargs).groupBy("variable").agg(*quantile_columns(probabilities), smallest_most_frequent)
+    table = rank_table(df, cols, **kwargs).groupBy("v").agg(*quantile_columns(probabilities), smallest_most_frequent)
+    return table.withColumn("variable", _per_column(cols)).drop("v")
 
 
 def quantile_parameters(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> dict[str, dict[str, float]]:
     """The quantiles as plain numbers; one row per column reaches the driver."""
-    table = rank_table(df, cols, **kwargs).groupBy("variable").agg(*quantile_columns(probabilities))
-    found = {r["variable"]: {p: r[p] for p in probabilities} for r in table.collect()}
+    table = rank_table(df, cols, **kwargs).groupBy("v").agg(*quantile_columns(probabilities))
+    found = {cols[r["v"]]: {p: r[p] for p in probabilities} for r in table.collect()}
     return {c: found.get(c, {p: None for p in probabilities}) for c in cols}
 
 
-def add_average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, n_rows: int | None = None) -> DataFrame:
+def add_average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Rows with ``rank_<i>`` for each of ``cols`` (no missing values expected).
 
     One equi-join on the value per column.  Frequent values, known from the
@@ -173,13 +169,13 @@ def add_average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROW
     often on the one-row-per-value side.
     """
     ranked = numeric_frame(df, cols)
-    splits = find_splits(ranked, cols, rows_per_bucket, n_rows)
+    splits = find_splits(ranked, cols, rows_per_bucket)
     base = ranked
     salted = any(splits.hot.get(c) for c in cols)
     if salted:
         ranked = ranked.withColumn("_spread", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     for i, c in enumerate(cols):
-        table = rank_table(base.select(col(c)), [c], Splits({c: splits.cuts.get(c, [])}, {}))
+        table = rank_table(base.select(col(c)), [c], splits.of(c))
         table = table.select(F.col("value").alias("_value"), F.col("avg_rank").alias(f"rank_{i}"))
         condition = [col(c) == F.col("_value")]
         hot = splits.hot.get(c)
@@ -199,7 +195,7 @@ def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:
     their partitions; only one row count per partition reaches the driver.
     """
     ranged = df.select(col(column)).distinct().repartitionByRange(col(column)).sortWithinPartitions(col(column))
-    placed = cut_lineage(ranged).withColumn("_id", F.monotonically_increasing_id())
+    placed = fixed_partitions(ranged).withColumn("_id", F.monotonically_increasing_id())
     placed = placed.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)})
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
     offsets, seen = [], 0

@@ -12,6 +12,7 @@ smaller parts of them.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -19,13 +20,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.graph import connected_components
 from ..functions.ordered import dense_index
-from ..functions.skew import SMALL_ROWS, hot_key_hashes, is_hot, salted_join
+from ..functions.skew import SALTS, hot_key_hashes, is_hot, salted_join
 from ..functions.values import col
 from ..session import cut_lineage
 from .sampling import EXACT_ROWS, bounded_sample, vectors_of
 
 DEFAULT_EPS = 0.5
 MAX_HALVINGS = 40
+STEPS_PER_ROW = 64  # comparisons of points per row of the table
+MAX_STEPS = 1e8  # and for one pair of cells
 
 
 # ------------------------------------------------------------------ k-distance
@@ -119,66 +122,78 @@ def _point_box(d: int) -> Column:
     return F.struct(*[F.col(f"x{i}").alias(f"{n}{i}") for i in range(d) for n in ("lo", "hi")])
 
 
-def _touching_boxes(pairs: DataFrame, points: DataFrame, d: int, eps: float, hot: list[int]) -> DataFrame:
+def _part(d: int, halvings: int) -> Column:
+    """Place of a point inside its cell after so many halvings of every axis."""
+    if halvings == 0:
+        return F.array().cast("array<bigint>")
+    return F.array(*[F.floor((F.col(f"u{i}") - F.floor(f"u{i}")) * F.lit(float(2**halvings))).cast("bigint") for i in range(d)])
+
+
+def _touching_boxes(pairs: DataFrame, points: DataFrame, n_rows: int, d: int, eps: float, hot: list[int]) -> DataFrame:
     """Pairs ``(a, b)`` of full cells that hold points within ``eps`` of each other.
 
-    ``pairs`` has ``a, b`` (cells) and ``a_box, b_box``.  Boxes that lie wholly
-    within ``eps`` connect their cells, boxes farther apart are dropped, and
-    the rest is halved on every axis and looked at again.
+    ``pairs`` has the cells ``a, b``, their boxes and row counts.  Boxes that
+    lie wholly within ``eps`` connect their cells, boxes farther apart are
+    dropped, and the rest is halved on every axis and looked at again, until
+    comparing the points left costs no more than a few steps per row.
     """
-    connected = pairs.filter(_reach("a_box", "b_box", d) <= eps).select("a", "b")
-    open_pairs = cut_lineage(
-        pairs.filter(_reach("a_box", "b_box", d) > eps).select("a", "b", F.array().cast("array<bigint>").alias("a_part"), F.array().cast("array<bigint>").alias("b_part"))
+    whole = _part(d, 0)
+    judged = cut_lineage(
+        pairs.select("a", "b", whole.alias("a_part"), whole.alias("b_part"), "a_n", "b_n", (_reach("a_box", "b_box", d) <= eps).alias("joined"))
     )
-    found = [connected]
-    for level in range(1, MAX_HALVINGS + 1):
-        if open_pairs.isEmpty():
+    found = []
+    for level in range(MAX_HALVINGS + 1):
+        done = judged.filter("joined").select("a", "b").distinct()
+        found.append(done)
+        still = judged.filter(~F.col("joined")).drop("joined")
+        if level:  # one part of a pair may have settled it
+            still = cut_lineage(still.join(done, ["a", "b"], "left_anti"))
+        steps = F.col("a_n").cast("double") * F.col("b_n")
+        cost = still.agg(F.sum(steps).alias("all"), F.max(steps).alias("one")).first()
+        if cost["all"] is None:
             break
-        used = open_pairs.select(F.col("a").alias("cell"), F.col("a_part").alias("parent")).unionByName(
-            open_pairs.select(F.col("b").alias("cell"), F.col("b_part").alias("parent"))
-        )
-        part_of = lambda n: F.array(*[F.floor((F.col(f"u{i}") - F.floor(f"u{i}")) * F.lit(float(2**n))).cast("bigint") for i in range(d)])
-        inside = points.withColumn("parent", part_of(level - 1) if level > 1 else F.array().cast("array<bigint>"))
-        inside = inside.withColumn("slot", F.struct("cell", "parent"))
-        wanted = used.distinct().select(F.struct("cell", "parent").alias("slot"))
-        # the hot list names cells; a slot of a hot cell is spread the same way
-        inside = _semi(inside, wanted, hot)
-        boxes = inside.groupBy("cell", "parent", part_of(level).alias("part")).agg(*_box(d)).select("cell", "parent", "part", _box_struct(d))
-        boxes = cut_lineage(boxes)
-        sides = {s: boxes.select(F.col("cell").alias(s), F.col("parent").alias(f"{s}_part"), F.col("part").alias(f"{s}_new"), F.col("box").alias(f"{s}_box")) for s in "ab"}
+        side = lambda s: still.select(F.struct(F.col(s).alias("cell"), F.col(f"{s}_part").alias("part")).alias("slot"))
+        wanted = side("a").unionByName(side("b")).distinct()
+        inside = _semi(points.withColumn("slot", F.struct("cell", _part(d, level).alias("part"))), wanted, hot)
+        if (cost["all"] <= STEPS_PER_ROW * n_rows and cost["one"] <= MAX_STEPS) or level == MAX_HALVINGS:
+            found.append(_compare_points(still, inside, d, eps))
+            break
+        boxes = inside.groupBy("slot", _part(d, level + 1).alias("new")).agg(F.count(F.lit(1)).alias("n"), *_box(d))
+        boxes = cut_lineage(boxes.select("slot", "new", "n", _box_struct(d)))
+        sides = {
+            s: boxes.select(
+                F.col("slot.cell").alias(s), F.col("slot.part").alias(f"{s}_part"), F.col("new").alias(f"{s}_new"),
+                F.col("n").alias(f"{s}_n"), F.col("box").alias(f"{s}_box"),
+            )
+            for s in "ab"
+        }
         # at most 2**d parts on either side of a pair
-        finer = open_pairs.join(sides["a"], ["a", "a_part"]).join(sides["b"], ["b", "b_part"]).filter(_gap("a_box", "b_box", d) <= eps)
-        finer = cut_lineage(finer.withColumn("joined", _reach("a_box", "b_box", d) <= eps).select("a", "b", "a_new", "b_new", "joined"))
-        done = finer.filter("joined").select("a", "b").distinct()
-        found.append(done)
-        still = finer.filter(~F.col("joined")).join(done, ["a", "b"], "left_anti")
-        open_pairs = cut_lineage(still.select("a", "b", F.col("a_new").alias("a_part"), F.col("b_new").alias("b_part")))
-    else:
-        if not open_pairs.isEmpty():
-            found.append(_compare_points(open_pairs, points, d, eps))
-    result = found[0]
-    for f in found[1:]:
-        result = result.unionByName(f)
-    return result
+        finer = still.select("a", "b", "a_part", "b_part").join(sides["a"], ["a", "a_part"]).join(sides["b"], ["b", "b_part"])
+        finer = finer.filter(_gap("a_box", "b_box", d) <= eps)
+        judged = cut_lineage(
+            finer.select(
+                "a", "b", F.col("a_new").alias("a_part"), F.col("b_new").alias("b_part"), "a_n", "b_n", (_reach("a_box", "b_box", d) <= eps).alias("joined")
+            )
+        )
+    return reduce(DataFrame.unionByName, found)
 
 
 def _semi(inside: DataFrame, wanted: DataFrame, hot: list[int]) -> DataFrame:
-    """Points whose slot is wanted, hot cells being spread over salts."""
+    """Points whose slot is wanted; those of hot cells are spread over salts."""
     if not hot:
         return inside.join(wanted, "slot", "left_semi")
-    salt = F.when(is_hot(F.col("slot.cell"), hot), F.pmod(F.xxhash64("id"), F.lit(64)).cast("int")).otherwise(0)
-    every = F.when(is_hot(F.col("slot.cell"), hot), F.sequence(F.lit(0), F.lit(63))).otherwise(F.array(F.lit(0)))
+    is_hot_slot = is_hot(F.col("slot.cell"), hot)
+    salt = F.when(is_hot_slot, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(0)
+    every = F.when(is_hot_slot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     return inside.withColumn("_salt", salt).join(wanted.withColumn("_salt", F.explode(every)), ["slot", "_salt"], "left_semi").drop("_salt")
 
 
-def _compare_points(open_pairs: DataFrame, points: DataFrame, d: int, eps: float) -> DataFrame:
-    """Last resort for parts 2**-40 of a cell wide: compare their distinct positions."""
-    n = MAX_HALVINGS
-    part = F.array(*[F.floor((F.col(f"u{i}") - F.floor(f"u{i}")) * F.lit(float(2**n))).cast("bigint") for i in range(d)])
-    spots = points.select("cell", part.alias("part"), _point_box(d).alias("box")).distinct()
-    a = spots.select(F.col("cell").alias("a"), F.col("part").alias("a_part"), F.col("box").alias("a_box"))
-    b = spots.select(F.col("cell").alias("b"), F.col("part").alias("b_part"), F.col("box").alias("b_box"))
-    return open_pairs.join(a, ["a", "a_part"]).join(b, ["b", "b_part"]).filter(_reach("a_box", "b_box", d) <= eps).select("a", "b").distinct()
+def _compare_points(still: DataFrame, inside: DataFrame, d: int, eps: float) -> DataFrame:
+    """Settle the open pairs by the distinct positions of their points."""
+    spots = inside.select("slot", _point_box(d).alias("box")).distinct()
+    side = lambda s: spots.select(F.col("slot.cell").alias(s), F.col("slot.part").alias(f"{s}_part"), F.col("box").alias(f"{s}_box"))
+    met = still.select("a", "b", "a_part", "b_part").join(side("a"), ["a", "a_part"]).join(side("b"), ["b", "b_part"])
+    return met.filter(_reach("a_box", "b_box", d) <= eps).select("a", "b").distinct()
 
 
 def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples: int = 5) -> DataFrame:
@@ -199,7 +214,7 @@ def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples
     axes = list(range(min(d, 3)))
     coarse = [F.floor(F.element_at("cell", i + 1) / F.lit(steps)).cast("bigint") for i in axes]
     right = cells.select(F.array(*coarse).alias("coarse"), F.col("cell").alias("b"), F.col("n").alias("b_n"), F.col("first_id").alias("b_id"), F.col("full").alias("b_full"), F.col("box").alias("b_box"))
-    left = cells.select(F.col("cell").alias("a"), F.col("first_id").alias("a_id"), F.col("full").alias("a_full"), F.col("box").alias("a_box"), *[c.alias(f"k{i}") for i, c in zip(axes, coarse)])
+    left = cells.select(F.col("cell").alias("a"), F.col("n").alias("a_n"), F.col("full").alias("a_full"), F.col("box").alias("a_box"), *[c.alias(f"k{i}") for i, c in zip(axes, coarse)])
     for i in axes:
         left = left.withColumn(f"k{i}", F.explode(F.array(*[F.col(f"k{i}") + o for o in (-1, 0, 1)])))
     left = left.withColumn("coarse", F.array(*[F.col(f"k{i}") for i in axes])).drop(*[f"k{i}" for i in axes])
@@ -207,7 +222,8 @@ def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples
 
     # edges between full cells
     full_pairs = near.filter(F.col("a_full") & F.col("b_full") & (F.col("a") < F.col("b")))
-    touching = _touching_boxes(full_pairs.select("a", "b", "a_box", "b_box"), points, d, eps, hot)
+    n_rows = cells.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    touching = _touching_boxes(full_pairs.select("a", "b", "a_box", "b_box", "a_n", "b_n"), points, n_rows, d, eps, hot)
     ids = cells.filter("full").select("cell", "first_id")
     full_edges = (
         touching.join(ids.select(F.col("cell").alias("a"), F.col("first_id").alias("ia")), "a")

@@ -64,10 +64,9 @@ def sample_kurtosis(x: Column) -> Column:
 
 def moment_columns(x: Column) -> list[Column]:
     """Every statistic that one pass of mergeable aggregates can give."""
-    # sample variance of one value: NULL, without a division by n - 1 = 0
     return [
         F.avg(x).alias("media"),
-        F.stddev_samp(x).alias("desviacion_estandar"),
+        F.sqrt(F.var_samp(x)).alias("desviacion_estandar"),
         F.var_samp(x).alias("varianza"),
         F.min(x).alias("minimo"),
         F.max(x).alias("maximo"),

@@ -26,7 +26,7 @@ def medians(df: DataFrame, cols: list[str], **ordering) -> dict[str, float]:
     gaps = [c for i, c in enumerate(cols) if counts[f"_{i}"] < counts["n"]]
     if not gaps:
         return {}
-    found = quantile_parameters(numbers, gaps, {"median": 0.5}, n_rows=counts["n"], **ordering)
+    found = quantile_parameters(numbers, gaps, {"median": 0.5}, **ordering)
     return {c: found[c]["median"] for c in gaps}
 
 

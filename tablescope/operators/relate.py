@@ -86,7 +86,7 @@ def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, rows_per_bu
         ranked = add_average_ranks(complete, used, rows_per_bucket)
         frames.append(_pair_table(ranked, [(order, a, b, "rank_0", f"rank_{len(used) - 1}")], "spearman"))
     if whole:
-        ranked = add_average_ranks(numbers.select(*[col(c) for c in full]), full, rows_per_bucket, counts["n"])
+        ranked = add_average_ranks(numbers.select(*[col(c) for c in full]), full, rows_per_bucket)
         frames.append(_pair_table(ranked, whole, "spearman"))
     return _union(frames)
 
@@ -154,7 +154,7 @@ def _kendall_pair(df: DataFrame, order: int, a: str, b: str, rows_per_bucket: in
     size = counts.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("n")).first()
     if size["distinct"] > KENDALL_RANGES * rows_per_bucket:
         raise TablescopeError(f"kendall: {size['distinct']} distinct pairs of '{a}' and '{b}' are too many")
-    splits = find_splits(counts, ["x", "y"], rows_per_bucket, size["distinct"], KENDALL_RANGES)
+    splits = find_splits(counts, ["x", "y"], rows_per_bucket, KENDALL_RANGES)
 
     # a frequent value v becomes a range of its own, all of whose pairs are ties
     alone = {c: [v for v in splits.hot.get(c, []) if np.isfinite(v)] for c in ("x", "y")}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors and ends the lineage."""
+    """The frame written to the shared folder and read back.
+
+    Later jobs start from the files, also after the loss of an executor, and
+    the planner sees their true size, so joins with small tables broadcast.
+    """
+    path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fixed_partitions(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: rows keep their partition and order in every job."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
