@@ -26,13 +26,13 @@ MAX_ITERATIONS = 300
 
 @dataclass
 class Clustering:
-    """Row table ``(key, label, pc1, pc2)`` and the figures of the run."""
+    """Row table ``(key, label, pc1, pc2)``, segment sizes and the figures of the run."""
 
     algorithm: str
     rows: DataFrame
     features: list[str]
     n_clusters: int
-    sizes: dict[int, int]
+    sizes: DataFrame
     silhouette: float | None
     silhouette_rows: int
     params: dict = field(default_factory=dict)
@@ -143,7 +143,8 @@ def silhouettes(
     def score(batches):
         points, groups = shared.value
         squares = (points * points).sum(axis=1)
-        members = {c: (code[:, None] == np.arange(code.max() + 1)).astype(float) for c, code in groups.items()}
+        sizes = {c: np.bincount(code[code >= 0]).astype(float) for c, code in groups.items()}
+        members = {c: np.flatnonzero(code >= 0)[np.argsort(code[code >= 0], kind="stable")] for c, code in groups.items()}
         totals = {c: 0.0 for c in groups}
         step = max(1, 8_000_000 // len(points))
         for batch in batches:
@@ -156,11 +157,12 @@ def silhouettes(
                 for c, code in groups.items():
                     mine = code[rows]
                     use = mine >= 0
-                    sums, sizes = (distance @ members[c])[use], members[c].sum(axis=0)
+                    starts = np.concatenate([[0], np.cumsum(sizes[c])[:-1]]).astype(int)
+                    sums = np.add.reduceat(distance[use][:, members[c]], starts, axis=1)
                     own = (np.arange(use.sum()), mine[use])
-                    size = sizes[mine[use]]
+                    size = sizes[c][mine[use]]
                     within = sums[own] / np.maximum(size - 1, 1)
-                    means = sums / sizes
+                    means = sums / sizes[c]
                     means[own] = np.inf
                     other = means.min(axis=1)
                     top = np.maximum(within, other)
@@ -222,7 +224,7 @@ def run_clustering(scaled: DataFrame, cols: list[str], key: str, config: Analysi
         raise UnknownMethodError(f"Unknown clustering algorithm '{name}'; options: {', '.join(ALGORITHMS)}.")
     labelled, params = ALGORITHMS[name](scaled, cols, key, config)
     rows = project_2d(labelled, cols)
-    # one row per cluster
-    sizes = {int(r["label"]): int(r["size"]) for r in cluster_sizes(labelled).collect()}
+    sizes = cluster_sizes(labelled)
+    n_clusters = segment_overview(sizes).first()["n_clusters"]
     score, used = silhouettes(labelled, cols, key, ["label"], seed=config.random_state)["label"]
-    return Clustering(name, rows, list(cols), len([s for s in sizes if s != -1]), sizes, score, used, params)
+    return Clustering(name, rows, list(cols), n_clusters, sizes, score, used, params)

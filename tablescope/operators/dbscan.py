@@ -26,6 +26,8 @@ from ..session import cut_lineage
 from .sampling import EXACT_ROWS, bounded_sample, vectors_of
 
 DEFAULT_EPS = 0.5
+CURVE_ROWS = 2_000
+COARSE_AXES = 4
 MAX_HALVINGS = 40
 STEPS_PER_ROW = 64  # comparisons of points per row of the table
 MAX_STEPS = 1e8  # and for one pair of cells
@@ -36,9 +38,9 @@ def k_distances(scaled: DataFrame, cols: list[str], key: str, k: int, exact_rows
     """``(key, k_distance)``: distance to the k-th nearest row, itself included.
 
     Exact for every row up to ``exact_rows`` rows; above, for a hash sample of
-    that size, each sampled row still being compared with all rows.
+    ``CURVE_ROWS`` rows, each of them still being compared with all rows.
     """
-    queries, _ = bounded_sample(scaled, key, exact_rows, seed)
+    queries, _ = bounded_sample(scaled, key, exact_rows, seed, min(exact_rows, CURVE_ROWS))
     ids, points = vectors_of(queries, cols, key)
     shared = scaled.sparkSession.sparkContext.broadcast(points)
 
@@ -209,9 +211,10 @@ def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples
     cells = cut_lineage(cells.withColumn("full", (F.col("n") >= min_samples) & (_reach("box", "box", d) <= eps)))
     hot = hot_key_hashes(cells, "cell", "n")
 
-    # neighbouring cells: equal coarse cells on up to three axes, then the true gap
+    # neighbouring cells: equal coarse cells on the widest axes, then the true gap
     steps = math.isqrt(d - 1) + 2 if d > 1 else 2  # ceil(sqrt(d)) + 1
-    axes = list(range(min(d, 3)))
+    widths = cells.agg(*[(F.max(F.element_at("cell", i + 1)) - F.min(F.element_at("cell", i + 1))).alias(f"w{i}") for i in range(d)]).first()
+    axes = sorted(sorted(range(d), key=lambda i: -(widths[i] or 0))[:COARSE_AXES])
     coarse = [F.floor(F.element_at("cell", i + 1) / F.lit(steps)).cast("bigint") for i in axes]
     right = cells.select(F.array(*coarse).alias("coarse"), F.col("cell").alias("b"), F.col("n").alias("b_n"), F.col("first_id").alias("b_id"), F.col("full").alias("b_full"), F.col("box").alias("b_box"))
     left = cells.select(F.col("cell").alias("a"), F.col("n").alias("a_n"), F.col("full").alias("a_full"), F.col("box").alias("a_box"), *[c.alias(f"k{i}") for i, c in zip(axes, coarse)])

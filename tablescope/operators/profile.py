@@ -64,7 +64,7 @@ def sample_values(histogram: DataFrame, limit: int) -> DataFrame:
     ``limit`` rows per column.
     """
     in_order = Window.partitionBy("ord").orderBy("first_id", "value")
-    firsts = histogram.select("ord", "value", "first_id").withColumn("place", F.row_number().over(in_order)).filter(F.col("place") <= limit)
+    firsts = histogram.filter(F.col("n") > 0).withColumn("place", F.row_number().over(in_order)).filter(F.col("place") <= limit)
     ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
     return firsts.groupBy("ord").agg(ordered.alias("v")).select("ord", F.col("v.value").alias("sample_values"))
 
@@ -95,9 +95,11 @@ def column_profile(df: DataFrame, cols: list[str] | None = None, key: str | None
     histogram = value_histogram(df, cols, row_key)
     normal = F.lower(strip(F.col("value")))
     seen = reduce(Column.__add__, [F.max((normal == t).cast("int")) for t in BOOLEAN_TOKENS])
+    # uses the same columns of the histogram as the samples do, so both read one shuffle
     values = histogram.groupBy("ord").agg(
-        F.count(F.lit(1)).alias("unique_count"), F.bool_and(normal.isin(*BOOLEAN_TOKENS)).alias("only_tokens"), seen.alias("tokens")
-    )
+        F.count(F.lit(1)).alias("unique_count"), F.bool_and(normal.isin(*BOOLEAN_TOKENS)).alias("only_tokens"), seen.alias("tokens"),
+        F.sum("n").alias("present"), F.min("first_id").alias("first_id"),
+    )
     texts = [(i, c) for i, c in enumerate(cols) if isinstance(types[c], T.StringType)]
     # every joined table holds one row per column of the data set
     table = gaps.join(F.broadcast(values), "ord", "left").join(F.broadcast(sample_values(histogram, max_samples)), "ord", "left")
@@ -109,7 +111,7 @@ def column_profile(df: DataFrame, cols: list[str] | None = None, key: str | None
         c: "boolean" if isinstance(t, T.BooleanType) else "datetime" if is_datetime(t) else "numeric" if is_number(t) else "string" if c in flat else "nested"
         for c, t in types.items()
     }
-    present = F.col("n_rows") - F.col("missing_count")
+    present = F.when(F.col("first_id").isNotNull(), F.col("present")).otherwise(0)
     kind = F.element_at(F.array(*[F.lit(family[c]) for c in cols]), F.col("ord") + 1)
     logical = (
         F.when((present == 0) | (kind == "nested"), "unknown")

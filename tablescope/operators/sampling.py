@@ -11,12 +11,12 @@ EXACT_ROWS = 20_000
 HASH_RANGE = 2**31
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int, seed: int) -> tuple[DataFrame, int]:
-    """All rows when there are at most ``rows``, else about ``rows`` of them by key hash."""
+def bounded_sample(df: DataFrame, key: str, exact_rows: int, seed: int, sample_rows: int | None = None) -> tuple[DataFrame, int]:
+    """All rows up to ``exact_rows``; above, about ``sample_rows`` of them by key hash."""
     n_rows = df.agg(F.count(F.lit(1))).first()[0]
-    if n_rows <= rows:
+    if n_rows <= exact_rows:
         return df, n_rows
-    share = int(HASH_RANGE * (rows / n_rows))
+    share = int(HASH_RANGE * ((sample_rows or exact_rows) / n_rows))
     return df.filter(F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(HASH_RANGE)) < share), n_rows
 
 

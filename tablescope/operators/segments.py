@@ -91,10 +91,10 @@ def segment_profiles(rows: DataFrame, numeric: list[str], categorical: list[str]
     """
     booleans = [c for c in categorical if isinstance(rows.schema[c].dataType, T.BooleanType)]
     sizes = rows.groupBy("label").agg(F.count(F.lit(1)).alias("tamano"))
-    total = Window.partitionBy()  # one row per segment
-    sizes = sizes.select(
-        "label", "tamano", (F.col("tamano") / F.sum("tamano").over(total) * 100).alias("porcentaje"), F.max("label").over(total).alias("highest")
-    ).filter(F.col("highest") != -1)
+    # scalar subqueries: one number each, computed once
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    highest = rows.agg(F.max("label")).scalar()
+    sizes = sizes.filter(highest != -1).select("label", "tamano", (F.col("tamano") / total * 100).alias("porcentaje"))
     ordered = lambda df, names: F.array_sort(F.collect_list(F.struct("ord", *names)))
     traits = segment_traits(rows, numeric)
     traits = traits.groupBy("label").agg(ordered(traits, ["variable", "media", "media_general", "diferencia", "lectura"]).alias("rasgos"))
@@ -119,11 +119,9 @@ def segment_table(rows: DataFrame, numeric: list[str], categorical: list[str]) -
     wide = numbers.rollup("label").agg(
         F.grouping_id().alias("g"), F.count(F.lit(1)).alias("n"), *[text.exact_round(F.avg(col(c)), 2).alias(f"_m{i}") for i, c in enumerate(numeric)]
     )
-    # one row per segment, plus the grand total
-    total = Window.partitionBy("g")
-    rows_in_all = F.sum("n").over(total)
     first = segment_categories(rows, categorical).filter(F.col("ord") == 1).drop("ord")
-    joined = wide.withColumn("share", F.col("n") / rows_in_all * 100).join(first, "label", "left")
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    joined = wide.withColumn("share", F.col("n") / total * 100).join(first, "label", "left")
     is_boolean = F.col("variable").isin(booleans) if booleans else F.lit(False)
     dominant = F.concat(
         text.capitalised(F.col("variable")), F.lit(": "), yes_no(F.col("categoria"), is_boolean), F.lit(" ("), text.fixed(F.col("porcentaje"), 0), F.lit("%)")
