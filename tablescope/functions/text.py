@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import Column, functions as F
 
 # ---------------------------------------------------------------- fixed values
@@ -78,6 +80,17 @@ def readable_number(x: Column) -> Column:
     return F.when(F.abs(x) >= 1000, fixed(x, 0, grouped=True)).otherwise(fixed(x, 2, grouped=True))
 
 
+def filled(template: str, **values: Column) -> Column:
+    """A sentence template with its {places} filled by columns."""
+    parts = []
+    for literal, place, _, _ in Formatter().parse(template):
+        if literal:
+            parts.append(F.lit(literal))
+        if place is not None:
+            parts.append(values[place].cast("string"))
+    return F.concat(*parts)
+
+
 def spaced(name: Column) -> Column:
     return F.replace(name, F.lit("_"), F.lit(" "))
 

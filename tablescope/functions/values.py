@@ -37,15 +37,17 @@ def text_to_double(text: Column) -> Column:
 
 
 def as_double(df: DataFrame, name: str, finite: bool = False) -> Column:
-    """Column as double with NaN (and, if asked, infinities) turned into NULL."""
+    """Column as double with NaN (and, if asked, infinities) turned into NULL.
+
+    Adding zero turns -0.0 into 0.0, so that equal values are also equal to
+    hash sets and binary searches, which tell the two apart.
+    """
     dtype = df.schema[name].dataType
     source = col(name)
     value = text_to_double(source) if isinstance(dtype, T.StringType) else source.cast("double")
     if isinstance(dtype, (T.FloatType, T.DoubleType, T.StringType)):
-        if finite:
-            value = F.when(F.abs(value) < F.lit(float("inf")), value)
-        else:
-            value = F.when(~F.isnan(value), value)
+        present = F.abs(value) < F.lit(float("inf")) if finite else ~F.isnan(value)
+        value = F.when(present, value + F.lit(0.0))
     return value
 
 

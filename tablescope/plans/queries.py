@@ -152,7 +152,7 @@ def missing_tokens(spark, folder):
         F.when(nation == 7, "NaN").when(nation == 8, "-nan").otherwise(nation.cast("string")).alias("nacion"),
     )
     cleaned = files.missing_to_null(spelled)
-    return _typed(files.cast_inferred(cleaned, files.infer_types(cleaned)), ["c_custkey", "segmento", "nacion"])
+    return _typed(files.cast_inferred(cleaned, files.examine(cleaned)[0]), ["c_custkey", "segmento", "nacion"])
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import codecs
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException, PySparkException
@@ -18,6 +19,9 @@ MISSING_TOKENS = (
 )
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
+UNDECODED = "\ufffd"  # what the reader puts in place of bytes it cannot decode
+# Python codec names and the names the reader knows them by.
+CHARSETS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII", "utf-8": "UTF-8", "utf-16": "UTF-16", "utf-16-be": "UTF-16BE", "utf-16-le": "UTF-16LE"}
 # -----------------------------------------------------------------------------
 
 
@@ -45,21 +49,28 @@ def _fits(value: Column) -> dict[str, Column]:
     }
 
 
-def infer_types(df: DataFrame) -> dict[str, str]:
-    """Narrowest type that holds every value: bigint, double, boolean or string.
+def examine(df: DataFrame) -> tuple[dict[str, str], bool]:
+    """Column types that hold every value, and whether bytes failed to decode.
 
-    One aggregate over the table; a column without any value counts as double.
+    One aggregate over the table: the narrowest of bigint, double, boolean and
+    string per column; a column without any value counts as double.
     """
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not texts:
-        return {}
-    cells = [F.struct(*[F.bool_and(fit).alias(t) for t, fit in _fits(col(c)).items()], F.count(col(c)).alias("n")).alias(f"_{i}") for i, c in enumerate(texts)]
+        return {}, False
+    cells = [
+        F.struct(
+            *[F.bool_and(fit).alias(t) for t, fit in _fits(col(c)).items()],
+            F.count(col(c)).alias("n"),
+            F.bool_or(F.contains(col(c), F.lit(UNDECODED))).alias("damaged"),
+        ).alias(f"_{i}")
+        for i, c in enumerate(texts)
+    ]
     row = df.agg(*cells).first()
-    types = {}
-    for i, c in enumerate(texts):
-        found = row[i]
-        types[c] = "double" if found["n"] == 0 else next((t for t in ("bigint", "double", "boolean") if found[t]), "string")
-    return types
+    types = {
+        c: "double" if row[i]["n"] == 0 else next((t for t in ("bigint", "double", "boolean") if row[i][t]), "string") for i, c in enumerate(texts)
+    }
+    return types, any(row[i]["damaged"] for i in range(len(texts)))
 
 
 def cast_inferred(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -98,6 +109,8 @@ def load_dataset(spark: SparkSession, source: str, schema: T.StructType | str |
         raise UnsupportedFileFormatError(f"Unsupported format '{suffix}'; use one of: {supported}.")
     settings = {"header": True, "sep": SEPARATORS[suffix], "multiLine": True, "quote": '"', "escape": '"', "inferSchema": False}
     settings.update(options)
+    if "encoding" in settings:
+        settings["encoding"] = CHARSETS.get(codecs.lookup(settings["encoding"]).name, settings["encoding"])
     reader = spark.read.options(**settings)
     if schema is not None:
         reader = reader.schema(schema)
@@ -105,10 +118,12 @@ def load_dataset(spark: SparkSession, source: str, schema: T.StructType | str |
         df = reader.csv(name)
         if schema is None:
             df = missing_to_null(df)
-            df = cast_inferred(df, infer_types(df)) if df.columns else df
+            types, damaged = examine(df)
+            if damaged and "encoding" not in settings:
+                raise FileValidationError(f"'{name}' could not be decoded; try encoding='latin-1'.")
+            df = cast_inferred(df, types)
         return require_content(df, name)
     except AnalysisException as error:
         raise FileValidationError(f"'{name}' does not exist or cannot be read: {error.getCondition()}") from error
     except PySparkException as error:
-        hint = "try encoding='latin-1'" if "MALFORMED_CHARACTER" in str(error) else error.getCondition()
-        raise FileValidationError(f"'{name}' cannot be read: {hint}") from error
+        raise FileValidationError(f"'{name}' cannot be read: {error.getCondition()}") from error

@@ -22,6 +22,8 @@ def test_suffixes_and_options(spark, tmp_path):
     assert load_dataset(spark, write(tmp_path / "s.csv", "a;b\n1;2\n"), sep=";").collect()[0] == (1, 2)
     latin = write(tmp_path / "l.csv", "a\nañ\n", "latin-1")
     assert load_dataset(spark, latin, encoding="latin-1").collect()[0]["a"] == "añ"
+    with pytest.raises(errors.FileValidationError, match="latin-1"):
+        load_dataset(spark, latin)
     assert load_dataset(spark, write(tmp_path / "t.csv", "a\n1\n"), schema="a string").dtypes == [("a", "string")]
 
 
