@@ -9,16 +9,38 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import text
 
 # ---------------------------------------------------------------- fixed values
-# Order of the categories and the thresholds that raise a warning.
+# Order of the categories, the thresholds that raise a warning and the wording
+# of every sentence.
 CATEGORIES = ("dataset", "missing", "correlation", "dependency", "clustering", "anomaly")
 MISSING_WARNING = 0.2
 ANOMALY_WARNING = 0.1
 MAX_RECOMMENDATIONS = 5
-# -----------------------------------------------------------------------------
-
 
-def _message(*parts) -> Column:
-    return F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
+DATASET = "El conjunto de datos contiene {rows} registros y {columns} variables ({numeric} numéricas, {categorical} categóricas, {datetime} temporales)."
+MISSING = "La variable '{name}' tiene {percent}% de valores faltantes."
+CORRELATION = "Existe una correlación {strength} {direction} (r={r}) entre '{a}' y '{b}'."
+DEPENDENCY = "La variable '{categorical}' explica un {percent}% de la variación en '{numeric}'."
+CLUSTERS = "Se detectaron {count} agrupaciones principales usando {algorithm} sobre las variables: {features}."
+CLUSTER_QUALITY = "La calidad de la agrupación es {quality} (silhouette={score})."
+ANOMALY = "El método {method} detectó un {percent}% de registros con valores atípicos ({count} de {rows})."
+
+SUMMARY_SIZE = "El análisis incluye {rows} registros y {columns} variables."
+SUMMARY_RELATION = "La relación numérica más marcada aparece entre {a} y {b} ({r}), que tienden a moverse {direction}."
+SAME_DIRECTION = "en el mismo sentido"
+OPPOSITE_DIRECTION = "en sentido contrario"
+SUMMARY_SEGMENTS = "Se encontraron {count} segmentos mediante {algorithm}, con separación {quality}."
+SUMMARY_ANOMALIES = (
+    "{any_signal} registros recibieron al menos una señal de comportamiento inusual y {consensus} coincidieron en todos los métodos."
+)
+
+ADVISE_RELATION = "Revisar {a} junto con {b} en futuras comparaciones, sin asumir causalidad."
+ADVISE_DEPENDENCY = "Comparar {numeric} por las categorías de {categorical} antes de usar un promedio general."
+ADVISE_SEGMENTS = "Comparar los indicadores de cada segmento para identificar sus diferencias principales."
+ADVISE_ANOMALIES = (
+    "Revisar primero los {consensus} registros señalados por todos los detectores y confirmar su contexto antes de corregirlos o eliminarlos."
+)
+ADVISE_ALWAYS = "Interpretar los resultados según el contexto del conjunto de datos y documentar las conclusiones obtenidas."
+# -----------------------------------------------------------------------------
 
 
 def _finding(category: str, order: Column, message: Column, severity: Column | str = "info") -> list[Column]:
@@ -26,11 +48,7 @@ def _finding(category: str, order: Column, message: Column, severity: Column | s
     return [
         F.lit(CATEGORIES.index(category)).alias("group_ord"), order.cast("bigint").alias("row_ord"), F.lit(category).alias("category"),
         level.alias("severity"), message.alias("message"),
-    ]
-
-
-def _number(name: str) -> Column:
-    return F.col(name).cast("string")
+    ]
 
 
 def dataset_insight(profile: DataFrame) -> DataFrame:
@@ -38,34 +56,31 @@ def dataset_insight(profile: DataFrame) -> DataFrame:
         F.max("n_rows").alias("r"), F.count(F.lit(1)).alias("c"),
         *[F.count_if(F.col("logical_type") == k).alias(k) for k in ("numeric", "categorical", "datetime")],
     )
-    message = _message(
-        "El conjunto de datos contiene ", _number("r"), " registros y ", _number("c"), " variables (", _number("numeric"),
-        " numéricas, ", _number("categorical"), " categóricas, ", _number("datetime"), " temporales).",
-    )
+    kinds = {k: F.col(k) for k in ("numeric", "categorical", "datetime")}
+    message = text.filled(DATASET, rows=F.col("r"), columns=F.col("c"), **kinds)
     return counted.select(*_finding("dataset", F.lit(0), message))
 
 
 def missing_insights(profile: DataFrame) -> DataFrame:
     ratio = F.col("missing_ratio")
-    message = _message("La variable '", F.col("name"), "' tiene ", text.fixed(ratio * 100, 1), "% de valores faltantes.")
+    message = text.filled(MISSING, name=F.col("name"), percent=text.fixed(ratio * 100, 1))
     severity = F.when(ratio > MISSING_WARNING, "warning").otherwise("info")
     return profile.filter(ratio > 0).select(*_finding("missing", F.col("ord"), message, severity))
 
 
 def correlation_insights(pairs: DataFrame) -> DataFrame:
     """``pairs``: strong pairs of all methods, each unordered pair once."""
-    message = _message(
-        "Existe una correlación ", F.col("strength"), " ", F.col("direction"), " (r=", text.fixed(F.col("coefficient"), 2),
-        ") entre '", F.col("var_a"), "' y '", F.col("var_b"), "'.",
-    )
+    message = text.filled(
+        CORRELATION, strength=F.col("strength"), direction=F.col("direction"), r=text.fixed(F.col("coefficient"), 2), a=F.col("var_a"), b=F.col("var_b")
+    )
     # first method first, strongest first inside a method; one row per pair of columns
     order = F.row_number().over(Window.partitionBy().orderBy("method_ord", F.abs("coefficient").desc(), "ord"))
     return pairs.select(*_finding("correlation", order, message))
 
 
 def dependency_insights(dependencies: DataFrame) -> DataFrame:
-    message = _message(
-        "La variable '", F.col("categorical"), "' explica un ", text.fixed(F.col("eta_squared") * 100, 0), "% de la variación en '", F.col("numeric"), "'."
+    message = text.filled(
+        DEPENDENCY, categorical=F.col("categorical"), percent=text.fixed(F.col("eta_squared") * 100, 0), numeric=F.col("numeric")
     )
     order = F.row_number().over(Window.partitionBy().orderBy(F.col("eta_squared").desc(), "ord"))
     return dependencies.select(*_finding("dependency", order, message))
@@ -83,20 +98,17 @@ def clustering_summary(spark, clustering) -> DataFrame:
 
 def clustering_insights(summary: DataFrame) -> DataFrame:
     found = summary.filter(F.col("n_clusters") > 0)
-    count = _message(
-        "Se detectaron ", _number("n_clusters"), " agrupaciones principales usando ", F.upper("algorithm"), " sobre las variables: ", F.array_join("features", ", "), "."
-    )
-    quality = _message("La calidad de la agrupación es ", F.lower("calidad"), " (silhouette=", text.fixed(F.col("silhouette"), 2), ").")
+    count = text.filled(CLUSTERS, count=F.col("n_clusters"), algorithm=F.upper("algorithm"), features=F.array_join("features", ", "))
+    quality = text.filled(CLUSTER_QUALITY, quality=F.lower("calidad"), score=text.fixed(F.col("silhouette"), 2))
     first = found.select(*_finding("clustering", F.lit(0), count))
     return first.unionByName(found.filter(F.col("silhouette").isNotNull()).select(*_finding("clustering", F.lit(1), quality)))
 
 
 def anomaly_insights(summary: DataFrame) -> DataFrame:
     ratio = F.col("outlier_ratio")
-    message = _message(
-        "El método ", F.upper("method"), " detectó un ", text.fixed(ratio * 100, 1), "% de registros con valores atípicos (",
-        _number("outlier_count"), " de ", _number("n_rows"), ").",
-    )
+    message = text.filled(
+        ANOMALY, method=F.upper("method"), percent=text.fixed(ratio * 100, 1), count=F.col("outlier_count"), rows=F.col("n_rows")
+    )
     severity = F.when(ratio > ANOMALY_WARNING, "warning").otherwise("info")
     return summary.select(*_finding("anomaly", F.col("ord"), message, severity))
 
@@ -124,30 +136,19 @@ def _strongest(pairs: DataFrame) -> list[Column]:
 def executive_summary(profile: DataFrame, pairs: DataFrame, clustering: DataFrame, agreement: DataFrame | None) -> DataFrame:
     """One row ``summary``; each input table adds a sentence when it has rows."""
     size = profile.agg(F.max("n_rows").alias("r"), F.count(F.lit(1)).alias("c")).select(
-        _message("El análisis incluye ", F.format_number("r", 0), " registros y ", _number("c"), " variables.").alias("message")
+        text.filled(SUMMARY_SIZE, rows=F.format_number("r", 0), columns=F.col("c")).alias("message")
     )
-    direction = F.when(F.col("coefficient") >= 0, "en el mismo sentido").otherwise("en sentido contrario")
-    relation = _top(
-        pairs, _strongest(pairs),
-        _message(
-            "La relación numérica más marcada aparece entre ", _lower_name("var_a"), " y ", _lower_name("var_b"), " (",
-            text.fixed(F.col("coefficient"), 2, signed=True), "), que tienden a moverse ", direction, ".",
-        ),
-    )
+    direction = F.when(F.col("coefficient") >= 0, SAME_DIRECTION).otherwise(OPPOSITE_DIRECTION)
+    r = text.fixed(F.col("coefficient"), 2, signed=True)
+    relation = _top(pairs, _strongest(pairs), text.filled(SUMMARY_RELATION, a=_lower_name("var_a"), b=_lower_name("var_b"), r=r, direction=direction))
     algorithm = F.when(F.lower("algorithm") == "kmeans", "K-Means").otherwise("DBSCAN")
     segments = clustering.filter(F.col("n_clusters") > 0).select(
-        _message("Se encontraron ", _number("n_clusters"), " segmentos mediante ", algorithm, ", con separación ", F.lower("calidad"), ".").alias("message")
+        text.filled(SUMMARY_SEGMENTS, count=F.col("n_clusters"), algorithm=algorithm, quality=F.lower("calidad")).alias("message")
     )
     parts = [size, relation, segments]
     if agreement is not None:
-        parts.append(
-            agreement.select(
-                _message(
-                    _number("any_signal"), " registros recibieron al menos una señal de comportamiento inusual y ", _number("consensus"),
-                    " coincidieron en todos los métodos.",
-                ).alias("message")
-            )
-        )
+        counts = text.filled(SUMMARY_ANOMALIES, any_signal=F.col("any_signal"), consensus=F.col("consensus"))
+        parts.append(agreement.select(counts.alias("message")))
     table = reduce(DataFrame.unionByName, [p.withColumn("ord", F.lit(i)) for i, p in enumerate(parts)])
     in_order = F.array_sort(F.collect_list(F.struct("ord", "message")))
     return table.agg(in_order.alias("v")).select(F.array_join(F.col("v.message"), " ").alias("summary"))
@@ -155,28 +156,16 @@ def executive_summary(profile: DataFrame, pairs: DataFrame, clustering: DataFram
 
 def recommendations(pairs: DataFrame, dependencies: DataFrame, clustering: DataFrame, agreement: DataFrame | None) -> DataFrame:
     """At most five next steps ``(ord, message)``, each tied to a result."""
-    relation = _top(
-        pairs, _strongest(pairs),
-        _message("Revisar ", _lower_name("var_a"), " junto con ", _lower_name("var_b"), " en futuras comparaciones, sin asumir causalidad."),
-    )
+    relation = _top(pairs, _strongest(pairs), text.filled(ADVISE_RELATION, a=_lower_name("var_a"), b=_lower_name("var_b")))
     dependency = _top(
         dependencies, [F.col("eta_squared").desc(), F.col("ord")],
-        _message("Comparar ", _lower_name("numeric"), " por las categorías de ", _lower_name("categorical"), " antes de usar un promedio general."),
-    )
-    segments = clustering.filter(F.col("n_clusters") > 0).select(
-        F.lit("Comparar los indicadores de cada segmento para identificar sus diferencias principales.").alias("message")
-    )
+        text.filled(ADVISE_DEPENDENCY, numeric=_lower_name("numeric"), categorical=_lower_name("categorical")),
+    )
+    segments = clustering.filter(F.col("n_clusters") > 0).select(F.lit(ADVISE_SEGMENTS).alias("message"))
     parts = [relation, dependency, segments]
     if agreement is not None:
-        parts.append(
-            agreement.filter(F.col("consensus") > 0).select(
-                _message(
-                    "Revisar primero los ", _number("consensus"), " registros señalados por todos los detectores y confirmar su contexto antes de "
-                    "corregirlos o eliminarlos.",
-                ).alias("message")
-            )
-        )
-    closing = "Interpretar los resultados según el contexto del conjunto de datos y documentar las conclusiones obtenidas."
-    parts.append(pairs.sparkSession.createDataFrame([(closing,)], "message string"))
+        first = text.filled(ADVISE_ANOMALIES, consensus=F.col("consensus"))
+        parts.append(agreement.filter(F.col("consensus") > 0).select(first.alias("message")))
+    parts.append(pairs.sparkSession.createDataFrame([(ADVISE_ALWAYS,)], "message string"))
     table = reduce(DataFrame.unionByName, [p.withColumn("ord", F.lit(i)) for i, p in enumerate(parts)])
     return table.orderBy("ord").limit(MAX_RECOMMENDATIONS).select("ord", "message")

@@ -15,6 +15,11 @@ from ..functions import text
 from ..functions.ordered import ROWS_PER_BUCKET, add_average_ranks, find_splits, mark_ranges
 from ..functions.values import as_double, col, numeric_frame, value_text
 
+# ---------------------------------------------------------------- fixed values
+RISING = "Cuando {first} aumenta, {second} también tiende a aumentar."
+FALLING = "Cuando {first} aumenta, {second} tiende a disminuir."
+# -----------------------------------------------------------------------------
+
 PAIRS_PER_PASS = 300  # keeps one aggregate within sensible generated code
 EMPTY_LONG = "method string, ord int, var_a string, var_b string, coefficient double, n bigint"
 
@@ -318,6 +323,5 @@ def dependency_feed(table: DataFrame) -> DataFrame:
 def relationship_sentences(pairs: DataFrame) -> DataFrame:
     """Strong pairs with an everyday sentence about the sign."""
     first, second = F.lower(text.titled(F.col("var_a"))), F.lower(text.titled(F.col("var_b")))
-    rising = F.concat(F.lit("Cuando "), first, F.lit(" aumenta, "), second, F.lit(" también tiende a aumentar."))
-    falling = F.concat(F.lit("Cuando "), first, F.lit(" aumenta, "), second, F.lit(" tiende a disminuir."))
+    rising, falling = (text.filled(t, first=first, second=second) for t in (RISING, FALLING))
     return pairs.withColumn("sentence", F.when(F.col("coefficient") >= 0, rising).otherwise(falling))

@@ -12,8 +12,23 @@ from ..functions.values import as_double, col
 from .describe import category_counts, dominant_category, yes_no
 
 
+# ---------------------------------------------------------------- fixed values
+SEGMENT = "Segmento {number}"
+NO_GROUP = "Sin grupo"  # in profiles
+NO_SEGMENT = "Sin segmento"  # in charts
+GENERAL = "General"
+NOTHING = "—"
+SIZE = "{rows} registros ({percent}% del total)."
+DISTINCT = "Se distingue por {traits}."
+TRAIT = "{variable} {reading} del promedio ({mean} frente a {overall})"
+AND = " y "
+ORDINARY = "Sus valores se mantienen cerca del promedio general."
+DOMINANT = "En {variable} predomina {category} ({percent}%)."
+# -----------------------------------------------------------------------------
+
+
 def segment_name(label: Column) -> Column:
-    return F.when(label == -1, "Sin grupo").otherwise(F.concat(F.lit("Segmento "), (label + 1).cast("string")))
+    return F.when(label == -1, NO_GROUP).otherwise(text.filled(SEGMENT, number=label + 1))
 
 
 def segment_means(rows: DataFrame, cols: list[str]) -> DataFrame:
@@ -60,25 +75,21 @@ def segment_categories(rows: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def _description(size: Column, share: Column, boolean_cols: list[str]) -> Column:
-    head = F.concat(F.format_number(size, 0), F.lit(" registros ("), text.fixed(share, 1), F.lit("% del total)."))
+    head = text.filled(SIZE, rows=F.format_number(size, 0), percent=text.fixed(share, 1))
     distinct = F.slice(F.filter("rasgos", lambda r: r["lectura"] != "en el promedio"), 1, 2)
     phrases = F.transform(
         distinct,
-        lambda r: F.concat(
-            text.spaced(r["variable"]), F.lit(" "), r["lectura"], F.lit(" del promedio ("),
-            text.readable_number(r["media"]), F.lit(" frente a "), text.readable_number(r["media_general"]), F.lit(")"),
+        lambda r: text.filled(
+            TRAIT, variable=text.spaced(r["variable"]), reading=r["lectura"], mean=text.readable_number(r["media"]), overall=text.readable_number(r["media_general"])
         ),
     )
-    traits = F.when(F.size(distinct) > 0, F.concat(F.lit("Se distingue por "), F.array_join(phrases, " y "), F.lit("."))).otherwise(
-        "Sus valores se mantienen cerca del promedio general."
-    )
+    traits = F.when(F.size(distinct) > 0, text.filled(DISTINCT, traits=F.array_join(phrases, AND))).otherwise(ORDINARY)
     main = F.get(F.filter("categorias", lambda c: c["porcentaje"] >= text.DOMINANT_CATEGORY), F.lit(0))
     is_boolean = main["variable"].isin(boolean_cols) if boolean_cols else F.lit(False)
     category = F.when(
         main.isNotNull(),
-        F.concat(
-            F.lit("En "), text.spaced(main["variable"]), F.lit(" predomina "), yes_no(main["categoria"], is_boolean, upper=False),
-            F.lit(" ("), text.fixed(main["porcentaje"], 0), F.lit("%)."),
+        text.filled(
+            DOMINANT, variable=text.spaced(main["variable"]), category=yes_no(main["categoria"], is_boolean, upper=False), percent=text.fixed(main["porcentaje"], 0)
         ),
     )
     return F.concat_ws(" ", head, traits, category)
@@ -129,15 +140,15 @@ def segment_table(rows: DataFrame, numeric: list[str], categorical: list[str]) -
     general = F.col("g") == 1
     headings = [(c.replace("_", " ").strip()).capitalize() for c in numeric]
     return joined.orderBy("g", (F.col("label") == -1).cast("int"), "label").select(
-        F.when(general, "General").otherwise(segment_name(F.col("label"))).alias("Segmento"),
+        F.when(general, GENERAL).otherwise(segment_name(F.col("label"))).alias("Segmento"),
         F.col("n").alias("Registros"),
         F.concat(text.fixed(F.col("share"), 1), F.lit("%")).alias("% del total"),
         *[F.col(f"_m{i}").alias(h) for i, h in enumerate(headings)],
-        F.when(general | F.col("categoria").isNull(), "—").otherwise(dominant).alias("Categoría dominante"),
+        F.when(general | F.col("categoria").isNull(), NOTHING).otherwise(dominant).alias("Categoría dominante"),
     )
 
 
 def scatter_feed(rows: DataFrame, key: str) -> DataFrame:
     """Points of the 2-D view with the name of their segment."""
-    name = F.when(F.col("label") == -1, "Sin segmento").otherwise(segment_name(F.col("label")))
+    name = F.when(F.col("label") == -1, NO_SEGMENT).otherwise(segment_name(F.col("label")))
     return rows.select(col(key), "pc1", "pc2", "label", name.alias("segmento"))
