@@ -76,6 +76,9 @@ SQL["missing_tokens"] = """SELECT c_custkey,
     'c_custkey:bigint,segmento:string,nacion:double' AS types FROM customer"""
 SQL["run_metadata"] = "SELECT 'supplier' AS source, count(*)::BIGINT AS n_rows, 4::BIGINT AS n_cols FROM supplier"
 
+SQL["many_datasets"] = """SELECT 'supplier' AS source, count(*) AS n_rows, 4::BIGINT AS n_cols FROM supplier
+    UNION ALL SELECT 'nation', count(*), 3::BIGINT FROM nation"""
+
 # ----------------------------------------------------------------- cleaning (P)
 SQL["clean_text"] = """SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment, c_acctbal FROM customer"""
 SQL["drop_all_null"] = "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_custkey % 7 <> 0"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -98,13 +99,17 @@ PART_FEATURES = ["p_size", "p_retailprice"]
 
 
 # ------------------------------------------------------------------ sources (S)
+def _as_file(spark, folder, name: str, suffix: str, sep: str | None = None) -> str:
+    """Path of a table written as delimited text below the shared folder."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.{suffix}"
+    sep = sep or {"csv": ",", "tsv": "\t", "txt": ","}[suffix]
+    table(spark, folder, name).write.option("header", True).option("sep", sep).option("escape", '"').csv(path)
+    return path
+
+
 def _through_file(spark, folder, name: str, suffix: str, **options) -> DataFrame:
     """A table written as delimited text and read back with inferred types."""
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}.{suffix}"
-    sep = {"csv": ",", "tsv": "\t", "txt": ","}[suffix]
-    source = table(spark, folder, name)
-    source.write.option("header", True).option("sep", options.get("sep", sep)).option("escape", '"').csv(path)
-    return load_dataset(spark, path, **options)
+    return load_dataset(spark, _as_file(spark, folder, name, suffix, options.get("sep")), **options)
 
 
 def _typed(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -162,6 +167,16 @@ def run_metadata(spark, folder):
     return tidy(profile.dataset_profile(prof).select(F.lit("supplier").alias("source"), "n_rows", "n_cols"))
 
 
+@query
+def many_datasets(spark, folder):
+    """Two files and a missing one: the runs that succeed, with their sizes."""
+    config = AnalysisConfig(correlation_methods=["pearson"], anomaly_methods=["zscore"], clustering_algorithm="none")
+    paths = {_as_file(spark, folder, n, "csv"): n for n in ("supplier", "nation")}
+    reports = Analyzer(spark, config).analyze_many([*paths, f"{shared_folder(spark)}/absent.csv"])
+    frames = [r.metadata.select(F.lit(paths[p]).alias("source"), "n_rows", "n_cols") for p, r in reports.items()]
+    return tidy(reduce(DataFrame.unionByName, frames))
+
+
 # ----------------------------------------------------------------- cleaning (P)
 def _padded_customers(spark, folder) -> DataFrame:
     key = F.col("c_custkey")

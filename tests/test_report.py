@@ -63,3 +63,10 @@ def test_text_only_data(spark):
     found = Analyzer(spark).analyze(df)
     assert found.clustering is None and found.anomalies is None and found.correlations.count() == 0
     assert found.insights.count() == 1
+
+
+def test_unknown_algorithm_leaves_clustering_out(spark, outlier):
+    config = AnalysisConfig(clustering_algorithm="optics", anomaly_methods=[], correlation_methods=["pearson"])
+    found = Analyzer(spark, config).analyze(outlier, "id")
+    assert found.clustering is None and found.segment_profiles() is None and found.anomaly_methods == []
+    assert [r["category"] for r in found.insights.collect()] == ["dataset"]
