@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import kdshard, langid, quality
+from . import credentials, kdshard, langid, packing, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,27 @@ def op3_kd_shards(spark, folder):
         F.col("c0").alias("doc_id"), F.col("c1").alias("size"), F.col("c2").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op4_packing(spark, folder):
+    """All documents in sequences of 2048 tokens, first-fit decreasing."""
+    from public_tokenizers import path
+
+    parts = packing.pieces(table(spark, folder, "documents"), path("word_bpe_49k.json"))
+    return packing.pack(parts).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op8_credentials(spark, folder):
+    """Secrets of every document: the strong spans, and weak ones next to their complement."""
+    found = credentials.parts(table(spark, folder, "documents"))
+    return credentials.report(found, credentials.spans(found))
+
+
+@query
+def op9_simhash(spark, folder):
+    """Fingerprint of every document and the smallest id of its near-duplicates."""
+    docs = Scratch(spark).keep(simhash.with_fingerprint(table(spark, folder, "documents")).select("doc_id", "fingerprint"))
+    named = simhash.classes(docs).withColumnRenamed("fp", "fingerprint")
+    return docs.join(named, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
