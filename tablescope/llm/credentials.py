@@ -22,7 +22,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import Scratch
+from .common import Scratch, fresh
 
 SCOPE = 200
 # The base patterns, then the weak ones.
@@ -47,11 +47,14 @@ def _lengths(text: Column, pattern: str, value: int) -> Column:
     return F.when(text.rlike(pattern), F.slice(F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), values.alias("value")), F.lit(1), F.size(hits)))
 
 
+def matches(text: Column) -> list[Column]:
+    """Per kind the array of match lengths of a text, null without a match."""
+    return [_lengths(text, p, 2 if k == "assign" else 0).alias(k) for k, p, _ in KINDS]
+
+
 def parts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: ``_row``, the key and an array of match lengths per kind, written to the shared folder."""
-    t = F.col(text)
-    found = [_lengths(t, p, 2 if k == "assign" else 0).alias(k) for k, p, _ in KINDS]
-    return Scratch(docs.sparkSession).keep(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), *found))
+    return Scratch(docs.sparkSession).keep(docs.select(F.monotonically_increasing_id().alias("_row"), F.col(key).alias("_key"), *matches(F.col(text))))
 
 
 def spans(found: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -94,3 +97,27 @@ def report(found: DataFrame, all_spans: DataFrame) -> DataFrame:
     counts = [F.size(F.filter("all", lambda x, i=i: x["kind"] == i)).cast("bigint").alias(f"n_{KINDS[i][0]}") for i in range(BASE)]
     base = F.sha2(said(F.filter("all", lambda x: x["strong"])).cast("binary"), 256)
     return both.select(F.col("_key").alias("doc_id"), *counts, base.alias("base_sha256"), said(F.col("all")).alias("spans"))
+
+
+def redacted(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", scope: int = SCOPE) -> DataFrame:
+    """``docs`` with every reported span of the text replaced by ``mark``; overlapping spans give one mark.
+
+    Rows without any match pass through; only the others are numbered and joined.
+    """
+    scratch, (row, cuts) = Scratch(docs.sparkSession), fresh(docs, "_row", "_cuts")
+    t = F.col(text)
+    some = F.coalesce(reduce(lambda a, b: a | b, [t.rlike(p) for _, p, _ in KINDS]), F.lit(False))
+    marked = scratch.keep(docs.where(some).withColumn(row, F.monotonically_increasing_id()))
+    lengths = scratch.keep(marked.select(F.col(row).alias("_row"), *matches(t)))
+    in_order = W.partitionBy("_row").orderBy("start", "end")
+    reached = F.max("end").over(in_order.rowsBetween(W.unboundedPreceding, -1))
+    islands = spans(lengths, scope).withColumn("new", F.coalesce((F.col("start") >= reached).cast("int"), F.lit(1)))
+    islands = islands.withColumn("island", F.sum("new").over(in_order.rowsBetween(W.unboundedPreceding, 0))).groupBy("_row", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    sorted_cuts = F.array_sort(F.collect_list(F.struct("start", "end")))
+    per_row = islands.groupBy(F.col("_row").alias(row)).agg(sorted_cuts.alias(cuts))
+    begins = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(cuts, lambda c: c["end"]))
+    stops = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(t).cast("bigint")))
+    kept = F.zip_with(begins, stops, lambda a, b: F.substring(t, (a + 1).cast("int"), (b - a).cast("int")))
+    changed = marked.join(per_row, row, "left").withColumn(text, F.when(F.col(cuts).isNull(), t).otherwise(F.array_join(kept, mark)))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.where(~some).select(*columns).unionByName(changed.select(*columns))

@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import fresh, text_groups
+from .common import Scratch, fresh, text_groups
 
 SIZES = (3, 4)
 POSITIONS = 1 << 22
@@ -131,7 +131,7 @@ class LanguageModel:
 
 def fit(docs: DataFrame, text: str = "text", label: str = "lang", positions: int = POSITIONS, min_share: float = MIN_SHARE, contrast: float = CONTRAST) -> LanguageModel:
     """Learn the filters from all labelled rows of ``docs``."""
-    counts = gram_counts(docs, text, label)
+    counts = Scratch(docs.sparkSession).keep(gram_counts(docs, text, label))
     per_lang = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "lang").limit(MAX_LANGUAGES)
     totals = {r["lang"]: r["total"] for r in per_lang.collect()}
     languages = sorted(totals)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import credentials, kdshard, langid, packing, quality, simhash
+from . import containment, credentials, kdshard, langid, packing, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,9 @@ def op9_simhash(spark, folder):
     docs = Scratch(spark).keep(simhash.with_fingerprint(table(spark, folder, "documents")).select("doc_id", "fingerprint"))
     named = simhash.classes(docs).withColumnRenamed("fp", "fingerprint")
     return docs.join(named, "fingerprint").select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op10_decontamination(spark, folder):
+    """Benchmark items inside documents, with their exact shingle containment."""
+    return containment.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select("doc_id", "item_id", "containment", "first_word")

@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Scratch
+from .common import Scratch, fresh
 from .components import components
 
 WIDTH = 3
@@ -141,11 +141,26 @@ def links(prints: DataFrame, segments: int = SEGMENTS, distance: int = DISTANCE,
     return found.unionByName(hubs).distinct()
 
 
+def groups(prints: DataFrame, **options) -> DataFrame:
+    """``(fp, root)`` for every distinct fingerprint (column ``fp``): the smallest fingerprint of its component."""
+    roots = Scratch(prints.sparkSession).keep(components(links(prints, **options), "a", "b"))
+    return prints.select("fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def classes(docs: DataFrame, key: str = "doc_id", fingerprint: str = "fingerprint") -> DataFrame:
     """``(fp, component_id)`` for every distinct fingerprint: the smallest id of a row reachable from it."""
-    scratch = Scratch(docs.sparkSession)
-    prints = scratch.keep(docs.groupBy(F.col(fingerprint).alias("fp")).agg(F.min(key).alias("least")))
-    roots = scratch.keep(components(links(prints.select("fp")), "a", "b"))
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    prints = Scratch(docs.sparkSession).keep(docs.groupBy(F.col(fingerprint).alias("fp")).agg(F.min(key).alias("least")))
+    rooted = groups(prints).join(prints, "fp")
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest id, null ids last, the first row among equal ids."""
+    scratch = Scratch(docs.sparkSession)
+    row, fp = fresh(docs, "_row", "_fp")
+    rows = scratch.keep(with_fingerprint(docs, text, fp).withColumn(row, F.monotonically_increasing_id()))
+    order = F.struct(F.col(key).isNull().alias("late"), F.col(key).alias("id"), F.col(row).alias("row"))
+    prints = scratch.keep(rows.groupBy(F.col(fp).alias("fp")).agg(F.min(order).alias("first")))
+    kept = groups(prints).join(prints, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
