@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import containment, credentials, kdshard, langid, packing, quality, simhash
+from . import bm25, containment, credentials, kdshard, langid, packing, paragraphs, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,3 +79,19 @@ def op9_simhash(spark, folder):
 def op10_decontamination(spark, folder):
     """Benchmark items inside documents, with their exact shingle containment."""
     return containment.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select("doc_id", "item_id", "containment", "first_word")
+
+
+@query
+def op7_paragraphs(spark, folder):
+    """Runs of repeated paragraphs of every document, exact or near copies elsewhere."""
+    return paragraphs.repeated(table(spark, folder, "documents"))
+
+
+@query
+def op6_bm25(spark, folder):
+    """Ten best documents for every document whose id is divisible by 20, asked by its twelve weightiest terms."""
+    docs = table(spark, folder, "documents")
+    postings = bm25.index(docs)
+    n, mean_length = bm25.statistics(postings)
+    asked = bm25.queries_from(docs.where("doc_id % 20 = 0"), bm25.frequencies(postings), n)
+    return bm25.search(postings, Scratch(spark).keep(asked), n, mean_length)
