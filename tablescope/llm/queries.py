@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bm25, containment, credentials, kdshard, langid, packing, paragraphs, quality, simhash
+from . import bm25, containment, credentials, kdshard, langid, packing, paragraphs, ppm, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,3 +95,12 @@ def op6_bm25(spark, folder):
     n, mean_length = bm25.statistics(postings)
     asked = bm25.queries_from(docs.where("doc_id % 20 = 0"), bm25.frequencies(postings), n)
     return bm25.search(postings, Scratch(spark).keep(asked), n, mean_length)
+
+
+@query
+def op5_ppm(spark, folder):
+    """Log10 probability of every document under byte contexts and under words; a seventh of the ids is held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    remainder = id_crc() % 7
+    scored = ppm.score(docs, remainder.isNotNull() & (remainder != 2))
+    return scored.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
