@@ -9,6 +9,7 @@ from dataclasses import dataclass, field
 class AnalysisConfig:
     """Every knob of the analysis; the defaults need no tuning."""
 
+    # ---- fixed values: names and defaults of the options
     correlation_methods: list[str] = field(default_factory=lambda: ["pearson", "spearman"])
     strong_correlation_threshold: float = 0.7
     dependency_threshold: float = 0.14

@@ -150,7 +150,3 @@ def trait_reading(difference: Column) -> Column:
 
 def method_name(method: Column) -> Column:
     return mapped(method, METHOD_NAMES, capitalised(method))
-
-
-def algorithm_name(algorithm: str) -> str:
-    return "K-Means" if algorithm.lower() == "kmeans" else "DBSCAN"

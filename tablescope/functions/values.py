@@ -71,6 +71,8 @@ def strip(text: Column) -> Column:
 def value_text(df: DataFrame, name: str) -> Column:
     """Value as text, for tables that hold several columns one below another."""
     dtype = df.schema[name].dataType
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.when(col(name) == 0, F.lit(0).cast(dtype)).otherwise(col(name)).cast("string")  # -0.0 is 0.0
     return F.to_json(col(name)) if is_nested(dtype) and not isinstance(dtype, T.BinaryType) else col(name).cast("string")
 
 

@@ -143,6 +143,9 @@ def agreement_counts(flagged: DataFrame, methods: list[str]) -> DataFrame:
 
 def review_queue(flagged: DataFrame, methods: list[str], key: str) -> DataFrame:
     """Flagged rows with the methods that agree and a priority, in review order."""
+    if not methods:
+        none = F.lit(None).cast("string")
+        return flagged.select(col(key), none.alias("metodos"), F.lit(0).alias("coincidencias"), none.alias("prioridad")).limit(0)
     hits = reduce(Column.__add__, [f.cast("int") for f in _flags(methods)])
     names = F.array_compact(F.array(*[F.when(F.col(SHORT_NAMES[m]), F.lit(text.METHOD_NAMES[m])) for m in methods]))
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.values import col, first_row_id, is_nested, nan_to_null, numeric_frame, quoted, strip
+from ..functions.values import col, first_row_id, nan_to_null, numeric_frame, quoted, strip
 
 
 def data_columns(df: DataFrame, key: str | None) -> list[str]:
@@ -69,15 +69,10 @@ def cleaning_summary(before: DataFrame, after: DataFrame, key: str | None = None
 
 def complete_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """The two columns, rows with a gap in either dropped."""
-    return df.select(col(a), col(b)).dropna()
+    return df.select(col(a), col(b)).dropna(subset=[quoted(a), quoted(b)])
 
 
 def coerce_numbers(df: DataFrame, cols: list[str]) -> DataFrame:
     """Columns as double; what is not a number becomes missing."""
     others = [c for c in df.columns if c not in cols]
     return numeric_frame(df, cols, keep=others).select(*[col(c) for c in df.columns])
-
-
-def comparable_columns(df: DataFrame) -> list[str]:
-    """Flat columns; nested ones take no part in the analysis."""
-    return [f.name for f in df.schema if not is_nested(f.dataType)]

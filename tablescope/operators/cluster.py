@@ -5,19 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import AnalysisConfig
 from ..errors import UnknownMethodError
 from ..functions.values import col
+from .blocks import distance_sums
 from .dbscan import dbscan, estimate_eps
-from .features import project_2d
-from .sampling import EXACT_ROWS, bounded_sample, vectors_of
+from .features import project_2d, with_vectors
+from .sampling import hash_sample
 
 RESTARTS = 10
 PARALLEL_FITS = 8
@@ -54,10 +52,6 @@ def _fit_best(vectors: DataFrame, ks: list[int], seed: int, restarts: int) -> di
     return best
 
 
-def _vectors(scaled: DataFrame, cols: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol="_features").transform(scaled)
-
-
 def _assign(vectors: DataFrame, model, name: str) -> DataFrame:
     """Cluster numbers in order of size, then of centre, from 0."""
     sizes, centres = model.summary.clusterSizes, model.clusterCenters()
@@ -71,110 +65,86 @@ def _assign(vectors: DataFrame, model, name: str) -> DataFrame:
 
 def kmeans(scaled: DataFrame, cols: list[str], key: str, k: int, seed: int = 42, restarts: int = RESTARTS) -> DataFrame:
     """``(key, *cols, label)`` from the best of several k-means|| starts."""
-    vectors = _vectors(scaled, cols).persist()
+    vectors = with_vectors(scaled, cols).persist()
     try:
         n_rows = vectors.count()
         k = max(2, min(k, n_rows - 1))
         model = _fit_best(vectors.select("_features"), [k], seed, restarts)[k]
     finally:
         vectors.unpersist()
-    return _assign(_vectors(scaled, cols), model, "label").select(col(key), *[col(c) for c in cols], "label")
+    return _assign(with_vectors(scaled, cols), model, "label").select(col(key), *[col(c) for c in cols], "label")
 
 
 def choose_k(
     scaled: DataFrame, cols: list[str], key: str, k_range: tuple[int, int] = (2, 10), seed: int = 42,
-    restarts: int = RESTARTS, exact_rows: int = EXACT_ROWS,
+    restarts: int = RESTARTS, sample_rows: int | None = None,
 ) -> tuple[int, dict[int, float]]:
     """k with the highest Euclidean silhouette, the smallest on ties; 2 by default.
 
-    Up to ``exact_rows`` rows every row takes part; above, k is chosen on a
-    hash sample of that size.
+    Every row takes part; a caller who cannot afford the quadratic silhouette
+    names a ``sample_rows``, which then holds at any size.
     """
-    sample, n_rows = bounded_sample(scaled, key, exact_rows, seed)
+    rows = hash_sample(scaled, key, sample_rows, seed)
+    n_rows = rows.count()
     ks = list(range(max(2, k_range[0]), min(k_range[1], n_rows - 1) + 1))
     if not ks:
         return 2, {}
-    vectors = _vectors(sample, cols).persist()
+    vectors = with_vectors(rows, cols).persist()
     try:
         models = _fit_best(vectors.select("_features"), ks, seed, restarts)
         labelled = vectors
         for k in ks:
             labelled = _assign(labelled, models[k], f"label_{k}")
-        found = silhouettes(labelled.drop("_features"), cols, key, [f"label_{k}" for k in ks], exact_rows * 2, seed)
+        found = silhouettes(labelled.drop("_features"), cols, key, [f"label_{k}" for k in ks])
     finally:
         vectors.unpersist()
     scores = {k: found[f"label_{k}"][0] for k in ks if found[f"label_{k}"][0] is not None}
-    best, top = 2, -1.0
-    for k, score in scores.items():
-        if score > top:
-            best, top = k, score
-    return best, scores
+    return max(scores, key=lambda k: (scores[k], -k), default=2), scores
 
 
 def silhouettes(
-    labelled: DataFrame, cols: list[str], key: str, label_cols: list[str], exact_rows: int = EXACT_ROWS, seed: int = 42
+    labelled: DataFrame, cols: list[str], key: str, label_cols: list[str], sample_rows: int | None = None, seed: int = 42
 ) -> dict[str, tuple[float | None, int]]:
     """Mean Euclidean silhouette and rows used, for several labellings at once.
 
-    Noise (-1) is left out.  Exact up to ``exact_rows`` rows, else estimated on
-    a hash sample of that size; the distances of a row are computed once for
-    all labellings.
+    Noise (-1) is left out.  Every row meets every row, which is the
+    definition and takes quadratic time; with ``sample_rows`` the score is an
+    estimate over a hash sample of about that many rows.
     """
-    sample, _ = bounded_sample(labelled, key, exact_rows, seed)
-    # bounded by exact_rows rows
-    pdf = sample.select(*[col(c) for c in cols], *label_cols).toPandas()
-    points, labels = pdf[cols].to_numpy(float), {c: pdf[c].to_numpy(int) for c in label_cols}
+    rows = hash_sample(labelled, key, sample_rows, seed)
+    counts = {c: {r[0]: r[1] for r in rows.groupBy(col(c)).count().collect()} for c in label_cols}  # one row per group
     result: dict[str, tuple[float | None, int]] = {}
-    groups = {}
-    for c, values in labels.items():
-        kept = values[values != -1]
-        names, codes = np.unique(kept, return_inverse=True)
-        if len(names) < 2 or len(kept) <= len(names):
-            result[c] = (None, len(kept))
-            continue
-        code = np.full(len(values), -1)
-        code[values != -1] = codes
-        groups[c] = code
-    if not groups:
+    numbers: dict[str, list] = {}
+    for c, sizes in counts.items():
+        names = sorted(n for n in sizes if n is not None and n != -1)
+        kept = sum(sizes[n] for n in names)
+        if len(names) < 2 or kept <= len(names):
+            result[c] = (None, kept)
+        else:
+            numbers[c] = names
+    if not numbers:
         return result
-    spark = labelled.sparkSession
-    shared = spark.sparkContext.broadcast((points, groups))
-
-    def score(batches):
-        points, groups = shared.value
-        squares = (points * points).sum(axis=1)
-        sizes = {c: np.bincount(code[code >= 0]).astype(float) for c, code in groups.items()}
-        members = {c: np.flatnonzero(code >= 0)[np.argsort(code[code >= 0], kind="stable")] for c, code in groups.items()}
-        totals = {c: 0.0 for c in groups}
-        step = max(1, 8_000_000 // len(points))
-        for batch in batches:
-            at = batch["id"].to_numpy()
-            for start in range(0, len(at), step):
-                rows = at[start : start + step]
-                d2 = squares[rows, None] + squares[None, :] - 2.0 * points[rows] @ points.T
-                distance = np.sqrt(np.maximum(d2, 0.0))
-                distance[np.arange(len(rows)), rows] = 0.0
-                for c, code in groups.items():
-                    mine = code[rows]
-                    use = mine >= 0
-                    starts = np.concatenate([[0], np.cumsum(sizes[c])[:-1]]).astype(int)
-                    sums = np.add.reduceat(distance[use][:, members[c]], starts, axis=1)
-                    own = (np.arange(use.sum()), mine[use])
-                    size = sizes[c][mine[use]]
-                    within = sums[own] / np.maximum(size - 1, 1)
-                    means = sums / sizes[c]
-                    means[own] = np.inf
-                    other = means.min(axis=1)
-                    top = np.maximum(within, other)
-                    value = np.where((size > 1) & (top > 0), (other - within) / np.where(top > 0, top, 1.0), 0.0)
-                    totals[c] += float(value.sum())
-        yield pd.DataFrame({"name": list(totals), "total": list(totals.values())})
-
-    ids = spark.range(0, len(points), 1, spark.sparkContext.defaultParallelism)
-    sums = ids.mapInPandas(score, "name string, total double").groupBy("name").agg(F.sum("total").alias("total"))
-    for r in sums.collect():
-        n = int((groups[r["name"]] >= 0).sum())
-        result[r["name"]] = (r["total"] / n, n)
+
+    def number(c: str) -> Column:
+        pairs = [F.lit(x) for i, n in enumerate(numbers[c]) for x in (n, i)]
+        return F.coalesce(F.create_map(*pairs)[col(c)], F.lit(-1)).alias(f"_g{list(numbers).index(c)}")
+
+    groups = {f"_g{i}": len(names) for i, names in enumerate(numbers.values())}
+    sums = distance_sums(rows.select(*[col(c) for c in cols], *[number(c) for c in numbers]), cols, groups)
+    start, cells = 0, []
+    for i, (c, names) in enumerate(numbers.items()):
+        own, sizes = F.col(f"_g{i}"), [counts[c][n] for n in names]
+        size = F.element_at(F.array(*[F.lit(float(s)) for s in sizes]), own + 1)
+        within = F.element_at("sums", own + 1 + start) / F.greatest(size - 1, F.lit(1.0))
+        means = [F.when(own != j, F.element_at("sums", start + j + 1) / float(s)) for j, s in enumerate(sizes)]
+        other = F.array_min(F.array(*means))
+        top = F.greatest(within, other)
+        value = F.when((size > 1) & (top > 0), (other - within) / top).otherwise(0.0)
+        cells.append(F.avg(F.when(own >= 0, value)).alias(f"s{i}"))
+        start += len(names)
+    row = sums.agg(*cells).first()
+    for i, (c, names) in enumerate(numbers.items()):
+        result[c] = (row[i], sum(counts[c][n] for n in names))
     return result
 
 
@@ -207,7 +177,7 @@ def _run_kmeans(scaled, cols, key, config):
 
 
 def _run_dbscan(scaled, cols, key, config):
-    eps = config.dbscan_eps or estimate_eps(scaled, cols, key, config.dbscan_min_samples, seed=config.random_state)
+    eps = config.dbscan_eps or estimate_eps(scaled, cols, key, config.dbscan_min_samples)
     labels = dbscan(scaled, cols, key, eps, config.dbscan_min_samples)
     rows = scaled.join(labels, key).select(col(key), *[col(c) for c in cols], "label")
     return rows, {"eps": round(float(eps), 4), "min_samples": config.dbscan_min_samples}
@@ -226,5 +196,5 @@ def run_clustering(scaled: DataFrame, cols: list[str], key: str, config: Analysi
     rows = project_2d(labelled, cols)
     sizes = cluster_sizes(labelled)
     n_clusters = segment_overview(sizes).first()["n_clusters"]
-    score, used = silhouettes(labelled, cols, key, ["label"], seed=config.random_state)["label"]
+    score, used = silhouettes(labelled, cols, key, ["label"])["label"]
     return Clustering(name, rows, list(cols), n_clusters, sizes, score, used, params)

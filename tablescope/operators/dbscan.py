@@ -14,19 +14,17 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.graph import connected_components
 from ..functions.ordered import dense_index
 from ..functions.skew import SALTS, hot_key_hashes, is_hot, salted_join
 from ..functions.values import col
 from ..session import cut_lineage
-from .sampling import EXACT_ROWS, bounded_sample, vectors_of
+from .blocks import LEAF_ROWS, kth_distances
 
 DEFAULT_EPS = 0.5
-CURVE_ROWS = 2_000
+KNEE_RANGES = 10_000
 COARSE_AXES = 4
 MAX_HALVINGS = 40
 STEPS_PER_ROW = 64  # comparisons of points per row of the table
@@ -34,58 +32,41 @@ MAX_STEPS = 1e8  # and for one pair of cells
 
 
 # ------------------------------------------------------------------ k-distance
-def k_distances(scaled: DataFrame, cols: list[str], key: str, k: int, exact_rows: int = EXACT_ROWS, seed: int = 42) -> DataFrame:
-    """``(key, k_distance)``: distance to the k-th nearest row, itself included.
+def k_distances(scaled: DataFrame, cols: list[str], key: str, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """``(key, k_distance)`` for every row: distance to the k-th nearest row, itself included."""
+    return kth_distances(scaled, cols, key, k, leaf_rows)
 
-    Exact for every row up to ``exact_rows`` rows; above, for a hash sample of
-    ``CURVE_ROWS`` rows, each of them still being compared with all rows.
-    """
-    queries, _ = bounded_sample(scaled, key, exact_rows, seed, min(exact_rows, CURVE_ROWS))
-    ids, points = vectors_of(queries, cols, key)
-    shared = scaled.sparkSession.sparkContext.broadcast(points)
-
-    def nearest(batches):
-        """Per partition, the k smallest squared distances of every query."""
-        q = shared.value
-        best = np.full((len(q), k), np.inf)
-        for pdf in batches:
-            x = pdf.to_numpy(float)
-            rows = max(1, 4_000_000 // max(len(q), 1))
-            for start in range(0, len(x), rows):
-                part = x[start : start + rows]
-                d2 = np.zeros((len(q), len(part)))
-                for j in range(q.shape[1]):
-                    gap = q[:, j, None] - part[None, :, j]
-                    d2 += gap * gap
-                joined = np.concatenate([best, d2], axis=1)
-                best = np.partition(joined, k - 1, axis=1)[:, :k] if joined.shape[1] > k else joined
-        yield pd.DataFrame({"query": np.arange(len(q)), "near": list(np.sort(best, axis=1))})
-
-    parts = scaled.select(*[col(c) for c in cols]).mapInPandas(nearest, "query int, near array<double>")
-    # each partition sends k numbers per query
-    merged = parts.groupBy("query").agg(F.element_at(F.array_sort(F.flatten(F.collect_list("near"))), k).alias("d2"))
-    names = scaled.sparkSession.createDataFrame(list(enumerate(ids)), f"query int, `{key}` {scaled.schema[key].dataType.simpleString()}")
-    return names.join(merged, "query").select(col(key), F.sqrt("d2").alias("k_distance"))
-
-
-def knee_value(values: np.ndarray) -> float:
-    """Value of an ascending curve farthest from the line through its ends."""
-    n = len(values)
-    if n < 3:
-        return float(values[-1]) if n else DEFAULT_EPS
-    line = values[0] + (values[-1] - values[0]) * np.arange(n) / (n - 1)
-    return float(values[int(np.argmax(np.abs(line - values)))])
 
+def knee_value(curve: DataFrame, value: str = "k_distance") -> float:
+    """Value of an ascending curve farthest from the line through its ends, the smaller on ties.
 
-def estimate_eps(scaled: DataFrame, cols: list[str], key: str, min_samples: int = 5, exact_rows: int = EXACT_ROWS, seed: int = 42) -> float:
-    """Radius at the knee of the k-distance curve."""
+    Equal values share the line's nearest ends: of a run of equal values only
+    the first and last place can be farthest, so values are counted first and
+    their places follow from running counts.
+    """
+    counts = cut_lineage(curve.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    ends = counts.agg(F.min("v"), F.max("v"), F.sum("n")).first()
+    low, high, n = ends[0], ends[1], ends[2] or 0
+    if n < 3:
+        return float(high) if n else DEFAULT_EPS
+    # Running counts: ranges of values, in order, then inside each range.
+    ranged = counts.withColumn("r", F.least(F.floor((F.col("v") - low) / ((high - low) or 1.0) * KNEE_RANGES), F.lit(KNEE_RANGES - 1)))
+    before = ranged.groupBy("r").agg(F.sum("n").alias("m")).withColumn("before", F.sum("m").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)))  # at most KNEE_RANGES rows
+    inside = F.sum("n").over(Window.partitionBy("r").orderBy("v"))
+    places = ranged.withColumn("upto", inside).join(F.broadcast(before.select("r", F.coalesce("before", F.lit(0)).alias("before"))), "r")
+    last = F.col("before") + F.col("upto") - 1
+    first = last - F.col("n") + 1
+    off = [F.struct(F.abs(low + (high - low) * p / (n - 1) - F.col("v")).alias("off"), (-p).alias("p"), F.col("v").alias("v")) for p in (first, last)]
+    return float(places.agg(F.max(F.greatest(*off)).alias("x")).first()["x"]["v"])
+
+
+def estimate_eps(scaled: DataFrame, cols: list[str], key: str, min_samples: int = 5, leaf_rows: int = LEAF_ROWS) -> float:
+    """Radius at the knee of the k-distance curve of all rows."""
     n_rows = scaled.agg(F.count(F.lit(1))).first()[0]
     k = min(min_samples, n_rows - 1)
     if k < 1:
         return DEFAULT_EPS
-    # at most exact_rows numbers reach the driver
-    curve = k_distances(scaled, cols, key, k, exact_rows, seed).select("k_distance").toPandas()["k_distance"].to_numpy()
-    eps = knee_value(np.sort(curve))
+    eps = knee_value(k_distances(scaled, cols, key, k, leaf_rows))
     return eps if eps > 0 else DEFAULT_EPS
 
 

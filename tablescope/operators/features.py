@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..errors import InsufficientDataError
@@ -34,7 +35,8 @@ def impute_median(df: DataFrame, cols: list[str], keep: list[str] | None = None,
     """Numeric columns with gaps filled by the exact median."""
     fill = medians(df, cols, **ordering)
     numbers = numeric_projection(df, cols, keep)
-    return numbers.fillna({c: v for c, v in fill.items() if v is not None}) if fill else numbers
+    known = {c: v for c, v in fill.items() if v is not None}
+    return numbers.select(*[F.coalesce(col(c), F.lit(known[c])).alias(c) if c in known else col(c) for c in numbers.columns]) if known else numbers
 
 
 @dataclass
@@ -74,11 +76,16 @@ def feature_frame(df: DataFrame, cols: list[str], keep: list[str] | None = None,
     return scale(impute_median(df, cols, keep, **ordering), cols, keep)
 
 
+def with_vectors(scaled: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows with the columns gathered in a vector ``_features``; any column name will do."""
+    return scaled.withColumn("_features", array_to_vector(F.array(*[col(c).cast("double") for c in cols])))
+
+
 def principal_axes(scaled: DataFrame, cols: list[str]) -> list[list[float]] | None:
     """Two main axes; the sign makes the largest loading of each positive."""
     if len(cols) < 2:
         return None
-    vectors = VectorAssembler(inputCols=cols, outputCol="_features").transform(scaled).select("_features")
+    vectors = with_vectors(scaled, cols).select("_features")
     components = PCA(k=2, inputCol="_features", outputCol="_pc").fit(vectors).pc.toArray()
     axes = []
     for j in range(2):

@@ -17,7 +17,6 @@ from ..functions.values import col
 
 TREES = 100
 SAMPLE_ROWS = 256
-POOL_ROWS = 32_768  # rows the tree samples are drawn from in a large table
 HASH_RANGE = 2**31
 
 
@@ -35,29 +34,28 @@ def _hash(key: str, *salts) -> "F.Column":
 
 
 def tree_samples(numbers: DataFrame, cols: list[str], key: str, n_rows: int, seed: int, trees: int = TREES) -> DataFrame:
-    """``(tree, *cols)``: a uniform sample without replacement for each tree."""
-    pool, pool_rows = numbers, n_rows
-    if n_rows > 2 * POOL_ROWS:
-        pool = numbers.filter(_hash(key, F.lit(seed)) < int(HASH_RANGE * (POOL_ROWS / n_rows)))
-        pool_rows = POOL_ROWS
+    """``(tree, x0, x1, ...)``: a uniform sample without replacement for each tree."""
     # draw some more than needed, then cut each tree to its exact size
-    share = min(1.0, (1.3 * SAMPLE_ROWS + 50) / max(pool_rows, 1))
+    share = min(1.0, (1.3 * SAMPLE_ROWS + 50) / max(n_rows, 1))
+    limit = F.lit(int(HASH_RANGE * share))
+    hashes = F.array(*[_hash(key, F.lit(t), F.lit(seed)) for t in range(trees)])
     drawn = (
-        pool.select(col(key), *[col(c) for c in cols])
-        .withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("_h", _hash(key, F.col("tree"), F.lit(seed)))
-        .filter(F.col("_h") < int(HASH_RANGE * share))
+        numbers.select(col(key), *[col(c).alias(f"x{i}") for i, c in enumerate(cols)])
+        .withColumn("_hs", hashes)
+        .filter(F.array_min("_hs") < limit)  # most rows of a large table leave here
+        .select("*", F.posexplode("_hs").alias("tree", "_h"))
+        .filter(F.col("_h") < limit)
     )
     place = F.row_number().over(Window.partitionBy("tree").orderBy("_h", col(key)))
-    return drawn.withColumn("_n", place).filter(F.col("_n") <= SAMPLE_ROWS).select("tree", *[col(c) for c in cols])
+    return drawn.withColumn("_n", place).filter(F.col("_n") <= SAMPLE_ROWS).select("tree", *[f"x{i}" for i in range(len(cols))])
 
 
-def _grower(cols: list[str], seed: int, limit: int):
+def _grower(axes: int, seed: int, limit: int):
     """Function that grows one tree from its sample."""
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        points = pdf[cols].to_numpy(float)
+        points = pdf[[f"x{i}" for i in range(axes)]].to_numpy(float)
         points = points[np.lexsort(points.T)]  # rows arrive in any order
         rng = np.random.default_rng([seed, tree])
         nodes, todo = [], [(0, np.arange(len(points)), 0)]
@@ -90,7 +88,7 @@ def isolation_scores(numbers: DataFrame, cols: list[str], key: str, seed: int =
     limit = math.ceil(math.log2(max(sample_rows, 2)))
     schema = "tree int, node int, axis int, cut double, left int, right int, path double"
     samples = tree_samples(numbers, cols, key, n_rows, seed, trees)
-    grown = samples.groupBy("tree").applyInPandas(_grower(cols, seed, limit), schema)
+    grown = samples.groupBy("tree").applyInPandas(_grower(len(cols), seed, limit), schema)
     # at most trees * (2 * 256 - 1) nodes, whatever the table size
     nodes = grown.toPandas()
     ids = {t: i for i, t in enumerate(sorted(nodes["tree"].unique()))}

@@ -17,6 +17,7 @@ DATE_SAMPLE_ROWS = 50
 DATE_SHARE = 0.9
 DATE_SEPARATOR = "[-/:]"
 # -----------------------------------------------------------------------------
+SHORT_TEXT = 64  # characters up to which a value is its own key
 DATE_FORMATS = (
     "yyyy-M-d", "yyyy/M/d", "yyyy.M.d", "yyyy-M", "d/M/yyyy", "M/d/yyyy", "d-M-yyyy", "M-d-yyyy",
     "d-MMM-yyyy", "d MMM yyyy", "MMM d, yyyy", "MMM d yyyy", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m",
@@ -36,11 +37,24 @@ def boolean_token(value: Column) -> Column:
     return F.lower(strip(value)).isin(*BOOLEAN_TOKENS)
 
 
-def value_histogram(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """``(ord, value, n, first_id)`` over all columns: one shuffle of combined counts."""
+def long_values(df: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """``(_id, ord, value)``: every value present, as text, one per row."""
     texts = df.select(col(key).alias("_id"), *[value_text(df, c).alias(f"_c{i}") for i, c in enumerate(cols)])
     cells = [F.struct(F.lit(i).alias("ord"), F.col(f"_c{i}").alias("value")) for i in range(len(cols))]
-    long = texts.select("_id", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    return texts.select("_id", F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+
+
+def digest(value: Column) -> Column:
+    """A mark and a SHA-256; longer than any short text, so never equal to one."""
+    return F.concat(F.lit("\0"), F.sha2(value.cast("binary"), 256))
+
+
+def value_histogram(df: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """``(ord, value, n, first_id)`` over all columns: one shuffle of combined counts.
+
+    A value longer than ``SHORT_TEXT`` goes by its digest, so free text is never shuffled.
+    """
+    long = long_values(df, cols, key).withColumn("value", F.when((F.length("value") <= SHORT_TEXT) | boolean_token(F.col("value")), F.col("value")).otherwise(digest(F.col("value"))))
     return long.groupBy("ord", "value").agg(F.count(F.lit(1)).alias("n"), F.min("_id").alias("first_id"))
 
 
@@ -57,26 +71,32 @@ def gap_counts(df: DataFrame, cols: list[str]) -> DataFrame:
     )
 
 
-def sample_values(histogram: DataFrame, limit: int) -> DataFrame:
+def sample_values(histogram: DataFrame, limit: int, df: DataFrame, cols: list[str], key: str) -> DataFrame:
     """First distinct values of each column in row order.
 
     The rank filter is pushed below the shuffle, so a task passes on at most
-    ``limit`` rows per column.
+    ``limit`` rows per column; long values are then fetched by row id.
     """
     in_order = Window.partitionBy("ord").orderBy("first_id", "value")
     firsts = histogram.filter(F.col("n") > 0).withColumn("place", F.row_number().over(in_order)).filter(F.col("place") <= limit)
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, (T.StringType, T.BinaryType)) or is_nested(df.schema[c].dataType)]
+    if texts:
+        # at most ``limit`` rows per column
+        wanted = F.broadcast(firsts.filter(F.col("value").startswith("\0")).select(F.col("ord").alias("of"), F.col("first_id").alias("at")))
+        numbers = F.element_at(F.array(*[F.lit(cols.index(c)) for c in texts]), F.col("ord") + 1)
+        whole = long_values(df, texts, key).withColumn("ord", numbers).join(wanted, (F.col("ord") == F.col("of")) & (F.col("_id") == F.col("at"))).select("ord", F.col("_id").alias("first_id"), F.col("value").alias("whole"))
+        firsts = firsts.join(F.broadcast(whole), ["ord", "first_id"], "left").withColumn("value", F.coalesce("whole", "value"))
     ordered = F.array_sort(F.collect_list(F.struct("place", "value")))
     return firsts.groupBy("ord").agg(ordered.alias("v")).select("ord", F.col("v.value").alias("sample_values"))
 
 
 def date_share(df: DataFrame, cols: list[tuple[int, str]], key: str) -> DataFrame:
     """``(ord, has_separator, date_share)`` over the first rows of text columns."""
-    heads = []
-    for i, c in cols:
-        value = col(c)
-        head = df.select(col(key).alias("_id"), value.alias("value")).filter(F.col("value").isNotNull()).orderBy("_id").limit(DATE_SAMPLE_ROWS)
-        heads.append(head.select(F.lit(i).alias("ord"), "value"))
-    sample = reduce(DataFrame.unionByName, heads)
+    cells = [F.struct(F.lit(i).alias("ord"), col(c).alias("value")) for i, c in cols]
+    long = df.select(col(key).alias("_id"), F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
+    # the rank filter is pushed below the shuffle: one scan, a few rows per task and column
+    place = F.row_number().over(Window.partitionBy("ord").orderBy("_id"))
+    sample = long.withColumn("place", place).filter(F.col("place") <= DATE_SAMPLE_ROWS)
     return sample.groupBy("ord").agg(
         F.bool_or(F.col("value").rlike(DATE_SEPARATOR)).alias("has_separator"),
         F.avg(date_from_text(F.col("value")).isNotNull().cast("int")).alias("date_share"),
@@ -102,7 +122,7 @@ def column_profile(df: DataFrame, cols: list[str] | None = None, key: str | None
     )
     texts = [(i, c) for i, c in enumerate(cols) if isinstance(types[c], T.StringType)]
     # every joined table holds one row per column of the data set
-    table = gaps.join(F.broadcast(values), "ord", "left").join(F.broadcast(sample_values(histogram, max_samples)), "ord", "left")
+    table = gaps.join(F.broadcast(values), "ord", "left").join(F.broadcast(sample_values(histogram, max_samples, df, cols, row_key)), "ord", "left")
     if texts:
         table = table.join(F.broadcast(date_share(df, texts, row_key)), "ord", "left")
     else:

@@ -13,7 +13,7 @@ from ..config import AnalysisConfig
 from ..errors import TablescopeError, UnknownMethodError
 from ..functions import text
 from ..functions.ordered import ROWS_PER_BUCKET, add_average_ranks, find_splits, mark_ranges
-from ..functions.values import as_double, col, numeric_frame, value_text
+from ..functions.values import as_double, col, numeric_frame, quoted, value_text
 
 # ---------------------------------------------------------------- fixed values
 RISING = "Cuando {first} aumenta, {second} también tiende a aumentar."
@@ -87,7 +87,7 @@ def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, rows_per_bu
             whole.append((order, a, b, f"rank_{full.index(a)}", f"rank_{full.index(b)}"))
             continue
         used = [a] if a == b else [a, b]
-        complete = numbers.select(*[col(c) for c in used]).dropna()
+        complete = numbers.select(*[col(c) for c in used]).dropna(subset=[quoted(c) for c in used])
         ranked = add_average_ranks(complete, used, rows_per_bucket)
         frames.append(_pair_table(ranked, [(order, a, b, "rank_0", f"rank_{len(used) - 1}")], "spearman"))
     if whole:
@@ -154,7 +154,7 @@ def kendall(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCK
 
 
 def _kendall_pair(df: DataFrame, order: int, a: str, b: str, rows_per_bucket: int) -> DataFrame:
-    points = numeric_frame(df, [a, b]).dropna()
+    points = numeric_frame(df, [a, b]).dropna(subset=[quoted(a), quoted(b)])
     counts = points.groupBy(col(a).alias("x"), col(b).alias("y")).agg(F.count(F.lit(1)).alias("n"))
     size = counts.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("n")).first()
     if size["distinct"] > KENDALL_RANGES * rows_per_bucket:

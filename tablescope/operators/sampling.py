@@ -1,26 +1,18 @@
-"""Hash samples of bounded size, repeatable and independent of partitioning."""
+"""Hash samples, repeatable and independent of partitioning."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.values import col
 
-EXACT_ROWS = 20_000
 HASH_RANGE = 2**31
 
 
-def bounded_sample(df: DataFrame, key: str, exact_rows: int, seed: int, sample_rows: int | None = None) -> tuple[DataFrame, int]:
-    """All rows up to ``exact_rows``; above, about ``sample_rows`` of them by key hash."""
+def hash_sample(df: DataFrame, key: str, rows: int | None, seed: int) -> DataFrame:
+    """About ``rows`` rows by key hash, or all of them where the caller asks for no sample."""
+    if rows is None:
+        return df
     n_rows = df.agg(F.count(F.lit(1))).first()[0]
-    if n_rows <= exact_rows:
-        return df, n_rows
-    share = int(HASH_RANGE * ((sample_rows or exact_rows) / n_rows))
-    return df.filter(F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(HASH_RANGE)) < share), n_rows
-
-
-def vectors_of(sample: DataFrame, cols: list[str], key: str) -> tuple[list, np.ndarray]:
-    """Ids and coordinates of a bounded sample."""
-    pdf = sample.select(col(key), *[col(c) for c in cols]).orderBy(col(key)).toPandas()
-    return pdf[key].tolist(), pdf[cols].to_numpy(float)
+    share = int(HASH_RANGE * min(1.0, rows / max(1, n_rows)))
+    return df.filter(F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(HASH_RANGE)) < share)

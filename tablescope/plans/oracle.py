@@ -74,7 +74,7 @@ SQL["missing_tokens"] = """SELECT c_custkey,
     CASE WHEN c_nationkey IN (3, 4, 5) THEN NULL WHEN c_nationkey = 6 THEN 'none' ELSE c_mktsegment END AS segmento,
     CASE WHEN c_nationkey IN (7, 8) THEN NULL ELSE c_nationkey::DOUBLE END AS nacion,
     'c_custkey:bigint,segmento:string,nacion:double' AS types FROM customer"""
-SQL["run_metadata"] = "SELECT 'supplier' AS source, count(*)::BIGINT AS n_rows, 4::BIGINT AS n_cols FROM supplier"
+SQL["run_metadata"] = "SELECT 'supplier' AS source, count(*)::BIGINT AS n_rows, 3::BIGINT AS n_cols FROM supplier"
 
 SQL["many_datasets"] = """SELECT 'supplier' AS source, count(*) AS n_rows, 4::BIGINT AS n_cols FROM supplier
     UNION ALL SELECT 'nation', count(*), 3::BIGINT FROM nation"""
@@ -386,6 +386,19 @@ SQL["knee_eps"] = f"""WITH c AS (SELECT k_distance AS y, row_number() OVER (ORDE
     min(k_distance) OVER () AS low, max(k_distance) OVER () AS high FROM ({K_DISTANCES}))
     SELECT round(y, 6) AS eps FROM c ORDER BY abs(low + (high - low) * x / (n - 1) - y) DESC, x LIMIT 1"""
 
+# Planted groups: bands of the size, far apart.
+BAND = "CASE WHEN p_size <= 10 THEN 0 WHEN p_size <= 25 THEN 1 ELSE 2 END"
+BANDED = f"(SELECT p_partkey, {BAND} AS label, {BAND} * 100 + p_size * 0.01::DOUBLE AS v0, {BAND} * {BAND} * 40 - p_size * 0.02::DOUBLE AS v1 FROM part)"
+SQL["kmeans_planted"] = f"""SELECT p_partkey, place AS label FROM {BANDED} JOIN
+    (SELECT label, row_number() OVER (ORDER BY count(*) DESC, avg(v0), avg(v1)) - 1 AS place FROM {BANDED} GROUP BY label) USING (label)"""
+SQL["auto_k_planted"] = f"""SELECT count(DISTINCT label) AS k, any_value(s) AS silhouette FROM {BANDED},
+    (SELECT round(silhouette, 6) AS s FROM ({silhouette(BANDED, "p_partkey", "sqrt((a.v0 - b.v0) * (a.v0 - b.v0) + (a.v1 - b.v1) * (a.v1 - b.v1))")}))"""
+SQL["analysis_guards"] = f"""SELECT 'whole' AS caso, count(DISTINCT p_size) AS filas, 2::BIGINT AS pares, count(DISTINCT label) AS segmentos, 1::BIGINT AS metodos, true AS hallazgos FROM {BANDED}
+    UNION ALL SELECT 'one_column', count(DISTINCT p_size), 0, 0, 1, true FROM part UNION ALL SELECT 'one_row', count(*), 2, 0, 1, true FROM part WHERE p_partkey = 1
+    UNION ALL SELECT 'empty', count(*), 0, 0, 0, false FROM part WHERE p_partkey < 0 UNION ALL SELECT 'registry', 2, 0, 0, 3, false"""
+SQL["iforest_planted"] = "SELECT event_id, true AS is_isolation_forest FROM events WHERE event_id % 100 = 0"
+SQL["iforest_planted_fraction"] = "SELECT event_id FROM events WHERE event_id % 100 = 0"
+
 SIZES = f"(SELECT label, count(*) AS size FROM {PARTS} GROUP BY label)"
 SQL["cluster_sizes"] = f"SELECT label::BIGINT AS label, size FROM {SIZES}"
 SQL["segment_ranking"] = f"SELECT label::BIGINT AS label, size FROM {SIZES} WHERE label <> -1"

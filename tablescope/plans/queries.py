@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..config import AnalysisConfig
 from ..functions import text
 from ..operators import anomaly, clean, cluster, dbscan, describe, features, iforest, insights, profile, relate, segments
-from ..session import shared_folder
+from ..errors import EmptyDatasetError
+from ..session import cut_lineage, shared_folder
 from ..sources import files
 from ..sources.files import load_dataset
 from .report import Analyzer, basic_statistics
@@ -163,8 +164,9 @@ def missing_tokens(spark, folder):
 @query
 def run_metadata(spark, folder):
     """Size recorded for a run; the time stamps are not comparable."""
-    prof = profile.column_profile(table(spark, folder, "supplier"), key="s_suppkey")
-    return tidy(profile.dataset_profile(prof).select(F.lit("supplier").alias("source"), "n_rows", "n_cols"))
+    config = AnalysisConfig(correlation_methods=["pearson"], anomaly_methods=["zscore"], clustering_algorithm="none")
+    report = Analyzer(spark, config).analyze(table(spark, folder, "supplier"), "s_suppkey")
+    return tidy(report.metadata.select(F.lit("supplier").alias("source"), "n_rows", "n_cols"))
 
 
 @query
@@ -492,6 +494,46 @@ def auto_k(spark, folder):
     return spark.createDataFrame([(k, s, k == best) for k, s in scores.items()], "k int, silhouette double, chosen boolean")
 
 
+def planted_parts(spark, folder) -> DataFrame:
+    """part with two coordinates in which the bands of the size lie far apart."""
+    size = F.col("p_size")
+    band = F.when(size <= 10, 0).when(size <= 25, 1).otherwise(2)
+    return table(spark, folder, "part").select("p_partkey", (band * 100 + size * 0.01).alias("este"), (band * band * 40 - size * 0.02).alias("norte.sur"))
+
+
+PLANTED = ["este", "norte.sur"]
+
+
+@query
+def kmeans_planted(spark, folder):
+    """Three far groups: the optimum is unique; segments are numbered by size."""
+    return tidy(cluster.kmeans(planted_parts(spark, folder), PLANTED, "p_partkey", 3).select("p_partkey", "label"))
+
+
+@query
+def auto_k_planted(spark, folder):
+    """The number of far groups and the silhouette of all rows for it."""
+    best, scores = cluster.choose_k(planted_parts(spark, folder), PLANTED, "p_partkey", (2, 4), restarts=3)
+    return spark.createDataFrame([(best, round(scores[best], 6))], "k bigint, silhouette double")
+
+
+@query
+def analysis_guards(spark, folder):
+    """Which stages run on whole and on reduced tables, and which errors are told apart."""
+    parts, said = planted_parts(spark, folder), []
+    run = lambda df, **options: Analyzer(spark, AnalysisConfig(anomaly_methods=["zscore"], kmeans_k=3, **options)).analyze(df, "p_partkey")
+    whole, single = run(parts), run(parts.select("p_partkey", "este"))
+    for case, report in (("whole", whole), ("one_column", single), ("one_row", run(parts.where("p_partkey = 1")))):
+        n = report.clustering.n_clusters if report.clustering else 0
+        said.append((case, report.profile.n_rows, report.correlations.count(), n, len(report.anomaly_methods), report.insights.count() > 0))
+    try:
+        run(parts.where("p_partkey < 0"))
+    except EmptyDatasetError:
+        said.append(("empty", 0, 0, 0, 0, False))
+    said.append(("registry", len(cluster.ALGORITHMS), 0, 0, len(anomaly.DETECTORS), False))
+    return spark.createDataFrame(said, "caso string, filas bigint, pares bigint, segmentos bigint, metodos bigint, hallazgos boolean")
+
+
 @query
 def silhouette_score(spark, folder):
     """Euclidean silhouette of the given labels of the embeddings."""
@@ -644,6 +686,29 @@ def iforest_fraction(spark, folder):
     return found.select("event_id", "is_isolation_forest")
 
 
+def planted_signals(spark, folder) -> DataFrame:
+    """signals with every hundredth row far outside."""
+    out = F.col("event_id") % 100 == 0
+    rows = signals(spark, folder)
+    return rows.select("event_id", F.when(out, 1e7 + F.col("event_id")).otherwise(F.col("value")).alias("value"), F.when(out, -1e7).otherwise(F.col("grupo_usuario")).alias("grupo.usuario"))
+
+
+@query
+def iforest_planted(spark, folder):
+    """The rows planted far outside, as flagged by the automatic limit."""
+    found = iforest.isolation_forest_flags(planted_signals(spark, folder), ["value", "grupo.usuario"], "event_id")
+    return found.where("event_id % 100 = 0").select("event_id", "is_isolation_forest")
+
+
+@query
+def iforest_planted_fraction(spark, folder):
+    """One row in a hundred is flagged: the planted ones."""
+    rows = planted_signals(spark, folder)
+    share = rows.agg(F.avg((F.col("event_id") % 100 == 0).cast("double"))).first()[0]
+    found = iforest.isolation_forest_flags(rows, ["value", "grupo.usuario"], "event_id", share)
+    return found.where("is_isolation_forest").select("event_id")
+
+
 # ----------------------------------------------------------------- insights (I)
 def _order_profile(spark, folder) -> DataFrame:
     df = _dirty_orders(spark, folder).withColumns({"estado": F.trim("estado"), "prioridad": F.nullif("prioridad", F.lit("")), "nota": F.nullif(F.trim("nota"), F.lit(""))})
@@ -694,8 +759,9 @@ def clustering_insights(spark, folder):
 def insights_table(spark, folder):
     pairs = relate.distinct_pairs(relate.strong_pairs(relate.pearson(priced(spark, folder), RELATED).withColumn("method_ord", F.lit(0))))
     found = relate.dependencies(banded(spark, folder), ["banda"], PRICES)
+    prof = cut_lineage(_order_profile(spark, folder))
     parts = [
-        insights.dataset_insight(_order_profile(spark, folder)), insights.missing_insights(_order_profile(spark, folder)),
+        insights.dataset_insight(prof), insights.missing_insights(prof),
         insights.correlation_insights(pairs), insights.dependency_insights(found),
         insights.anomaly_insights(anomaly.anomaly_summary(*_flagged(spark, folder))),
     ]

@@ -11,7 +11,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import AnalysisConfig
-from ..errors import TablescopeError
+from ..errors import TablescopeError, UnknownMethodError
 from ..functions.values import first_row_id, nan_to_null
 from ..operators import anomaly, clean, cluster, describe, features, insights, profile as profiling, relate, segments
 from ..session import cut_lineage
@@ -76,7 +76,7 @@ class Report:
         return anomaly.agreement_counts(self.anomalies, self.anomaly_methods) if self.anomaly_methods else None
 
     def review_queue(self) -> DataFrame:
-        return anomaly.review_queue(self.anomalies, self.anomaly_methods, self.key)
+        return anomaly.review_queue(self.data if self.anomalies is None else self.anomalies, self.anomaly_methods, self.key)
 
     def executive_summary(self) -> DataFrame:
         return insights.executive_summary(self.profile.table, self.distinct_pairs(), self.clustering_summary(), self.agreement())
@@ -132,6 +132,8 @@ class Analyzer:
         for source in sources:
             try:
                 reports[str(source)] = self.analyze(str(source), **options)
+            except UnknownMethodError:
+                raise  # a wrong configuration fails for every source
             except TablescopeError as error:
                 logger.warning("Skipped '%s': %s", source, error)
         return reports

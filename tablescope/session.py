@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .errors import TablescopeError
 
+_HELD: list[tempfile.TemporaryDirectory] = []  # folders of local sessions
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own."""
@@ -28,20 +30,19 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, memory:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master, where driver and executors share one disk, may fall
-    back to a fresh temporary folder.
-    """
+    """Folder every executor can reach, as named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise TablescopeError("Set spark.checkpoint.dir to a folder shared by the cluster.")
-        folder = tempfile.mkdtemp(prefix="tablescope-")
+        # a single machine: driver and tasks share its disk; removed when the process ends
+        holder = tempfile.TemporaryDirectory(prefix="tablescope-", ignore_cleanup_errors=True)
+        _HELD.append(holder)
+        folder = holder.name
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 

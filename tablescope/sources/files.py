@@ -19,6 +19,7 @@ MISSING_TOKENS = (
 )
 TRUE_TOKENS = ("True", "TRUE", "true")
 FALSE_TOKENS = ("False", "FALSE", "false")
+OVERFLOW, DAMAGED = "_overflow_cells", "_damaged_row"
 UNDECODED = "\ufffd"  # what the reader puts in place of bytes it cannot decode
 # Python codec names and the names the reader knows them by.
 CHARSETS = {"iso8859-1": "ISO-8859-1", "ascii": "US-ASCII", "utf-8": "UTF-8", "utf-16": "UTF-16", "utf-16-be": "UTF-16BE", "utf-16-le": "UTF-16LE"}
@@ -92,6 +93,50 @@ def require_content(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def column_names(header: list[str | None]) -> list[str]:
+    """Names of a header row: blanks are numbered, repeats (also by case) get a number of their own."""
+    names: list[str] = []
+    taken: set[str] = set()
+    for i, given in enumerate(header):
+        base = given if given not in (None, "") else f"Unnamed: {i}"
+        name, n = base, 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{base}.{n}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def _read_text(spark: SparkSession, name: str, settings: dict) -> DataFrame:
+    """All cells as text under the names of the header; a row with more cells than the header is an error."""
+    plain = settings | {"inferSchema": False}
+    if str(settings.get("header")).lower() != "true":
+        return spark.read.options(**plain).csv(name)
+    first = spark.read.options(**(plain | {"header": False})).csv(name).first()
+    if first is None:
+        return spark.read.options(**plain).csv(name)
+    names = column_names(list(first))
+    wider = T.StructType([T.StructField(n, T.StringType()) for n in [*names, OVERFLOW]])
+    df = spark.read.options(**(plain | {"enforceSchema": True})).schema(wider).csv(name)
+    longer = df.filter(col(OVERFLOW).isNotNull()).count()
+    if longer:
+        raise FileValidationError(f"'{name}' has {longer} rows with more fields than its header of {len(names)}.")
+    return df.drop(OVERFLOW)
+
+
+def _bad_cells(spark: SparkSession, name: str, settings: dict, schema: T.StructType) -> int:
+    """Rows whose cells do not fit the declared types; rows that are only short do not count."""
+
+    def flagged(fields: list[T.StructField]) -> int:
+        marked = T.StructType([*fields, T.StructField(DAMAGED, T.StringType())])
+        df = spark.read.options(**(settings | {"columnNameOfCorruptRecord": DAMAGED})).schema(marked).csv(name)
+        return df.agg(F.count(F.when(col(DAMAGED).isNotNull(), F.lit(1))), *[F.count(col(f.name)) for f in fields]).first()[0]
+
+    fields = list(schema.fields)
+    return flagged(fields) - flagged([T.StructField(f.name, T.StringType()) for f in fields])
+
+
 def load_dataset(spark: SparkSession, source: str, schema: T.StructType | str | None = None, **options) -> DataFrame:
     """Delimited file, folder or glob as a DataFrame.
 
@@ -111,13 +156,16 @@ def load_dataset(spark: SparkSession, source: str, schema: T.StructType | str |
     settings.update(options)
     if "encoding" in settings:
         settings["encoding"] = CHARSETS.get(codecs.lookup(settings["encoding"]).name, settings["encoding"])
-    reader = spark.read.options(**settings)
-    if schema is not None:
-        reader = reader.schema(schema)
     try:
-        df = reader.csv(name)
-        if schema is None:
-            df = missing_to_null(df)
+        if schema is not None:
+            declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+            _read_text(spark, name, settings)
+            bad = _bad_cells(spark, name, settings, declared)
+            if bad:
+                raise FileValidationError(f"'{name}' has {bad} rows with cells that do not fit the declared types.")
+            df = spark.read.options(**settings).schema(declared).csv(name)
+        else:
+            df = missing_to_null(_read_text(spark, name, settings))
             types, damaged = examine(df)
             if damaged and "encoding" not in settings:
                 raise FileValidationError(f"'{name}' could not be decoded; try encoding='latin-1'.")

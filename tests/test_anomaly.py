@@ -41,8 +41,7 @@ def test_forest_is_repeatable_and_orders_outliers_first(spark):
     assert 15 <= share <= 21
 
 
-def test_tree_samples_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(iforest, "POOL_ROWS", 2000)
+def test_tree_samples_are_bounded(spark):
     df = spark.range(20_000).select(F.col("id"), F.rand(3).alias("a"))
     sizes = [r["count"] for r in iforest.tree_samples(df, ["a"], "id", 20_000, 42, trees=10).groupBy("tree").count().collect()]
     assert len(sizes) == 10 and max(sizes) <= iforest.SAMPLE_ROWS and min(sizes) > 200

@@ -5,7 +5,7 @@ from tablescope.config import AnalysisConfig
 from tablescope.errors import UnknownMethodError
 from tablescope.functions import skew
 from tablescope.functions.graph import connected_components
-from tablescope.operators import cluster, dbscan, features
+from tablescope.operators import blocks, cluster, dbscan, features
 
 
 def brute_dbscan(points, eps, min_samples):
@@ -62,19 +62,37 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(7)}, 7: 7, 8: 8, 9: 8, 10: 10, 11: 11}
 
 
-def test_knee():
-    assert dbscan.knee_value(np.array([])) == 0.5 and dbscan.knee_value(np.array([1.0, 2.0])) == 2.0
-    assert dbscan.knee_value(np.array([1.0, 1.0, 1.0, 1.0, 9.0])) == 1.0
+def plain_knee(values):
+    n = len(values)
+    line = values[0] + (values[-1] - values[0]) * np.arange(n) / (n - 1)
+    return float(values[int(np.argmax(np.abs(line - values)))])
 
 
-def test_eps_curve_is_exact_below_the_limit(spark):
-    points = np.random.default_rng(2).normal(0, 1, (120, 2))
+def test_knee(spark):
+    knee = lambda v: dbscan.knee_value(spark.createDataFrame([(float(x),) for x in v], "k_distance double"))
+    assert knee([]) == 0.5 and knee([1.0, 2.0]) == 2.0 and knee([1.0, 1.0, 1.0, 1.0, 9.0]) == 1.0
+    values = np.sort(np.round(np.random.default_rng(1).exponential(1, 400), 2))
+    assert knee(values[::-1]) == plain_knee(values)
+
+
+@pytest.mark.parametrize("d, leaf", [(2, 2000), (2, 20), (5, 20)])
+def test_eps_curve_is_exact(spark, d, leaf):
+    points = np.round(np.random.default_rng(2).normal(0, 1, (300, d)), 2)
+    points[:40] = points[0]
     df, cols = points_frame(spark, points)
     distance = np.sort(np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2)), axis=1)[:, 4]
+    got = dbscan.k_distances(df, cols, "k", 5, leaf).toPandas().sort_values("k")["k_distance"].to_numpy()
+    assert len(got) == 300 and np.allclose(got, distance)
+    assert dbscan.estimate_eps(df, cols, "k", 5, leaf) == pytest.approx(plain_knee(np.sort(distance)))
+
+
+def test_curve_of_many_rows_has_them_all(spark):
+    points = np.random.default_rng(3).normal(0, 1, (25_000, 2))
+    df, cols = points_frame(spark, points)
     got = dbscan.k_distances(df, cols, "k", 5).toPandas().sort_values("k")["k_distance"].to_numpy()
-    assert np.allclose(got, distance)
-    sampled = dbscan.k_distances(df, cols, "k", 5, exact_rows=40).toPandas()
-    assert 0 < len(sampled) < 120 and np.allclose(sampled["k_distance"], distance[sampled["k"]])
+    some = np.arange(0, 25_000, 500)
+    distance = np.sort(np.sqrt(((points[some, None] - points[None]) ** 2).sum(axis=2)), axis=1)[:, 4]
+    assert len(got) == 25_000 and np.allclose(got[some], distance)
 
 
 def test_kmeans_finds_three_groups(spark, groups):
@@ -88,7 +106,7 @@ def test_kmeans_finds_three_groups(spark, groups):
     assert again == cluster.kmeans(scaled, ["x", "y"], "id", 3).orderBy("id").select("label").collect()
 
 
-def test_silhouette_against_all_pairs(spark):
+def test_silhouette_against_all_pairs(spark, monkeypatch):
     rng = np.random.default_rng(4)
     points, labels = rng.normal(0, 1, (60, 2)), rng.integers(-1, 3, 60)
     labels[0] = 7  # a segment of one row scores 0
@@ -107,6 +125,8 @@ def test_silhouette_against_all_pairs(spark):
         scores.append((outside - within) / max(within, outside))
     got, n = cluster.silhouettes(df, ["a", "b"], "k", ["label"])["label"]
     assert got == pytest.approx(np.mean(scores), abs=1e-9) and n == use.sum()
+    monkeypatch.setattr(blocks, "LEAF_ROWS", 7)
+    assert cluster.silhouettes(df, ["a", "b"], "k", ["label"])["label"][0] == pytest.approx(got, abs=1e-12)
     one = df.selectExpr("k", "a", "b", "0 AS label")
     assert cluster.silhouettes(one, ["a", "b"], "k", ["label"])["label"][0] is None
 

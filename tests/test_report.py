@@ -1,6 +1,7 @@
 import pytest
 
 from tablescope.config import AnalysisConfig
+from tablescope.errors import UnknownMethodError
 from tablescope.operators import segments
 from tablescope.plans.report import Analyzer, basic_statistics
 
@@ -62,6 +63,7 @@ def test_text_only_data(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "t string")
     found = Analyzer(spark).analyze(df)
     assert found.clustering is None and found.anomalies is None and found.correlations.count() == 0
+    assert found.review_queue().columns == ["_row_id", "metodos", "coincidencias", "prioridad"] and found.review_queue().count() == 0
     assert found.insights.count() == 1
 
 
@@ -70,3 +72,22 @@ def test_unknown_algorithm_leaves_clustering_out(spark, outlier):
     found = Analyzer(spark, config).analyze(outlier, "id")
     assert found.clustering is None and found.segment_profiles() is None and found.anomaly_methods == []
     assert [r["category"] for r in found.insights.collect()] == ["dataset"]
+
+
+def test_wrong_configuration_is_loud_for_many_files(spark, tmp_path):
+    good = tmp_path / "good.csv"
+    good.write_text("a,b\n" + "\n".join(f"{i},{i % 2}" for i in range(8)))
+    with pytest.raises(UnknownMethodError):
+        Analyzer(spark, AnalysisConfig(correlation_methods=["foo"])).analyze_many([str(good)])
+
+
+def test_dotted_names_and_negative_zero(spark):
+    rows = [(i, float(i % 7) if i % 11 else None, -0.0 if i % 2 else 0.0, float(i), "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, `a.b` double, `c.d` double, `e.f` double, `g.h` string")
+    for algorithm in ("kmeans", "dbscan"):
+        config = AnalysisConfig(clustering_algorithm=algorithm, kmeans_k=2, correlation_methods=["pearson", "spearman", "kendall"])
+        found = Analyzer(spark, config, basic_statistics).analyze(df, "id")
+        assert found.clustering is not None and found.correlations.count() == 9 and len(found.anomaly_methods) == 3
+        assert found.insights.count() > 1 and found.segment_table().count() >= 1 and found.review_queue().columns[0] == "id"
+    counts = {r["name"]: r["unique_count"] for r in found.profile.table.collect()} if "name" in found.profile.table.columns else None
+    assert counts is None or counts["c.d"] == 1

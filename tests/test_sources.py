@@ -40,3 +40,23 @@ def test_bad_inputs(spark, tmp_path):
     for name, content in [("empty.csv", ""), ("header.csv", "a,b\n")]:
         with pytest.raises(errors.EmptyDatasetError):
             load_dataset(spark, write(tmp_path / name, content))
+
+
+def test_rows_with_too_many_fields_are_refused(spark, tmp_path):
+    with pytest.raises(errors.FileValidationError, match="1 rows"):
+        load_dataset(spark, write(tmp_path / "r.csv", "a,b\n1,2\n3,4,5\n6,7\n"))
+    short = load_dataset(spark, write(tmp_path / "s.csv", "a,b\n1,2\n3\n"))
+    assert [tuple(r) for r in short.collect()] == [(1, 2.0), (3, None)]
+
+
+def test_declared_types_are_checked(spark, tmp_path):
+    path = write(tmp_path / "d.csv", "a,b\n1,2\nx,4\n5\n")
+    with pytest.raises(errors.FileValidationError, match="1 rows"):
+        load_dataset(spark, path, schema="a bigint, b bigint")
+    good = load_dataset(spark, write(tmp_path / "g.csv", "a,b\n1,2\n5\n"), schema="a bigint, b bigint")
+    assert [tuple(r) for r in good.collect()] == [(1, 2), (5, None)]
+
+
+def test_header_names_are_kept(spark, tmp_path):
+    df = load_dataset(spark, write(tmp_path / "h.csv", "a,a,A,x.y,\n1,2,3,4,5\n"))
+    assert df.columns == ["a", "a.1", "A.2", "x.y", "Unnamed: 4"] and tuple(df.collect()[0]) == (1, 2, 3, 4, 5)
