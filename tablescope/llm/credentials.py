@@ -59,8 +59,8 @@ def parts(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
 def spans(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """``(_row, kind, start, end)``: all strong parts and the confirmed weak ones of :func:`parts`, ``kind`` as its number."""
-    one = [F.transform(F.col(k), lambda x, i=i: x.withField("kind", F.lit(i))) for i, (k, _, _) in enumerate(KINDS)]
-    each = reduce(lambda a, b: a.unionByName(b), [found.where(F.col(k).isNotNull()).select("_row", F.posexplode(c).alias("i", "m")).select("_row", "i", "m.*") for (k, _, _), c in zip(KINDS, one)])
+    one = [found.where(F.col(k).isNotNull()).select("_row", F.lit(i).alias("kind"), F.posexplode(k).alias("i", "m")).select("_row", "kind", "i", "m.*") for i, (k, _, _) in enumerate(KINDS)]
+    each = reduce(lambda a, b: a.unionByName(b), one)
     before = W.partitionBy("_row", "kind").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.col("hit")).over(before)
     placed = each.withColumn("end", end).withColumn("start", F.col("end") - F.col("hit")).where((F.col("kind") != 0) | (F.col("value") >= VALUE_LENGTH))
@@ -85,6 +85,10 @@ def spans(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     return placed.where(strong).unionByName(confirmed.select("_row", "kind", "start", "end"))
 
 
+def _equals(value: int):
+    return lambda x: x == value
+
+
 def report(found: DataFrame, all_spans: DataFrame) -> DataFrame:
     """One row per document: the key, counts of the strong kinds, the digest of the strong spans and all spans as text."""
     kind = F.element_at(F.array(*[F.lit(k) for k, _, _ in KINDS]), F.col("kind") + 1)
@@ -94,7 +98,8 @@ def report(found: DataFrame, all_spans: DataFrame) -> DataFrame:
     empty = found.where(F.coalesce(*[F.col(k) for k, _, _ in KINDS]).isNull()).select("_key", F.expr("cast(array() as array<struct<start:bigint,kind:int,said:string,strong:boolean>>)").alias("all"))
     both = joined.select("_key", "all").unionByName(empty).withColumn("all", F.coalesce("all", F.expr("cast(array() as array<struct<start:bigint,kind:int,said:string,strong:boolean>>)")))
     said = lambda a: F.array_join(F.transform(a, lambda x: x["said"]), ",")
-    counts = [F.size(F.filter("all", lambda x, i=i: x["kind"] == i)).cast("bigint").alias(f"n_{KINDS[i][0]}") for i in range(BASE)]
+    of_kind = F.transform("all", lambda x: x["kind"])
+    counts = [F.size(F.filter(of_kind, _equals(i))).cast("bigint").alias(f"n_{KINDS[i][0]}") for i in range(BASE)]
     base = F.sha2(said(F.filter("all", lambda x: x["strong"])).cast("binary"), 256)
     return both.select(F.col("_key").alias("doc_id"), *counts, base.alias("base_sha256"), said(F.col("all")).alias("spans"))
 
