@@ -94,6 +94,7 @@ SQL["coerced_numbers"] = """SELECT c_custkey,
 
 
 # ---------------------------------------------------------------- profiling (T)
+# fixed values: as in the results
 TOKENS = "('true', 'false', 'yes', 'no', 'si', 'sí', '1', '0', 't', 'f')"
 
 
@@ -194,6 +195,7 @@ def describe(source: str, cols: list[str]) -> str:
 
 SQL["describe_lineitem"] = tidy(describe("lineitem", PRICES), STATISTICS, ["variable", "conteo", "faltantes"])
 SQL["describe_nulls"] = tidy(describe(GAPPY, ["value", "vacia", "constante"]), STATISTICS, ["variable", "conteo", "faltantes"])
+# fixed values: as in the results
 HEADINGS = {
     "conteo": "Datos", "faltantes": "Faltantes", "media": "Media", "mediana": "Mediana", "moda": "Moda", "desviacion_estandar": "Desviación",
     "varianza": "Varianza", "minimo": "Mínimo", "q1": "Q1", "q3": "Q3", "maximo": "Máximo", "rango": "Rango", "iqr": "IQR", "asimetria": "Asimetría", "curtosis": "Curtosis",
@@ -387,13 +389,13 @@ SQL["knee_eps"] = f"""WITH c AS (SELECT k_distance AS y, row_number() OVER (ORDE
     SELECT round(y, 6) AS eps FROM c ORDER BY abs(low + (high - low) * x / (n - 1) - y) DESC, x LIMIT 1"""
 
 # Planted groups: bands of the size, far apart.
-BAND = "CASE WHEN p_size <= 10 THEN 0 WHEN p_size <= 25 THEN 1 ELSE 2 END"
-BANDED = f"(SELECT p_partkey, {BAND} AS label, {BAND} * 100 + p_size * 0.01::DOUBLE AS v0, {BAND} * {BAND} * 40 - p_size * 0.02::DOUBLE AS v1 FROM part)"
-SQL["kmeans_planted"] = f"""SELECT p_partkey, place AS label FROM {BANDED} JOIN
-    (SELECT label, row_number() OVER (ORDER BY count(*) DESC, avg(v0), avg(v1)) - 1 AS place FROM {BANDED} GROUP BY label) USING (label)"""
-SQL["auto_k_planted"] = f"""SELECT count(DISTINCT label) AS k, any_value(s) AS silhouette FROM {BANDED},
-    (SELECT round(silhouette, 6) AS s FROM ({silhouette(BANDED, "p_partkey", "sqrt((a.v0 - b.v0) * (a.v0 - b.v0) + (a.v1 - b.v1) * (a.v1 - b.v1))")}))"""
-SQL["analysis_guards"] = f"""SELECT 'whole' AS caso, count(DISTINCT p_size) AS filas, 2::BIGINT AS pares, count(DISTINCT label) AS segmentos, 1::BIGINT AS metodos, true AS hallazgos FROM {BANDED}
+PLANTED_BAND = "CASE WHEN p_size <= 10 THEN 0 WHEN p_size <= 25 THEN 1 ELSE 2 END"
+PLANTED_PARTS = f"(SELECT p_partkey, p_size, {PLANTED_BAND} AS label, {PLANTED_BAND} * 100 + p_size * 0.01::DOUBLE AS v0, {PLANTED_BAND} * {PLANTED_BAND} * 40 - p_size * 0.02::DOUBLE AS v1 FROM part)"
+SQL["kmeans_planted"] = f"""SELECT p_partkey, place AS label FROM {PLANTED_PARTS} JOIN
+    (SELECT label, row_number() OVER (ORDER BY count(*) DESC, avg(v0), avg(v1)) - 1 AS place FROM {PLANTED_PARTS} GROUP BY label) USING (label)"""
+SQL["auto_k_planted"] = f"""SELECT count(DISTINCT label) AS k, any_value(s) AS silhouette FROM {PLANTED_PARTS},
+    (SELECT round(silhouette, 6) AS s FROM ({silhouette(PLANTED_PARTS, "p_partkey", "sqrt((a.v0 - b.v0) * (a.v0 - b.v0) + (a.v1 - b.v1) * (a.v1 - b.v1))")}))"""
+SQL["analysis_guards"] = f"""SELECT 'whole' AS caso, count(DISTINCT p_size) AS filas, 2::BIGINT AS pares, count(DISTINCT label) AS segmentos, 1::BIGINT AS metodos, true AS hallazgos FROM {PLANTED_PARTS}
     UNION ALL SELECT 'one_column', count(DISTINCT p_size), 0, 0, 1, true FROM part UNION ALL SELECT 'one_row', count(*), 2, 0, 1, true FROM part WHERE p_partkey = 1
     UNION ALL SELECT 'empty', count(*), 0, 0, 0, false FROM part WHERE p_partkey < 0 UNION ALL SELECT 'registry', 2, 0, 0, 3, false"""
 SQL["iforest_planted"] = "SELECT event_id, true AS is_isolation_forest FROM events WHERE event_id % 100 = 0"
@@ -531,12 +533,11 @@ SQL["clustering_insights"] = f"""SELECT 0::BIGINT AS row_ord, 'clustering' AS ca
 SQL["insights_table"] = f"""SELECT row_number() OVER (ORDER BY g, row_ord) AS ord, category, severity, message FROM
     ({union([DATASET, MISSING, correlation_sentences(STRONG_PEARSON), dependency_sentences(BAND_DEPENDENCIES), ANOMALIES])})"""
 TOP_PAIR = f"(SELECT * FROM ({STRONG_PEARSON}) ORDER BY abs(coefficient) DESC, ord LIMIT 1)"
-SHARE_QUALITY = "CASE WHEN 1 - noise_share >= 0.5 THEN 'buena' WHEN 1 - noise_share >= 0.25 THEN 'moderada' ELSE 'baja' END"
 SQL["executive_summary"] = f"""SELECT concat_ws(' ',
     (SELECT format('El análisis incluye {{:,d}} registros y {{}} variables.', max(n_rows), count(*)) FROM ({TRIMMED_PROFILE})),
     (SELECT 'La relación numérica más marcada aparece entre ' || {lower_name("var_a")} || ' y ' || {lower_name("var_b")} || ' (' || format('{{:+.2f}}', coefficient)
         || '), que tienden a moverse ' || CASE WHEN coefficient >= 0 THEN 'en el mismo sentido' ELSE 'en sentido contrario' END || '.' FROM {TOP_PAIR}),
-    (SELECT format('Se encontraron {{}} segmentos mediante K-Means, con separación {{}}.', n_clusters, {SHARE_QUALITY}) FROM ({OVERVIEW})),
+    (SELECT format('Se encontraron {{}} segmentos mediante K-Means, con separación {{}}.', n_clusters, (SELECT lower({QUALITY}) FROM ({PART_SILHOUETTE}))) FROM ({OVERVIEW})),
     (SELECT format('{{}} registros recibieron al menos una señal de comportamiento inusual y {{}} coincidieron en todos los métodos.', any_signal, consensus) FROM ({AGREEMENT}))) AS summary"""
 SQL["recommendations"] = f"""SELECT ord, message FROM (
     SELECT 0::BIGINT AS ord, 'Revisar ' || {lower_name("var_a")} || ' junto con ' || {lower_name("var_b")} || ' en futuras comparaciones, sin asumir causalidad.' AS message FROM {TOP_PAIR}

@@ -772,8 +772,10 @@ def _summary_inputs(spark, folder):
     prof = _order_profile(spark, folder)
     pairs = relate.distinct_pairs(relate.strong_pairs(relate.pearson(priced(spark, folder), RELATED).withColumn("method_ord", F.lit(0))))
     found = relate.dependencies(banded(spark, folder), ["banda"], PRICES)
-    sizes = cluster.segment_overview(cluster.cluster_sizes(labelled_parts(spark, folder)))
-    clustering = sizes.select(F.lit("kmeans").alias("algorithm"), "n_clusters", text.quality_label(1 - F.col("noise_share")).alias("calidad"))
+    rows = labelled_parts(spark, folder)
+    score, _ = cluster.silhouettes(features.feature_frame(rows, PART_FEATURES, ["p_partkey", "label"]), PART_FEATURES, "p_partkey", ["label"])["label"]
+    sizes = cluster.segment_overview(cluster.cluster_sizes(rows))
+    clustering = sizes.select(F.lit("kmeans").alias("algorithm"), "n_clusters", text.quality_label(F.lit(score).cast("double")).alias("calidad"))
     return prof, pairs, found, clustering, anomaly.agreement_counts(*_flagged(spark, folder))
 
 
