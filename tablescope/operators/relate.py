@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
