@@ -33,8 +33,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import Scratch
 from .containment import INVERSE, BASE, _mix, _powers
 
-ORDER = 5
+ORDER = 4
 PIECE = 300_000  # bytes worked on at once
+PENDING = 1_500_000  # counts a task holds before it adds them up
 EDGE = 0xFF
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E), EDGE])
@@ -138,10 +139,12 @@ def chunk_counts(rows: DataFrame) -> DataFrame:
             chunk = batch.column(0)[0].as_py()
             taught = batch.column(1).to_numpy(zero_copy_only=False)
             ends += int(taught.sum())
-            for out, more in zip((windows, words), _local(_texts(batch.column(2)), taught)):
-                out.extend(more)
-                if len(out) > 200:
-                    out[:] = [_added(out)]
+            texts = _texts(batch.column(2))
+            for s in range(0, len(texts), 500):
+                for out, more in zip((windows, words), _local(texts[s : s + 500], taught[s : s + 500])):
+                    out.extend(more)
+                    if sum(len(k) for k, _ in out) > PENDING + 2 * len(out[0][0]):
+                        out[:] = [_added(out)]
         if chunk is None:
             return
         words.append((np.array([END_WORD]), np.array([ends])))
@@ -198,7 +201,9 @@ def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] =
         docs = scratch.keep(docs)  # chunks are partitions, so both passes have to see the same ones
     rows = docs.select(F.spark_partition_id().alias("chunk"), F.coalesce(taught, F.lit(False)).alias("taught"), F.col(text).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
     at = F.collect_list(F.struct("chunk", "n"))  # a key has one entry per chunk
-    counted = scratch.keep(chunk_counts(rows.select("chunk", "taught", "t")).groupBy("kind", "key").agg(F.sum("n").alias("total"), at.alias("at")))
+    # Dealt by key first: a chunk has one row per key, so there is nothing to combine before the shuffle.
+    counts = chunk_counts(rows.select("chunk", "taught", "t")).repartition("kind", "key")
+    counted = scratch.keep(counts.groupBy("kind", "key").agg(F.sum("n").alias("total"), at.alias("at")))
     words = counted.where(F.col("kind") == WORD)
     size = words.agg(F.sum("total").alias("n"), F.sum((F.col("total") > 0).cast("bigint")).alias("v")).first()
     total, distinct = size["n"] or 0, size["v"] or 0
