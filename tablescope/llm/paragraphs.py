@@ -9,7 +9,7 @@ Shorter ones are passed over and do not interrupt a run.
    that reach ``recall`` at ``threshold``).
 2. Paragraphs that share a band are joined.  A bucket of up to ``bucket``
    distinct paragraphs is verified in its row and gives a spanning forest of
-   the links; a fuller one is cut by further minima first.
+   the links; the members of fuller ones are banded anew by more minima first.
 3. A second pass gives the places, and the shingles where needed, of the
    paragraphs that occur twice or collide.  A Bloom filter of fixed size goes
    with it; an exact join follows.
@@ -45,7 +45,7 @@ BUCKET = 512
 RUN_WORDS = 20
 BLOOM_BITS = 1 << 25
 MARKS = ".!?…。！？"
-FURTHER = 6  # more minima for the buckets that are too full
+FULLER_ROWS = (8, 16)  # minima per band for the members of buckets that are too full
 
 
 def bands_needed(threshold: float, recall: float) -> int:
@@ -203,27 +203,55 @@ def _verify(batches: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.Da
         yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
-def _links(keyed: DataFrame, sets: DataFrame, threshold: float, bucket: int) -> DataFrame:
-    """Verified links ``(a, b)`` of the buckets in ``keyed`` (``key``, ``h``, both whole numbers)."""
+def _again(members: DataFrame, rows: int, bands: int) -> DataFrame:
+    """``(key, h)``: bands of ``rows`` minima over the shingles of ``members`` (``h``, ``shingles``)."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        salt = [np.uint64((i + 1) * INVERSE % 2**64) for i in range(rows * bands)]
+        for batch in batches:
+            keys = []
+            for shingles in batch["shingles"]:
+                x = np.asarray(shingles, np.int64).view(np.uint64)
+                low = np.array([_mix(x ^ f).min() for f in salt]).reshape(bands, rows)
+                key = np.arange(bands, dtype=np.uint64) + np.uint64(rows << 32)
+                for r in range(rows):
+                    key = _mix(key * np.uint64(BASE) + low[:, r])
+                keys.append(key)
+            yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64), "h": np.repeat(batch["h"].to_numpy(), bands)})
+
+    return members.mapInPandas(read, "key bigint, h bigint")
+
+
+def _links(keyed: DataFrame, sets: DataFrame, threshold: float, recall: float, bucket: int) -> DataFrame:
+    """Verified links ``(a, b)`` of the buckets in ``keyed`` (``key``, ``h``, both whole numbers).
+
+    Buckets of up to ``bucket`` members are verified at once.  The members of
+    fuller ones are banded anew with more rows to a band (and as many bands as
+    ``recall`` asks), which parts those that only share a shingle or two.  What
+    stays too full after that is compared exactly, block of members against
+    block of members.
+    """
     scratch, found = Scratch(keyed.sparkSession), []
-    least = lambda i: F.array_min(F.transform("shingles", lambda x: F.xxhash64(x, F.lit(i))))
-    level = 0
-    while True:
-        sizes = scratch.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-        small = keyed.join(sizes.where(F.col("n") <= bucket).select("key"), "key").join(sets, "h")
-        lists = small.groupBy("key").agg(F.collect_list(F.struct("h", "shingles")).alias("members")).select("members")  # at most ``bucket`` each
+
+    def verified(groups: DataFrame, *keys: str) -> None:
+        lists = groups.groupBy(*keys).agg(F.collect_list(F.struct("h", "shingles")).alias("members")).select("members")  # at most two blocks
         found.append(scratch.keep(lists.mapInPandas(lambda batches: _verify(batches, threshold), "a bigint, b bigint")))
-        full = sizes.where(F.col("n") > bucket).select("key")
+
+    for rows in (*FULLER_ROWS, None):
+        sizes = scratch.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+        verified(keyed.join(sizes.where(F.col("n") <= bucket).select("key"), "key").join(sets, "h"), "key")
+        full = sizes.where(F.col("n") > bucket)
         if full.isEmpty():
             break
-        # Too full: cut by further minima of the members; similar ones agree in some of them.
-        inside = keyed.join(full, "key").join(sets, "h")
-        again = F.array(*[F.xxhash64("key", F.lit(i), least(FURTHER * level + i)) for i in range(FURTHER)])
-        before = full.count()
-        keyed = scratch.keep(inside.select("h", F.explode(again).alias("key")).distinct())
-        level += 1
-        if level > 8 and keyed.groupBy("key").count().where(F.col("count") > bucket).count() >= before:
-            bucket *= 4  # members that agree in every minimum so far: compare larger lists
+        if rows:
+            crowded = keyed.join(full.select("key"), "key", "left_semi").select("h").distinct().join(sets, "h")
+            keyed = scratch.keep(_again(crowded, rows, bands_needed(threshold**rows, recall)))
+            continue
+        half = max(1, bucket // 2)
+        blocked = keyed.join(full, "key").withColumn("blocks", F.ceil(F.col("n") / half)).withColumn("mine", F.pmod(F.xxhash64("h"), F.col("blocks")))
+        other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+        met = blocked.select("key", "h", "mine", other.alias("other")).select("key", "h", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+        verified(met.join(sets, "h"), "key", "i", "j")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -236,18 +264,20 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     distinct = scratch.keep(_distinct(rows, bands))
     keys = F.array(*[F.xxhash64(F.lit(i), F.col(f"m{i}")) for i in range(bands)])
-    keyed = distinct.select("h", F.explode(keys).alias("key"))
-    shared = scratch.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))
-    keyed = scratch.keep(keyed.join(shared, "key"))
+    # The count comes with the rows, so the keys, nearly all of one paragraph, are shuffled once.
+    sharing = F.count(F.lit(1)).over(W.partitionBy("key"))
+    keyed = scratch.keep(distinct.select("h", F.explode(keys).alias("key")).withColumn("sharing", sharing).where("sharing > 1").select("key", "h"))
     collided = scratch.keep(keyed.select("h").distinct())
     wanted = distinct.where("n > 1").select("h").union(collided).distinct()
     places, sets = _places(rows, wanted, collided)
-    roots = components(_links(keyed, scratch.keep(sets), threshold, bucket), "a", "b").withColumnRenamed("node", "h")
+    roots = components(_links(keyed, scratch.keep(sets), threshold, recall, bucket), "a", "b").withColumnRenamed("node", "h")
     roots = scratch.keep(roots)
+    scratch.drop(keyed)
     named = distinct.where("n > 1").select("h").union(roots.select("h")).distinct().join(roots, "h", "left").select("h", F.coalesce("root", "h").alias("class_id"))
-    members = scratch.keep(places.join(named, "h"))
+    members = scratch.keep(places.join(scratch.keep(named), "h"))  # two plain shuffles, so a frequent paragraph can be split
+    scratch.drop(distinct)
     order = F.struct(F.col("id").isNull().alias("late"), F.col("id").alias("id"), F.col("row").alias("row"), F.col("number").alias("number"))
-    firsts = members.groupBy("class_id").agg(F.min(order).alias("least"))
+    firsts = scratch.keep(members.groupBy("class_id").agg(F.min(order).alias("least")))
     shown = members.join(firsts, "class_id").withColumn("own", (F.col("least.row") == F.col("row")) & (F.col("least.number") == F.col("number")))
     # Neighbours in a run have consecutive numbers; a window holds one document.
     run = F.col("number") - F.row_number().over(W.partitionBy("row").orderBy("number"))
