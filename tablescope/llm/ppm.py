@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import Scratch
 from .containment import INVERSE, BASE, _mix, _powers
 
-ORDER = 4
+ORDER = 5
 PIECE = 300_000  # bytes worked on at once
 PENDING = 1_500_000  # counts a task holds before it adds them up
 EDGE = 0xFF
@@ -127,10 +127,21 @@ def _local(texts: list[bytes], taught: np.ndarray) -> tuple[list, list]:
     return windows, words
 
 
-def chunk_counts(rows: DataFrame) -> DataFrame:
-    """``(chunk, kind, key, n)`` of ``rows`` (``chunk``, ``taught``, ``text``): what occurs in each chunk, and how often in training texts."""
+def chunk_counts(rows: DataFrame, pending: int = PENDING) -> DataFrame:
+    """``(chunk, kind, key, n)`` of ``rows`` (``chunk``, ``taught``, ``text``): what occurs in each chunk, and how often in training texts.
+
+    A task holds counts of about ``pending`` keys and passes them on when there are more, so a key may have several rows.
+    """
     names = ["chunk", "kind", "key", "n"]
 
+    def told(chunk: int, kind: int, parts: list) -> Iterator[pa.RecordBatch]:
+        if not parts:
+            return
+        keys, n = _added(parts)
+        for s in range(0, len(keys), 50_000):
+            k = keys[s : s + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk, np.int32)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[s : s + 50_000].astype(np.int64))], names=names)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, words, chunk, ends = [], [], None, 0
         for batch in batches:
@@ -143,16 +154,16 @@ def chunk_counts(rows: DataFrame) -> DataFrame:
             for s in range(0, len(texts), 500):
                 for out, more in zip((windows, words), _local(texts[s : s + 500], taught[s : s + 500])):
                     out.extend(more)
-                    if sum(len(k) for k, _ in out) > PENDING + 2 * len(out[0][0]):
+                    if sum(len(k) for k, _ in out) > pending + 2 * len(out[0][0]):
                         out[:] = [_added(out)]
+                        if len(out[0][0]) > pending:  # the rest of the chunk is counted anew; all its counts are summed later
+                            yield from told(chunk, WINDOW if out is windows else WORD, out)
+                            out.clear()
         if chunk is None:
             return
         words.append((np.array([END_WORD]), np.array([ends])))
         for kind, parts in ((WINDOW, windows), (WORD, words)):
-            keys, n = _added(parts)
-            for s in range(0, len(keys), 50_000):
-                k = keys[s : s + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk, np.int32)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[s : s + 50_000].astype(np.int64))], names=names)
+            yield from told(chunk, kind, parts)
 
     return rows.mapInArrow(read, "chunk int, kind tinyint, key bigint, n bigint")
 
@@ -189,30 +200,33 @@ def window_values(windows: DataFrame) -> DataFrame:
         t, q = F.coalesce("t_left", "t0"), F.coalesce("q_left", "q0")
         value = F.coalesce("value", F.when(F.col("c").isNotNull(), F.col("sum") + F.log10(F.col("c") / (t + q))))
         escaped = F.col("sum") + F.when(F.col("t0").isNotNull() & (q > 0), F.log10(q / (t + q))).otherwise(0.0)
-        rest = scratch.keep(here.select("key", "x", "s", escaped.alias("sum"), value.alias("value"), F.col("t1").alias("t_left"), F.col("q1").alias("q_left")))
+        before, rest = rest, scratch.keep(here.select("key", "x", "s", escaped.alias("sum"), value.alias("value"), F.col("t1").alias("t_left"), F.col("q1").alias("q_left")))
+        for done in [entries[k], *([before] if k < ORDER else []), *([nodes[k]] if k < ORDER else [])]:
+            scratch.drop(done)
     last = F.coalesce("value", F.col("sum") - F.log10(F.lit(float(max(1, 256 - offered_all)))))
     return known.unionByName(rest.select("key", last.alias("value")))
 
 
-def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] = ["doc_id"]) -> DataFrame:
+def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] = ["doc_id"], pending: int = PENDING) -> DataFrame:
     """``keep`` columns with n_tokens, n_known, train_tokens, base_score and score of every text, learning from the rows where ``taught`` is true."""
     scratch = Scratch(docs.sparkSession)
     if not docs.inputFiles() or "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
         docs = scratch.keep(docs)  # chunks are partitions, so both passes have to see the same ones
     rows = docs.select(F.spark_partition_id().alias("chunk"), F.coalesce(taught, F.lit(False)).alias("taught"), F.col(text).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    at = F.collect_list(F.struct("chunk", "n"))  # a key has one entry per chunk
+    at = F.collect_list(F.struct("chunk", "n"))  # a key has one entry per chunk, a few if its counts were passed on in parts
     # Dealt by key first: a chunk has one row per key, so there is nothing to combine before the shuffle.
-    counts = chunk_counts(rows.select("chunk", "taught", "t")).repartition("kind", "key")
+    counts = chunk_counts(rows.select("chunk", "taught", "t"), pending).repartition("kind", "key")
     counted = scratch.keep(counts.groupBy("kind", "key").agg(F.sum("n").alias("total"), at.alias("at")))
     words = counted.where(F.col("kind") == WORD)
     size = words.agg(F.sum("total").alias("n"), F.sum((F.col("total") > 0).cast("bigint")).alias("v")).first()
     total, distinct = size["n"] or 0, size["v"] or 0
     windows = counted.where(F.col("kind") == WINDOW)
     values = window_values(windows.select("key", F.col("total").alias("n")))
-    sent_windows = windows.select("key", F.explode("at.chunk").alias("chunk")).join(values, "key").select("chunk", F.lit(WINDOW).cast("tinyint").alias("kind"), "key", "value")
+    sent_windows = windows.select("key", F.explode(F.array_distinct("at.chunk")).alias("chunk")).join(values, "key").select("chunk", F.lit(WINDOW).cast("tinyint").alias("kind"), "key", "value")
     # A chunk knows the counts of words that no other chunk has.
-    spread = words.where((F.size("at") > 1) & (F.col("total") > 0)).select("key", F.explode("at").alias("a"), "total").where("a.n != total")
-    sent_words = spread.select("a.chunk", F.lit(WORD).cast("tinyint").alias("kind"), "key", F.col("total").cast("double").alias("value"))
+    unsure = F.array_distinct(F.transform(F.filter("at", lambda a: a["n"] != F.col("total")), lambda a: a["chunk"]))
+    spread = words.where((F.size("at") > 1) & (F.col("total") > 0)).select("key", F.explode(unsure).alias("chunk"), "total")
+    sent_words = spread.select("chunk", F.lit(WORD).cast("tinyint").alias("kind"), "key", F.col("total").cast("double").alias("value"))
     answers = sent_windows.unionByName(sent_words)
     fields = [rows.schema[f"k{i}"].dataType.simpleString() for i in range(len(keep))]
     names = [*[f"k{i}" for i in range(len(keep))], "n_tokens", "n_known", "train_tokens", "base_score", "score"]

@@ -235,6 +235,17 @@ def test_ppm_equals_plain_model(spark):
         assert got.score[i] == pytest.approx(plain_ppm(train, t))
 
 
+def test_ppm_order_five_with_counts_passed_on_in_parts(spark):
+    texts = [prose(i, 700) for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
+    whole = ppm.score(docs, F.col("doc_id") != 0).toPandas().set_index("doc_id")
+    got = ppm.score(docs, F.col("doc_id") != 0, pending=50).toPandas().set_index("doc_id")
+    low = [t.encode() for t in texts]
+    for i, t in enumerate(low):
+        assert got.score[i] == pytest.approx(plain_ppm(low[1:], t, 5)) and got.base_score[i] == pytest.approx(whole.base_score[i])
+        assert got.train_tokens[i] == 5 * 701 and got.n_known[i] == whole.n_known[i]
+
+
 def test_ppm_edges(odd, empty, monkeypatch):
     got = ppm.score(odd, F.col("doc_id") != 6).toPandas()
     assert len(got) == 11 and (got.score < 0).all()
