@@ -10,9 +10,11 @@ q / (T + q).  Below order 0 all symbols not yet offered are alike.  Texts
 begin after ``ORDER`` boundary symbols and end with one, so a score is the
 log10 probability of the whole text; 0xFF, no byte of UTF-8, is the boundary.
 
-Nothing of the model is sent whole to a task.  Each input partition is a
-chunk: one pass lists the distinct windows (context and symbol) and words of a
-chunk with their training counts.  These are summed over all chunks, the trie
+Nothing of the model is sent whole to a task.  The rows are written once with
+the number of their chunk, some rows of one input partition with a bounded
+size of text; both passes read that number, however they are split.  One pass
+lists the distinct windows (context and symbol) and words of a chunk with
+their training counts.  These are summed over all chunks, the trie
 is computed by joins on contexts, and each chunk gets back the log probability
 of its own windows and the counts of its own words, so a task holds what one
 chunk of text needs, however large the corpus.
@@ -28,13 +30,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import Scratch
 from .containment import INVERSE, BASE, _mix, _powers
 
 ORDER = 5
 PIECE = 300_000  # bytes worked on at once
+CHUNK = 32_000_000  # bytes of text of a chunk
 PENDING = 1_500_000  # counts a task holds before it adds them up
 EDGE = 0xFF
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -127,6 +132,25 @@ def _local(texts: list[bytes], taught: np.ndarray) -> tuple[list, list]:
     return windows, words
 
 
+def chunked(rows: DataFrame, most: int = CHUNK) -> DataFrame:
+    """``rows`` (the text in column ``t``) with their ``chunk``, to be written: at most ``most`` bytes of text, or one longer text, of one partition."""
+    out = T.StructType([T.StructField("chunk", T.LongType()), *rows.schema.fields])
+    at = rows.columns.index("t")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, size = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            chunks = []
+            for n in pa.compute.binary_length(batch.column(at).cast(pa.binary())).fill_null(0).to_pylist():
+                if size and size + n > most:
+                    part, size = part + 1, 0
+                size += n + 1
+                chunks.append(part)
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *batch.columns], names=out.names)
+
+    return rows.mapInArrow(read, out)
+
+
 def chunk_counts(rows: DataFrame, pending: int = PENDING) -> DataFrame:
     """``(chunk, kind, key, n)`` of ``rows`` (``chunk``, ``taught``, ``text``): what occurs in each chunk, and how often in training texts.
 
@@ -140,14 +164,27 @@ def chunk_counts(rows: DataFrame, pending: int = PENDING) -> DataFrame:
         keys, n = _added(parts)
         for s in range(0, len(keys), 50_000):
             k = keys[s : s + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk, np.int32)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[s : s + 50_000].astype(np.int64))], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk, np.int64)), pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[s : s + 50_000].astype(np.int64))], names=names)
+
+    def by_chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chunks = batch.column(0).to_numpy()
+            heads = np.flatnonzero(np.concatenate([[True], chunks[1:] != chunks[:-1]])).tolist() if len(chunks) else []
+            for a, b in zip(heads, [*heads[1:], len(chunks)]):
+                yield batch.slice(a, b - a)
+
+    def ended(chunk: int, windows: list, words: list, ends: int) -> Iterator[pa.RecordBatch]:
+        words.append((np.array([END_WORD]), np.array([ends])))
+        yield from told(chunk, WINDOW, windows)
+        yield from told(chunk, WORD, words)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows, words, chunk, ends = [], [], None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            chunk = batch.column(0)[0].as_py()
+        for batch in by_chunk(batches):
+            if chunk != (now := batch.column(0)[0].as_py()):
+                if chunk is not None:
+                    yield from ended(chunk, windows, words, ends)
+                windows, words, chunk, ends = [], [], now, 0
             taught = batch.column(1).to_numpy(zero_copy_only=False)
             ends += int(taught.sum())
             texts = _texts(batch.column(2))
@@ -159,13 +196,10 @@ def chunk_counts(rows: DataFrame, pending: int = PENDING) -> DataFrame:
                         if len(out[0][0]) > pending:  # the rest of the chunk is counted anew; all its counts are summed later
                             yield from told(chunk, WINDOW if out is windows else WORD, out)
                             out.clear()
-        if chunk is None:
-            return
-        words.append((np.array([END_WORD]), np.array([ends])))
-        for kind, parts in ((WINDOW, windows), (WORD, words)):
-            yield from told(chunk, kind, parts)
+        if chunk is not None:
+            yield from ended(chunk, windows, words, ends)
 
-    return rows.mapInArrow(read, "chunk int, kind tinyint, key bigint, n bigint")
+    return rows.mapInArrow(read, "chunk bigint, kind tinyint, key bigint, n bigint")
 
 
 def _context(key: Column, order: int) -> Column:
@@ -207,13 +241,12 @@ def window_values(windows: DataFrame) -> DataFrame:
     return known.unionByName(rest.select("key", last.alias("value")))
 
 
-def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] = ["doc_id"], pending: int = PENDING) -> DataFrame:
+def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] = ["doc_id"], pending: int = PENDING, most: int = CHUNK) -> DataFrame:
     """``keep`` columns with n_tokens, n_known, train_tokens, base_score and score of every text, learning from the rows where ``taught`` is true."""
     scratch = Scratch(docs.sparkSession)
-    if not docs.inputFiles() or "Exchange" in docs._jdf.queryExecution().executedPlan().toString():
-        docs = scratch.keep(docs)  # chunks are partitions, so both passes have to see the same ones
-    rows = docs.select(F.spark_partition_id().alias("chunk"), F.coalesce(taught, F.lit(False)).alias("taught"), F.col(text).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    at = F.collect_list(F.struct("chunk", "n"))  # a key has one entry per chunk, a few if its counts were passed on in parts
+    rows = docs.select(F.coalesce(taught, F.lit(False)).alias("taught"), F.col(text).alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
+    rows = scratch.keep(chunked(rows, most))
+    at = F.collect_list(F.struct("chunk", "n"))  # a key has one entry per chunk, a few if the chunk was counted in parts
     # Dealt by key first: a chunk has one row per key, so there is nothing to combine before the shuffle.
     counts = chunk_counts(rows.select("chunk", "taught", "t"), pending).repartition("kind", "key")
     counted = scratch.keep(counts.groupBy("kind", "key").agg(F.sum("n").alias("total"), at.alias("at")))
@@ -257,6 +290,12 @@ def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] =
             i = np.minimum(np.searchsorted(word_keys, h), len(word_keys) - 1)
             return np.where(word_keys[i] == h, word_counts[i], 0)
 
+        def log_of(w):
+            i = np.searchsorted(window_keys, w)
+            if len(w) and (not len(window_keys) or (window_keys[np.minimum(i, len(window_keys) - 1)] != w).any()):
+                raise ValueError("a window of the text was not counted with its chunk")
+            return window_logs[i]
+
         for raw, owner, scored in _pieces(raw_texts):
             h, at = _words(raw, scored)
             c = count_of(h)
@@ -264,7 +303,7 @@ def score(docs: DataFrame, taught: Column, text: str = "text", keep: list[str] =
             known += np.bincount(owner[at], c > 0, n).astype(np.int64)
             base += np.bincount(owner[at], np.log10(c + 1) - scale, n)
             w, at = _windows(raw, scored)
-            model += np.bincount(owner[at], window_logs[np.searchsorted(window_keys, w)], n)
+            model += np.bincount(owner[at], log_of(w), n)
         end = count_of(np.array([END_WORD]))[0]
         columns = [texts.column(f"k{i}").combine_chunks() for i in range(len(keep))]
         numbers = [tokens + 1, known + int(end > 0), np.full(n, total, np.int64), base + np.log10(end + 1) - scale, model]

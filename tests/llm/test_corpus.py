@@ -246,6 +246,26 @@ def test_ppm_order_five_with_counts_passed_on_in_parts(spark):
         assert got.train_tokens[i] == 5 * 701 and got.n_known[i] == whole.n_known[i]
 
 
+def test_ppm_does_not_depend_on_the_split_of_a_pass(spark, tmp_path):
+    texts = [prose(i, 60) for i in range(8)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    names = {"spark.sql.files.openCostInBytes": "1g", "spark.sql.files.minPartitionNum": "4"}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    scored = ppm.score(docs, F.col("doc_id") != 0, most=700)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        got = scored.toPandas().set_index("doc_id")
+    finally:
+        for k in names:
+            spark.conf.unset(k)
+    low = [t.encode() for t in texts]
+    for i, t in enumerate(low):
+        assert got.score[i] == pytest.approx(plain_ppm(low[1:], t)) and got.train_tokens[i] == 7 * 61
+
+
 def test_ppm_edges(odd, empty, monkeypatch):
     got = ppm.score(odd, F.col("doc_id") != 6).toPandas()
     assert len(got) == 11 and (got.score < 0).all()
