@@ -1,17 +1,13 @@
-"""Benchmark decontamination by size-partitioned MinHash containment search.
+"""Benchmark decontamination by exact containment search.
 
-Test items are partitioned by the size of their shingle set: class u holds
-items of more than u/2 and at most u shingles.  A text is read through windows
-of 2u shingles that start every u, so an item of class u that stands inside a
-text lies inside one window, and containment t becomes a Jaccard similarity of
-at least (t u/2) / (2u + (1-t) u/2), whatever the length of the text.  The
-number of hash functions follows from that similarity and ``recall``; with one
-row per band a window is a candidate if it shares the minimum of any function
-with an item.  All classes share the functions: minima of u/2 blocks give
-those of u blocks.
+A text contains an item if it has a share of at least ``threshold`` of the
+item's distinct five-word shingles, wherever they stand in the text.  An item
+of s shingles misses at most s - ceil(threshold s) of them then, so among any
+s - ceil(threshold s) + 1 of its shingles one is in the text.  Those that are
+rarest among the items are looked up for each item; a text that has one is a
+candidate, and nothing that is contained is missed.
 
-Candidates are verified by exact containment: the share of the item's distinct
-five-word shingles that occur in the whole text.
+Candidates are verified by exact containment in the whole text.
 
 Items are taken in blocks of ``block_items``, so what is broadcast has a fixed
 bound; each block is one pass over the texts, and the rows are never paired.
@@ -38,15 +34,8 @@ from .common import text_groups
 
 WIDTH = 5
 THRESHOLD = 0.8
-RECALL = 0.99999
 BLOCK_ITEMS = 10_000
-SMALLEST = 16  # shingles of the smallest class
-
-
-def functions_needed(threshold: float, recall: float) -> int:
-    """Hash functions so that an item at ``threshold`` shares a minimum with its window with probability ``recall``."""
-    similarity = threshold / 2 / (2 + (1 - threshold) / 2)
-    return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
+FILTER_BITS = 20  # of a hash, to pass over shingles of no item
 
 
 def words_of(text: str) -> list[str]:
@@ -106,65 +95,50 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, width: int) -> tuple[n
     return _mix(out[at]), ends
 
 
-def _coefficients(count: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(10)
-    return rng.integers(1, 2**63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 2**63, count, dtype=np.uint64)
+def _spot(h: np.ndarray) -> np.ndarray:
+    return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
 class Index:
-    """Items of one block by size class, with one sorted list of minima per class and function."""
+    """Items of one block, with a sorted list of the shingles looked up for them per number of words."""
 
-    def __init__(self, items: list[tuple], width: int, threshold: float, recall: float):
-        self.width, self.threshold = width, threshold
-        self.items, self.classes = [], {}
-        self.a, self.b = _coefficients(functions_needed(threshold, recall))
-        hashed = []
+    def __init__(self, items: list[tuple], width: int, threshold: float):
+        self.threshold, self.items, hashed = threshold, [], {}
         for key, text in items:
             words = words_of(text or "")
             if not words:
                 continue
             n = min(width, len(words))
-            hashed.append(np.unique(shingle_hashes(*word_hashes([text]), n)[0]))
+            hashed.setdefault(n, []).append((len(self.items), np.unique(shingle_hashes(*word_hashes([text]), n)[0])))
             self.items.append((key, n, {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
-            size = SMALLEST
-            while size < len(words) - n + 1:
-                size *= 2
-            self.classes.setdefault((n, size), []).append(len(self.items) - 1)
-        self.minima = {}
-        for c, members in self.classes.items():
-            table = np.stack([(hashed[i][:, None] * self.a + self.b).min(axis=0) for i in members])
-            bits = np.zeros((len(self.a), 1 << 16), bool)
-            for f in range(len(self.a)):
-                bits[f, (table[:, f] >> np.uint64(20)) & np.uint64(0xFFFF)] = True
-            order = np.argsort(table, axis=0, kind="stable")
-            self.minima[c] = (np.take_along_axis(table, order, 0), order, bits)
+        self.sought = {}
+        for n, members in hashed.items():
+            known, count = np.unique(np.concatenate([h for _, h in members]), return_counts=True)
+            keys, owners = [], []
+            for i, h in members:
+                spare = len(h) - math.ceil(threshold * len(h) - 1e-9)
+                rarest = h[np.argsort(count[np.searchsorted(known, h)], kind="stable")][: spare + 1]
+                keys.append(rarest)
+                owners.append(np.full(len(rarest), i))
+            keys, owners = np.concatenate(keys), np.concatenate(owners)
+            order = np.argsort(keys, kind="stable")
+            bits = np.zeros(1 << FILTER_BITS, bool)
+            bits[_spot(keys)] = True
+            self.sought[n] = keys[order], owners[order], bits
 
     def candidates(self, texts: list[str]) -> dict[int, set[int]]:
-        """Per text the items that share a minimum with one of its windows."""
+        """Per text the items of which it has a shingle that is looked up."""
         found: dict[int, set[int]] = {}
         words, bounds = word_hashes(texts)
-        for n in {n for n, _ in self.classes}:
+        for n, (keys, owners, bits) in self.sought.items():
             h, ends = shingle_hashes(words, bounds, n)
-            if not len(h):
-                continue
-            sizes = sorted(s for m, s in self.classes if m == n)
-            levels = _levels(np.diff(ends), sizes)
-            for f in range(len(self.a)):
-                low = h * self.a[f] + self.b[f]
-                for size, starts, single, owner in levels:
-                    low = np.minimum.reduceat(low, starts)
-                    if (n, size) not in self.classes:
-                        continue
-                    window = low.copy()
-                    np.minimum(low[:-1], low[1:], out=window[:-1], where=~single[:-1])
-                    table, order, bits = self.minima[n, size]
-                    at = np.flatnonzero(bits[f][(window >> np.uint64(20)) & np.uint64(0xFFFF)])
-                    if len(at):
-                        column = table[:, f]
-                        left, right = np.searchsorted(column, window[at], "left"), np.searchsorted(column, window[at], "right")
-                        hit = np.flatnonzero(left < right)
-                        for x, y, d in zip(left[hit].tolist(), right[hit].tolist(), owner[at[hit]].tolist()):
-                            found.setdefault(d, set()).update(self.classes[n, size][order[i, f]] for i in range(x, y))
+            at = np.flatnonzero(bits[_spot(h)])
+            left, right = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+            hit = np.flatnonzero(left < right)
+            text = np.searchsorted(ends, at[hit], "right") - 1
+            # A shingle counts once per text.
+            for d, x, y in sorted(set(zip(text.tolist(), left[hit].tolist(), right[hit].tolist()))):
+                found.setdefault(d, set()).update(owners[x:y].tolist())
         return found
 
     def contained(self, texts: list[str]) -> Iterator[tuple]:
@@ -183,22 +157,6 @@ class Index:
                     yield d, key, share, min(where.values())
 
 
-def _levels(counts: np.ndarray, sizes: list[int]) -> list[tuple]:
-    """For each block size, doubling: where blocks begin among the blocks below, which are the last of their text, and the text of each."""
-    out, size, step = [], SMALLEST, SMALLEST
-    while size <= sizes[-1]:
-        blocks = -(-counts // step)
-        ends = np.cumsum(blocks)
-        below = np.concatenate([[0], np.cumsum(counts)])[:-1]
-        owner = np.repeat(np.arange(len(counts)), blocks)
-        starts = (np.arange(ends[-1]) - np.repeat(ends - blocks, blocks)) * step + below[owner]
-        single = np.zeros(int(ends[-1]), bool)
-        single[ends[blocks > 0] - 1] = True
-        out.append((size, starts, single, owner))
-        counts, size, step = blocks, size * 2, 2
-    return out
-
-
 def _blocks(items: DataFrame, item_text: str, item_key: str, block_items: int) -> Iterator[list[tuple]]:
     """The items with a text, dealt by a hash into blocks of about ``block_items``."""
     listed = items.select(F.col(item_key).alias("k"), F.col(item_text).alias("t")).where("t IS NOT NULL")
@@ -209,7 +167,7 @@ def _blocks(items: DataFrame, item_text: str, item_key: str, block_items: int) -
 
 def search(
     docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id",
-    width: int = WIDTH, threshold: float = THRESHOLD, recall: float = RECALL, block_items: int = BLOCK_ITEMS,
+    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """``(key, item_key, containment, first_word)`` of every text that contains an item."""
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL")
@@ -222,7 +180,7 @@ def search(
         sent = docs.sparkSession.sparkContext.broadcast(taken)
 
         def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value, width, threshold, recall)
+            index = Index(sent.value, width, threshold)
             for batch in batches:
                 texts, at, hits = batch.column(1).to_pylist(), [], []
                 for a, b in text_groups(texts):
@@ -239,21 +197,21 @@ def search(
 
 def clean(
     docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id",
-    width: int = WIDTH, threshold: float = THRESHOLD, recall: float = RECALL, block_items: int = BLOCK_ITEMS,
+    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS,
 ) -> DataFrame:
     """The rows of ``docs`` that contain no item, without a shuffle; a row with a null text stays."""
     for taken in _blocks(items, item_text, item_key, block_items):
-        free = _free_of(docs.sparkSession.sparkContext.broadcast(taken), width, threshold, recall)
+        free = _free_of(docs.sparkSession.sparkContext.broadcast(taken), width, threshold)
         docs = docs.where(free.asNondeterministic()(F.col(text)))
     return docs
 
 
-def _free_of(sent, width: int, threshold: float, recall: float):
+def _free_of(sent, width: int, threshold: float):
     """A function that tells whether a text contains none of the items sent."""
 
     @F.pandas_udf("boolean")
     def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(sent.value, width, threshold, recall)
+        index = Index(sent.value, width, threshold)
         for batch in batches:
             texts = [t if t is not None else "" for t in batch]
             out = np.ones(len(texts), bool)

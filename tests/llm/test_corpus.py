@@ -558,6 +558,22 @@ def test_containment_equals_brute_force(spark):
     assert left == {d for d, _ in docs} - {d for d, _ in expected}
 
 
+def test_short_and_scattered_items_are_found(spark):
+    own = [f"w{i}" for i in range(400)]
+    short = [(f"s{i}", " ".join([f"x{i}", f"y{i}", f"z{i}", f"u{i}", f"v{i}"][: 1 + i % 5])) for i in range(200)]
+    long = " ".join(own[:20])
+    pieces = [" ".join(own[a : a + 6]) for a in range(0, 15)]  # every shingle, none near the next
+    texts = [(i, f"{prose(i, 60)} {s} {prose(i + 500, 60)}") for i, (_, s) in enumerate(short)]
+    texts.append((1000, " ".join(f"{p} {prose(i, 300)}" for i, p in enumerate(pieces))))
+    items = [*short, ("long", long)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    listed = spark.createDataFrame(items, "item_id string, text string")
+    expected = plain_containment(texts, items)
+    assert all((i, f"s{i}") in expected for i in range(200)) and (1000, "long") in expected
+    assert {(r.doc_id, r.item_id): r.containment for r in containment.search(frame, listed).collect()} == expected
+    assert containment.clean(frame, listed).count() == 0
+
+
 def test_containment_edges(spark, odd, empty):
     items = spark.createDataFrame([(1, "jumps over the lazy dog near the river bank"), (2, None)], "item_id bigint, text string")
     assert [(r.doc_id, r.item_id) for r in containment.search(odd, items).collect()] == [(1, 1)]
