@@ -316,6 +316,17 @@ def test_search_equals_brute_force(spark, parts):
         assert list(zip(mine.doc_id, mine.score.round(9))) == [(j, pytest.approx(s)) for j, s in rows]
 
 
+def test_registered_search_asks_with_the_whole_text(spark, tmp_path):
+    texts = [(i, prose(i, 10 + i % 40, [f"t{j}" for j in range(200)])) for i in range(120)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = corpus.QUERIES["op6_bm25"](spark, str(tmp_path)).toPandas()
+    expected = plain_bm25(texts, range(0, 120, 20), 10, terms=None)
+    assert expected != plain_bm25(texts, range(0, 120, 20), 10)
+    for i, rows in expected.items():
+        mine = got[got.query_id == i].sort_values("rank")
+        assert list(zip(mine.doc_id, mine.score.round(9))) == [(j, pytest.approx(s)) for j, s in rows]
+
+
 def test_wand_equals_full_scan():
     rng = np.random.default_rng(8)
     for trial in range(40):
