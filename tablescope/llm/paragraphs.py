@@ -16,7 +16,9 @@ Shorter ones are passed over and do not interrupt a run.
 4. Links of Jaccard similarity ``threshold`` or more over five-word shingles
    are closed to components.  A paragraph whose component occurs twice or more
    is repeated; runs of repeated paragraphs with ``run_words`` words or more
-   are reported, and whether the run is the first to show its paragraphs.
+   are reported, and whether the run is the first to show all its paragraphs.
+   Its parts tell the same of each paragraph: removing the parts that are not
+   first takes no class's first copy, removing whole runs can.
 
 Defined cases: null and empty texts have no paragraphs; equal paragraphs inside
 one document count as repeated; repeated rows repeat all their paragraphs; the
@@ -259,7 +261,7 @@ def _links(keyed: DataFrame, sets: DataFrame, threshold: float, recall: float, b
 
 
 def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, recall: float = RECALL, bucket: int = BUCKET, run_words: int = RUN_WORDS) -> DataFrame:
-    """``(key, start, end, words, paragraphs, class_id, first)`` per run of repeated paragraphs."""
+    """``(key, start, end, words, paragraphs, class_id, first, parts)`` per run of repeated paragraphs, ``parts`` being ``(start, end, words, class_id, first)`` of each; ``class_id`` is the smallest of them."""
     scratch, bands = Scratch(docs.sparkSession), bands_needed(threshold, recall)
     rows = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     distinct = scratch.keep(_distinct(rows, bands))
@@ -281,7 +283,8 @@ def repeated(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold
     shown = members.join(firsts, "class_id").withColumn("own", (F.col("least.row") == F.col("row")) & (F.col("least.number") == F.col("number")))
     # Neighbours in a run have consecutive numbers; a window holds one document.
     run = F.col("number") - F.row_number().over(W.partitionBy("row").orderBy("number"))
+    part = F.struct("start", "end", "words", "class_id", F.col("own").alias("first"))
     runs = shown.withColumn("run", run).groupBy("row", "id", "run").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("paragraphs"), F.min("class_id").alias("class_id"), F.min("own").alias("first")
+        F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), F.count(F.lit(1)).alias("paragraphs"), F.min("class_id").alias("class_id"), F.min("own").alias("first"), F.sort_array(F.collect_list(part)).alias("parts")
     )
-    return runs.where(F.col("words") >= run_words).select(F.col("id").alias(key), "start", "end", "words", "paragraphs", "class_id", "first")
+    return runs.where(F.col("words") >= run_words).select(F.col("id").alias(key), "start", "end", "words", "paragraphs", "class_id", "first", "parts")

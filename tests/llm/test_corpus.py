@@ -367,6 +367,18 @@ def test_repeated_passages(spark):
     assert got["first"].sum() == 1 or got.doc_id.nunique() == 3
 
 
+def test_runs_tell_the_class_of_each_paragraph(spark):
+    p, q = (prose(s, 25, [f"{c}{i}" for i in range(90)]) for s, c in ((1, "p"), (2, "q")))
+    texts = {1: q, 2: f"{p}\n{q}", 3: p}
+    got = paragraphs.repeated(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    parts = {(r.doc_id, x.start): x for r in got for x in r.parts}
+    one, two = sorted(k for k in parts if k[0] == 2)
+    assert len(got) == 3 and [parts[k].first for k in ((1, 0), one, two, (3, 0))] == [True, True, False, False]
+    assert parts[one].class_id == parts[3, 0].class_id != parts[two].class_id == parts[1, 0].class_id
+    left = "\n".join(texts[d][x.start : x.end] for (d, _), x in parts.items() if x.first)
+    assert left.count(p) == left.count(q) == 1
+
+
 def test_paragraph_links_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     vocabulary = [a + b for a in WORDS for b in WORDS]
