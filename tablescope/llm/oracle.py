@@ -18,3 +18,15 @@ SQL["op10_decontamination"] = f"""WITH d AS (SELECT row_number() OVER () AS r, d
         FROM (SELECT d.*, n, unnest(range(1, len(w) - n + 2)) AS i FROM d CROSS JOIN (SELECT DISTINCT n FROM wanted)))
     SELECT doc_id, item_id, count(DISTINCT s) / any_value(size) AS containment, min(place) AS first_word
     FROM found JOIN wanted USING (n, s) JOIN sizes USING (q) GROUP BY r, doc_id, q, item_id HAVING count(DISTINCT s) >= 0.8 * any_value(size)"""
+
+TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SQL["op11_bitsliced_search"] = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {TERMS} AS t FROM documents),
+    docs AS (SELECT r, doc_id, len(t)::BIGINT AS n FROM d WHERE len(t) > 0),
+    total AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_words FROM docs),
+    tf AS (SELECT r, term, count(*)::BIGINT AS f FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY r, term),
+    weight AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf CROSS JOIN total GROUP BY term, n_docs),
+    asked AS (SELECT q, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS q, item_id, {TERMS} AS t FROM benchmark)),
+    scored AS (SELECT q, item_id, r, sum(w * ((1000000000 * f) // (1000 * f + 8 * (25 + (75 * n * n_docs) // n_words))))::BIGINT AS score
+        FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN docs USING (r) CROSS JOIN total GROUP BY q, item_id, r),
+    ranked AS (SELECT q, item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored JOIN docs USING (r) WHERE score > 0)
+    SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10"""

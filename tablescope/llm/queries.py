@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bm25, containment, credentials, kdshard, langid, packing, paragraphs, ppm, quality, simhash
+from . import bitslice, bm25, containment, credentials, kdshard, langid, packing, paragraphs, ppm, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,10 @@ def op5_ppm(spark, folder):
     remainder = id_crc() % 7
     scored = ppm.score(docs, remainder.isNotNull() & (remainder != 2))
     return scored.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_bitsliced_search(spark, folder):
+    """Ten best documents of every benchmark item, by exact whole-number scores."""
+    blocks = bitslice.index(table(spark, folder, "documents"))
+    return bitslice.search(blocks, table(spark, folder, "benchmark"))
