@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitslice, bm25, containment, credentials, kdshard, langid, packing, paragraphs, ppm, quality, simhash
+from . import bitslice, bm25, containment, credentials, kdshard, langid, packing, paragraphs, periods, ppm, quality, simhash
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,29 @@ def op11_bitsliced_search(spark, folder):
     """Ten best documents of every benchmark item, by exact whole-number scores."""
     blocks = bitslice.index(table(spark, folder, "documents"))
     return bitslice.search(blocks, table(spark, folder, "benchmark"))
+
+
+def _repeated_tail(text: str = "text", key: str = "doc_id"):
+    """The text of one id in ten, by its checksum, from one of its words on replaced by copies of the stretch that begins there."""
+    words = F.filter(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, h = F.size(words), id_crc(key)
+    g = F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    copies = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.slice(F.concat(F.slice(words, F.lit(1), a), copies), F.lit(1), n), " ")).otherwise(F.col(text))
+
+
+@query
+def op12_periods(spark, folder):
+    """Periodic runs of every document, and digests of all of them and of the text without its repetitions."""
+    docs = table(spark, folder, "documents").select("doc_id", _repeated_tail().alias("text"))
+    found = periods.with_runs(docs)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    length, period = F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
