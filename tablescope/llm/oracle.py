@@ -30,3 +30,9 @@ SQL["op11_bitsliced_search"] = f"""WITH d AS (SELECT row_number() OVER () AS r,
         FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN docs USING (r) CROSS JOIN total GROUP BY q, item_id, r),
     ranked AS (SELECT q, item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank FROM scored JOIN docs USING (r) WHERE score > 0)
     SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+SQL["op13_warc_zstd"] = """WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+    named AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1) FOR i IN range(32)], '') AS payload_digest FROM p)
+    SELECT page_id, octet_length(encode(html)) AS payload_bytes, payload_digest, CASE WHEN page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM named"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bitslice, bm25, containment, credentials, kdshard, langid, packing, paragraphs, periods, ppm, quality, simhash
+from . import bitslice, bm25, containment, credentials, kdshard, langid, packing, paragraphs, periods, ppm, quality, simhash, warc
 from .common import Scratch, id_crc, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,13 @@ def op12_periods(spark, folder):
         "doc_id", "n_runs", (-F.col("best.start")).alias("start"), length.alias("length"), period.alias("period"),
         F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
     )
+
+
+@query
+def op13_warc_zstd(spark, folder):
+    """Every page written to archives of one Zstandard frame per record, and read back from them."""
+    scratch = Scratch(spark)
+    warc.write(table(spark, folder, "pages"), f"{scratch.root}/warc")
+    back = warc.read(spark, f"{scratch.root}/warc")
+    sound = F.when(F.col("error").isNull(), F.col("key")).otherwise(F.raise_error(F.concat(F.lit("Record of "), "archive", F.lit(": "), "error")))
+    return back.select(sound.cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
