@@ -1,191 +1,162 @@
-"""Exact order statistics without a global sort in one task.
-
-Values are first counted (one row per distinct value, combined before the
-shuffle, so a value that fills a third of the table is a single row).  Small
-tables are then ranked by one window per variable.  Larger ones are cut into
-value ranges of about ``rows_per_bucket`` rows by approximate quantiles; the
-ranges only steer where a value is ranked, the ranks themselves stay exact.
+"""Exact order statistics without sorting a column.
+
+Quantiles are selected digit by digit.  The first digit of a number is its
+sign and its place on a logarithmic scale; the next ones divide what lies
+between the smallest and the largest value of a bucket into equal steps.  Both
+keep the order, so a pass that counts the rows of each bucket, for all columns
+and quantiles at once, tells which bucket holds a wanted place.  Only the rows
+of such buckets are looked at again, until a bucket holds a single value,
+however many rows have it, or few rows, which are counted by value.  What
+reaches the driver is one row per wanted place.
+
+Ranks need all values in order: values are counted, range-partitioned and
+summed up inside the partitions.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import fixed_partitions
+from ..session import cut_lineage, fixed_partitions
 from .values import col, numeric_frame
 
-ROWS_PER_BUCKET = 2_000_000
-MIN_BUCKETS = 64
-MAX_BUCKETS = 50_000
-MAX_BROADCAST_ROWS = 1_000_000
-HOT_SHARE = 64  # a value holding more than 1/64 of the rows counts as hot
-SALTS = 64
-
-
-class Splits:
-    """Sorted cut points, frequent values and row counts per variable (bounded)."""
-
-    def __init__(self, cuts: dict[str, list[float]], hot: dict[str, list[float]], totals: dict[str, int]):
-        self.cuts = cuts
-        self.hot = hot
-        self.totals = totals
-
-    def __bool__(self) -> bool:
-        return any(self.cuts.values())
-
-    def of(self, c: str) -> "Splits":
-        return Splits({c: self.cuts.get(c, [])}, {c: self.hot.get(c, [])}, {c: self.totals.get(c, 0)})
-
-    @property
-    def rows(self) -> int:
-        return sum(len(c) + 1 for c in self.cuts.values())
-
-
-def find_splits(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS) -> Splits:
-    """Count the values of each column; cut large tables by approximate quantiles."""
-    numbers = numeric_frame(df, cols)
-    counts = numbers.agg(*[F.count(col(c)).alias(f"_{i}") for i, c in enumerate(cols)]).first()
-    totals = dict(zip(cols, counts))
-    largest = max(totals.values())
-    if largest <= rows_per_bucket:
-        return Splits({}, {}, totals)
-    buckets = min(max_buckets, max(MIN_BUCKETS, math.ceil(largest / rows_per_bucket)))
-    probabilities = [i / buckets for i in range(1, buckets)]
-    row = numbers.agg(
-        *[F.percentile_approx(col(c), probabilities, max(10_000, 4 * buckets)).alias(c) for c in cols]
-    ).first()
-    cuts, hot = {}, {}
-    repeats = max(2, buckets // HOT_SHARE)
-    for c in cols:
-        points = row[c] or []
-        seen: dict[float, int] = {}
-        for p in points:
-            seen[p] = seen.get(p, 0) + 1
-        cuts[c] = sorted(p for p in seen if math.isfinite(p))
-        hot[c] = sorted(p for p, times in seen.items() if times >= repeats)
-    return Splits(cuts, hot, totals)
-
-
-def mark_ranges(numbers: DataFrame, cuts: dict[str, list[float]], names: dict[str, str]) -> DataFrame:
-    """Add, under ``names``, the index of the value range of each cut column."""
-    used = [c for c in names if cuts.get(c)]
-    if used:
-        bucketizer = Bucketizer(
-            splitsArray=[[-float("inf"), *cuts[c], float("inf")] for c in used],
-            inputCols=used,
-            outputCols=[names[c] for c in used],
-            handleInvalid="keep",
-        )
-        numbers = bucketizer.transform(numbers)
-    return numbers.withColumns({name: F.col(name).cast("int") if c in used else F.lit(0) for c, name in names.items()})
-
-
-def _long_values(df: DataFrame, cols: list[str], splits: Splits) -> DataFrame:
-    """``(v, bucket, value)``: the values of all columns below each other."""
-    numbers = numeric_frame(df, cols).toDF(*[str(i) for i in range(len(cols))])
-    if not splits:
-        long = numbers.unpivot([], list(numbers.columns), "v", "value").filter(F.col("value").isNotNull())
-        return long.select(F.col("v").cast("int").alias("v"), F.lit(0).alias("bucket"), "value")
-    place = {str(i): f"_bucket_{i}" for i in range(len(cols))}
-    marked = mark_ranges(numbers, {str(i): splits.cuts.get(c, []) for i, c in enumerate(cols)}, place)
-    cells = [F.struct(F.lit(i).alias("v"), F.col(place[str(i)]).alias("bucket"), F.col(str(i)).alias("value")) for i in range(len(cols))]
-    return marked.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull())
-
-
-def _per_column(values: list) -> Column:
-    """Constant of the column that a long row belongs to."""
-    return F.element_at(F.array(*[F.lit(x) for x in values]), F.col("v") + 1)
-
-
-def value_counts(df: DataFrame, cols: list[str], splits: Splits) -> DataFrame:
-    """``(v, bucket, value, n)``: one row per distinct value."""
-    return _long_values(df, cols, splits).groupBy("v", "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
-def rank_table(df: DataFrame, cols: list[str], splits: Splits | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``(v, value, n, before, total, avg_rank)`` for every distinct value.
-
-    ``v`` is the position of the column in ``cols``, ``before`` counts the
-    smaller rows and ``avg_rank`` is the tie-averaged rank.
-    """
-    if splits is None:
-        splits = find_splits(df, cols, rows_per_bucket)
-    counts = value_counts(df, cols, splits)
-    ordered = Window.partitionBy("v", "bucket").orderBy("value")
-    running = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
-    if not splits:
-        ranked = counts.select("v", "value", "n", running.alias("before"))
-    else:
-        totals = counts.groupBy("v", "bucket").agg(F.sum("n").alias("in_bucket"))
-        offset = F.sum("in_bucket").over(Window.partitionBy("v").orderBy("bucket")) - F.col("in_bucket")
-        offsets = totals.select("v", "bucket", offset.alias("offset"))
-        if splits.rows <= MAX_BROADCAST_ROWS:  # at most one row per cut point
-            offsets = F.broadcast(offsets)
-        ranked = (
-            counts.select("v", "bucket", "value", "n", running.alias("inside"))
-            .join(offsets, ["v", "bucket"])
-            .select("v", "value", "n", (F.col("offset") + F.col("inside")).alias("before"))
-        )
-    totals = _per_column([int(splits.totals[c]) for c in cols]).cast("bigint")
-    return ranked.withColumns({"total": totals, "avg_rank": F.col("before") + (F.col("n") + 1) / 2})
-
-
-def quantile_columns(probabilities: dict[str, float]) -> list:
-    """Aggregates over a rank table giving linearly interpolated quantiles."""
-    result = []
-    for name, q in probabilities.items():
-        position = (F.col("total") - 1) * F.lit(q)
-        below = F.floor(position)
-        reach = F.col("before") + F.col("n")
-        low = F.min(F.when(reach > below, F.col("value")))
-        high = F.min(F.when(reach > below + 1, F.col("value")))
-        share = F.max(position - below)
-        result.append(F.when((share == 0) | high.isNull() | (high == low), low).otherwise(low + (high - low) * share).alias(name))
-    return result
+ROWS_PER_BUCKET = 500_000  # a bucket of at most so many rows is settled by counting its values
+STEPS_PER_OCTAVE = 16
+STEPS = 65_536  # of the later digits
+INFINITE = float("inf")
+BEYOND = 40_000  # first digit of infinity; finite numbers stay below
+HOT_SHARE = 64  # a value held by more than 1/64 of the rows is hot: at most 64 in a column
+SPREAD = 1024
+
+
+def long_values(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
+    """``(*keep, v, value)``: the present values of all columns below each other, ``v`` being the place of the column."""
+    keep = keep or []
+    numbers = numeric_frame(df, cols, keep).toDF(*keep, *[f"_{i}" for i in range(len(cols))])
+    cells = [F.struct(F.lit(i).alias("v"), F.col(f"_{i}").alias("value")) for i in range(len(cols))]
+    return numbers.select(*[col(k) for k in keep], F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+
+# ------------------------------------------------------------------- selection
+def _first_digit(x: Column) -> Column:
+    """Sign and logarithm in whole steps; never falls as the number grows."""
+    steps = 1 + F.floor((F.log2(F.abs(x)) + 1075) * STEPS_PER_OCTAVE)
+    size = F.when(F.abs(x) == INFINITE, F.lit(BEYOND)).otherwise(steps)
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.signum(x) * size)
+
+
+def _buckets(values: DataFrame, group: str, digit: Column) -> DataFrame:
+    """Rows, smallest and largest value of each bucket, and the rows of its group before it."""
+    counts = values.groupBy(F.col(group).alias("g"), digit.alias("digit")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    # a group has at most STEPS, twice BEYOND or rows_per_bucket digits
+    return counts.withColumn("before", F.sum("n").over(Window.partitionBy("g").orderBy("digit")) - F.col("n"))
+
+
+def _places(total: Column, probabilities: list[float]) -> Column:
+    """The places, counted from 0, that the quantiles of ``total`` values lie between."""
+    lower = [F.floor((total - 1) * F.lit(float(p))) for p in probabilities]
+    return F.array_distinct(F.array(*lower, *[F.least(x + 1, total - 1) for x in lower]))
+
+
+def selected(df: DataFrame, cols: list[str], probabilities: list[float], rows_per_bucket: int = ROWS_PER_BUCKET) -> list[tuple[int, dict[int, float]]]:
+    """Per column the number of its values, and those at the places of :func:`_places`."""
+    spark, values = df.sparkSession, long_values(df, cols)
+    found: list[tuple[int, dict[int, float]]] = [(0, {}) for _ in cols]
+    if not probabilities:
+        return found
+    counts = _buckets(values, "v", _first_digit(F.col("value"))).withColumn("total", F.sum("n").over(Window.partitionBy("g")))
+    counts = counts.withColumn("place", F.explode(_places(F.col("total"), probabilities)))
+    inside = (F.col("place") >= F.col("before")) & (F.col("place") < F.col("before") + F.col("n"))
+    crossed = []
+    for r in counts.where(inside).collect():  # two places a quantile and column
+        found[r["g"]] = (r["total"], found[r["g"]][1])
+        crossed.append((r["g"], r["place"], r["before"], r["n"], r["lo"], r["hi"]))
+    while True:
+        open_: dict[tuple, list[int]] = {}
+        for v, place, before, n, lo, hi in crossed:
+            if lo == hi:
+                found[v][1][place] = lo
+            else:
+                open_.setdefault((v, before, n, lo, hi), []).append(place)
+        if not open_:
+            return found
+        ranges = [(g, v, lo, hi, n <= rows_per_bucket) for g, (v, _, n, lo, hi) in enumerate(open_)]
+        sought = [(g, place - before) for g, ((_, before, *_), places) in enumerate(open_.items()) for place in places]
+        table = F.broadcast(spark.createDataFrame(ranges, "g int, v int, low double, high double, few boolean"))
+        within = values.join(table, "v").where((F.col("value") >= F.col("low")) & (F.col("value") <= F.col("high")))
+        step = F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * STEPS), F.lit(STEPS - 1))
+        counts = _buckets(within, "g", F.when(F.col("few"), F.col("value")).otherwise(step))
+        counts = counts.join(F.broadcast(spark.createDataFrame(sought, "g int, place bigint")), "g")
+        owners = list(open_)
+        crossed = [(owners[r["g"]][0], owners[r["g"]][1] + r["place"], owners[r["g"]][1] + r["before"], r["n"], r["lo"], r["hi"]) for r in counts.where(inside).collect()]
+
+
+def _between(total: int, values: dict[int, float], probability: float) -> float | None:
+    """The linearly interpolated quantile."""
+    if not total:
+        return None
+    position = (total - 1) * float(probability)
+    below = math.floor(position)
+    low, high, share = values[below], values[min(below + 1, total - 1)], position - below
+    return low if share == 0 or low == high else low + (high - low) * share
 
 
-def order_statistics(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> DataFrame:
-    """Quantiles and mode (smallest on ties) per column: ``(variable, <names>, mode)``."""
-    smallest_most_frequent = F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode")
-    table = rank_table(df, cols, **kwargs).groupBy("v").agg(*quantile_columns(probabilities), smallest_most_frequent)
-    return table.withColumn("variable", _per_column(cols)).drop("v")
+def quantile_parameters(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> dict[str, dict[str, float]]:
+    """The quantiles as plain numbers, one row per column; None for a column without values."""
+    found = selected(df, cols, list(probabilities.values()), **kwargs) if cols else []
+    return {c: {name: _between(*f, p) for name, p in probabilities.items()} for c, f in zip(cols, found)}
 
 
-def quantile_parameters(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> dict[str, dict[str, float]]:
-    """The quantiles as plain numbers; one row per column reaches the driver."""
-    table = rank_table(df, cols, **kwargs).groupBy("v").agg(*quantile_columns(probabilities))
-    found = {cols[r["v"]]: {p: r[p] for p in probabilities} for r in table.collect()}
-    return {c: found.get(c, {p: None for p in probabilities}) for c in cols}
+def modes(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(v, mode)``: the most frequent value of each column, the smallest on ties."""
+    counts = long_values(df, cols).groupBy("v", "value").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("v").agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
 
 
-def add_average_ranks(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Rows with ``rank_<i>`` for each of ``cols`` (no missing values expected).
+def order_statistics(df: DataFrame, cols: list[str], probabilities: dict[str, float], **kwargs) -> DataFrame:
+    """Quantiles and mode (smallest on ties) per column with values: ``(variable, <names>, mode)``."""
+    found = quantile_parameters(df, cols, probabilities, **kwargs)
+    rows = [(i, c, *found[c].values()) for i, c in enumerate(cols)]
+    fields = "".join(f", {name} double" for name in probabilities)
+    table = df.sparkSession.createDataFrame(rows, f"v int, variable string{fields}")  # one row per column
+    return modes(df, cols).join(F.broadcast(table), "v").select("variable", *probabilities, "mode")
+
 
-    One equi-join on the value per column.  Frequent values, known from the
-    cut points, are spread over ``SALTS`` keys on the row side and repeated as
-    often on the one-row-per-value side.
+# ----------------------------------------------------------------------- ranks
+def rank_table(values: DataFrame, partitions: int | None = None) -> DataFrame:
+    """``(v, value, n, before, total, avg_rank)`` for every distinct value of ``(.., v, value)``.
+
+    ``before`` counts the smaller rows of the same ``v`` and ``avg_rank`` is
+    the tie-averaged rank.  Counted values are range-partitioned, so a
+    partition holds a bounded part of the distinct values of any column.
+    """
+    counts = cut_lineage(values.groupBy("v", "value").agg(F.count(F.lit(1)).alias("n")))
+    by = [F.col("v"), F.col("value")]
+    ranged = counts.repartitionByRange(partitions, *by) if partitions else counts.repartitionByRange(*by)
+    placed = cut_lineage(ranged.withColumn("part", F.spark_partition_id()))
+    sums = placed.groupBy("v", "part").agg(F.sum("n").alias("in_part"))  # one row per partition and column it reaches
+    every = Window.partitionBy("v")
+    offsets = sums.select("v", "part", (F.sum("in_part").over(every.orderBy("part")) - F.col("in_part")).alias("offset"), F.sum("in_part").over(every).alias("total"))
+    inside = F.sum("n").over(Window.partitionBy("v", "part").orderBy("value")) - F.col("n")
+    ranked = placed.withColumn("inside", inside).join(F.broadcast(offsets), ["v", "part"]).withColumn("before", F.col("offset") + F.col("inside"))
+    return ranked.select("v", "value", "n", "before", "total", (F.col("before") + (F.col("n") + 1) / 2).alias("avg_rank"))
+
+
+def with_ranks(values: DataFrame, spread: Column, partitions: int | None = None) -> DataFrame:
+    """Rows of ``(.., v, value)`` with ``avg_rank`` among the rows of the same ``v``.
+
+    One join by value for all columns.  The few hot values are broadcast; their
+    rows go to keys of their own, dealt by ``spread``, in the join of the others.
     """
-    ranked = numeric_frame(df, cols)
-    splits = find_splits(ranked, cols, rows_per_bucket)
-    base = ranked
-    salted = any(splits.hot.get(c) for c in cols)
-    if salted:
-        ranked = ranked.withColumn("_spread", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    for i, c in enumerate(cols):
-        table = rank_table(base.select(col(c)), [c], splits.of(c))
-        table = table.select(F.col("value").alias("_value"), F.col("avg_rank").alias(f"rank_{i}"))
-        condition = [col(c) == F.col("_value")]
-        hot = splits.hot.get(c)
-        if hot:
-            every = F.sequence(F.lit(0), F.lit(SALTS - 1))
-            table = table.withColumn("_salt_v", F.explode(F.when(F.col("_value").isin(hot), every).otherwise(F.array(F.lit(0)))))
-            ranked = ranked.withColumn("_salt", F.when(col(c).isin(hot), F.col("_spread")).otherwise(0))
-            condition.append(F.col("_salt") == F.col("_salt_v"))
-        ranked = ranked.join(table, condition).drop("_value", "_salt_v", "_salt")
-    return ranked.drop("_spread")
+    table = cut_lineage(rank_table(values, partitions))
+    hot = table.where(F.col("n") * HOT_SHARE > F.col("total")).select("v", "value", F.col("avg_rank").alias("hot_rank"))  # at most HOT_SHARE a column
+    rest = table.where(F.col("n") * HOT_SHARE <= F.col("total")).select(F.col("v").alias("key"), "value", "avg_rank")
+    rows = values.join(F.broadcast(hot), ["v", "value"], "left")
+    apart = -1 - F.pmod(F.xxhash64(spread), F.lit(SPREAD)).cast("int")
+    rows = rows.withColumn("key", F.when(F.col("hot_rank").isNotNull(), apart).otherwise(F.col("v"))).join(rest, ["key", "value"], "left")
+    return rows.withColumn("avg_rank", F.coalesce("hot_rank", "avg_rank")).drop("key", "hot_rank")
 
 
 def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:

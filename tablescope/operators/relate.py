@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import AnalysisConfig
-from ..errors import TablescopeError, UnknownMethodError
+from ..errors import UnknownMethodError
 from ..functions import text
-from ..functions.ordered import ROWS_PER_BUCKET, add_average_ranks, find_splits, mark_ranges
+from ..functions.ordered import with_ranks
 from ..functions.values import as_double, col, numeric_frame, quoted, value_text
+from ..session import cut_lineage
 
 # ---------------------------------------------------------------- fixed values
 RISING = "Cuando {first} aumenta, {second} también tiende a aumentar."
@@ -20,6 +24,11 @@ FALLING = "Cuando {first} aumenta, {second} tiende a disminuir."
 # -----------------------------------------------------------------------------
 
 PAIRS_PER_PASS = 300  # keeps one aggregate within sensible generated code
+COLUMNS_PER_PASS = 60  # numeric columns of one aggregate
+FEW_UNITS = 32  # brought back to their rows by one maximum each
+UNITS_PER_PASS = 400  # ranked columns of one pass
+LEAST_SHARE = 1e-6  # of the squares that the variance has to be, for sums to give it
+SUMS = ["n", "sa", "sb", "qa", "qb", "c"]  # of a pair: rows, values, squares, products
 EMPTY_LONG = "method string, ord int, var_a string, var_b string, coefficient double, n bigint"
 
 
@@ -63,35 +72,96 @@ def _pairs(cols: list[str], diagonal: bool) -> list[tuple[int, str, str]]:
 
 def pearson(df: DataFrame, cols: list[str], diagonal: bool = False) -> DataFrame:
     """Long upper triangle ``(method, ord, var_a, var_b, coefficient, n)``, pairwise complete."""
-    pairs = _pairs(cols, diagonal)
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], EMPTY_LONG)
-    return _pair_table(numeric_frame(df, cols), [(o, a, b, a, b) for o, a, b in pairs], "pearson")
+    numbers = numeric_frame(df, cols).toDF(*[f"x{i}" for i in range(len(cols))])
+    place = {c: i for i, c in enumerate(cols)}
+    return _all_pairs(numbers, len(cols), [(o, a, b, place[a], place[b]) for o, a, b in _pairs(cols, diagonal)], "pearson")
 
 
-def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def _all_pairs(numbers: DataFrame, width: int, entries: list[tuple[int, str, str, int, int]], method: str) -> DataFrame:
+    """Coefficients of the columns x0, x1, ..; entries are (ord, name_a, name_b, place_a, place_b).
+
+    Few pairs are one aggregate inside Spark.  More are matrix products: every
+    task adds up, for all pairs, the sums over the rows that have both values,
+    of numbers shifted by the mean of their column, so one pass serves any
+    number of columns.  Pairs whose complete rows vary so little beside their
+    distance from the mean that the sums cannot tell go through the aggregate.
+    """
+    named = lambda some: [(o, a, b, f"x{i}", f"x{j}") for o, a, b, i, j in some]
+    if len(entries) <= PAIRS_PER_PASS:
+        return _pair_table(numbers, named(entries), method)
+    spark = numbers.sparkSession
+    each = numbers.agg(*[F.struct(F.avg(x).alias("mean"), F.min(x).alias("lo"), F.max(x).alias("hi")).alias(x) for x in numbers.columns]).first()
+    finite = lambda r: r["mean"] is not None and np.isfinite([r["mean"], r["lo"], r["hi"]]).all()
+    known = [bool(finite(r)) for r in each]
+    centre = np.array([r["mean"] if k else 0.0 for r, k in zip(each, known)])
+    first, second = (np.array([e[k] for e in entries]) for k in (3, 4))
+
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(first)))
+        for batch in batches:
+            for s in range(0, batch.num_rows, 4096):
+                x = batch.column(0).slice(s, 4096).flatten().to_numpy(zero_copy_only=False).reshape(-1, width) - centre
+                there = np.isfinite(x)
+                x, m = np.where(there, x, 0.0), there.astype(float)
+                sums, squares = x.T @ m, (x * x).T @ m
+                total += np.stack([(m.T @ m)[first, second], sums[first, second], sums[second, first], squares[first, second], squares[second, first], (x.T @ x)[first, second]])
+        columns = [pa.array(np.arange(len(first)), pa.int32()), *[pa.array(t) for t in total]]
+        yield pa.RecordBatch.from_arrays(columns, names=["e", *SUMS])
+
+    rows = numbers.select(F.array(*numbers.columns).alias("x")).mapInArrow(products, "e int, " + ", ".join(f"{t} double" for t in SUMS))
+    rows = cut_lineage(rows.groupBy("e").agg(*[F.sum(t).alias(t) for t in SUMS]))  # one row per pair
+    table = spark.createDataFrame([(e, o, a, b, known[i] and known[j]) for e, (o, a, b, i, j) in enumerate(entries)], "e int, ord int, var_a string, var_b string, known boolean")
+    n, var_a, var_b = F.col("n"), F.col("qa") - F.col("sa") * F.col("sa") / F.col("n"), F.col("qb") - F.col("sb") * F.col("sb") / F.col("n")
+    told = F.col("known") & (n > 1) & (var_a > F.col("qa") * LEAST_SHARE) & (var_b > F.col("qb") * LEAST_SHARE)
+    r = (F.col("c") - F.col("sa") * F.col("sb") / n) / F.sqrt(var_a * var_b)
+    rows = table.join(rows, "e", "left").withColumn("told", F.coalesce(told, F.lit(False)))
+    odd = {x["e"] for x in rows.where(~F.col("told")).select("e").collect()}  # numbers of pairs
+    good = rows.where("told").select(F.lit(method).alias("method"), "ord", "var_a", "var_b", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)).alias("coefficient"), n.cast("bigint").alias("n"))
+    return good.unionByName(_pair_table(numbers, named([e for i, e in enumerate(entries) if i in odd]), method)) if odd else good
+
+
+def _patterns(numbers: DataFrame) -> list[tuple]:
+    """What is equal for two columns that have values in the same rows: their number, and sums of checksums of these rows."""
+    checksum = F.xxhash64(*numbers.columns)
+    halves = [F.shiftright(checksum, 40), F.shiftright(F.shiftleft(checksum, 24), 40)]
+    cells = [F.struct(F.count(x), *[F.sum(F.when(F.col(x).isNotNull(), h)) for h in halves]).alias(x) for x in numbers.columns]
+    return [tuple(r) for r in numbers.agg(*cells).first()]
+
+
+def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, partitions: int | None = None) -> DataFrame:
     """Pearson's r of tie-averaged ranks, ranked per pair on its complete rows.
 
-    Columns without missing values keep the same ranks in every pair, so they
-    are ranked once; only pairs touching a column with gaps are ranked anew.
+    A column is ranked once for each pattern of gaps among the columns, within
+    the rows that have both; without gaps that is once.  All of them are ranked
+    together, one below another, and brought back to their rows by one shuffle.
     """
+    spark = df.sparkSession
     if len(cols) < 2:
-        return df.sparkSession.createDataFrame([], EMPTY_LONG)
-    numbers = numeric_frame(df, cols)
-    counts = numbers.agg(F.count(F.lit(1)).alias("n"), *[F.count(col(c)).alias(f"_{i}") for i, c in enumerate(cols)]).first()
-    full = [c for i, c in enumerate(cols) if counts[f"_{i}"] == counts["n"]]
-    frames, whole = [], []
-    for order, a, b in _pairs(cols, diagonal):
-        if a in full and b in full:
-            whole.append((order, a, b, f"rank_{full.index(a)}", f"rank_{full.index(b)}"))
-            continue
-        used = [a] if a == b else [a, b]
-        complete = numbers.select(*[col(c) for c in used]).dropna(subset=[quoted(c) for c in used])
-        ranked = add_average_ranks(complete, used, rows_per_bucket)
-        frames.append(_pair_table(ranked, [(order, a, b, "rank_0", f"rank_{len(used) - 1}")], "spearman"))
-    if whole:
-        ranked = add_average_ranks(numbers.select(*[col(c) for c in full]), full, rows_per_bucket)
-        frames.append(_pair_table(ranked, whole, "spearman"))
+        return spark.createDataFrame([], EMPTY_LONG)
+    numbers = numeric_frame(df, cols).toDF(*[f"x{i}" for i in range(len(cols))])
+    found = _patterns(numbers)
+    pattern = [found.index(p) for p in found]  # the first column of the same pattern
+    place, frames = {c: i for i, c in enumerate(cols)}, []
+    todo = [(o, a, b, place[a], place[b]) for o, a, b in _pairs(cols, diagonal)]
+    while todo:
+        units, entries = {}, []
+        for o, a, b, i, j in todo:  # as many pairs as fit into one pass
+            if len({(i, pattern[j]), (j, pattern[i])} - set(units)) + len(units) > UNITS_PER_PASS and entries:
+                break
+            entries.append((o, a, b, *[units.setdefault(u, len(units)) for u in ((i, pattern[j]), (j, pattern[i]))]))
+        todo = todo[len(entries) :]
+        cells = [F.struct(F.lit(v).alias("v"), F.when(F.col(f"x{p}").isNotNull(), F.col(f"x{i}")).alias("value")) for (i, p), v in units.items()]
+        values = numbers.withColumn("row", F.monotonically_increasing_id()).select("row", F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+        ranked = with_ranks(values, F.col("row"), partitions)
+        if len(units) <= FEW_UNITS:
+            ranks = ranked.groupBy("row").agg(*[F.max(F.when(F.col("v") == v, F.col("avg_rank"))).alias(f"x{v}") for v in range(len(units))]).drop("row")
+        else:
+            ranks = ranked.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("v", "avg_rank"))).alias("r"))  # one row of the table
+            ranks = ranks.select(*[F.col("r")[v].alias(f"x{v}") for v in range(len(units))])
+        ranks = cut_lineage(ranks)
+        frames.append(_all_pairs(ranks, len(units), entries, "spearman"))
     return _union(frames)
 
 
@@ -125,69 +195,88 @@ def _signed_pairs(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     return score - float(np.sum(sums * sums) - np.sum(weight * weight)) / 2
 
 
-def _score_group(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Signed pairs of one bounded group, less those its sub-ranges hold."""
-    def count(part: pd.DataFrame) -> float:
-        return _signed_pairs(part["x"].to_numpy(), part["y"].to_numpy(), part["n"].to_numpy())
-
-    score = count(pdf)
-    if pdf["kind"].iloc[0] == "y":
-        score -= sum(count(part) for _, part in pdf.groupby("other"))
-    return pd.DataFrame({"score": [score]})
-
-
-KENDALL_RANGES = 1000
+GROUP_POINTS = 100_000  # distinct points counted in one group
+CUTS = 63  # of one range of x
 
 
-def kendall(df: DataFrame, cols: list[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Kendall's tau-b for every pair of columns, exact.
+def kendall(df: DataFrame, cols: list[str], group_points: int = GROUP_POINTS) -> DataFrame:
+    """Kendall's tau-b for every pair of columns, exact at every size.
 
-    Both axes are cut into at most ``KENDALL_RANGES`` value ranges.  Two points
-    that differ in both ranges are settled on the grid of range counts, the
-    others share an x range or a y range and are counted inside it, so every
-    group is bounded.  Tables too large for that are refused, never sampled.
+    Equal points are counted first.  A range of x with more than
+    ``group_points`` of them is cut into sub-ranges, every cut value being one
+    of its own.  Points of different sub-ranges are settled by the place of
+    these alone: counted by (sub-range, y), they are dealt to ranges of y, in
+    which their order is counted; between two ranges of y it follows from the
+    numbers of each sub-range.  Points of one sub-range are left to the next
+    round, or to one group if they are few; those of one cut value are ties.
     """
     if len(cols) < 2:
         return df.sparkSession.createDataFrame([], EMPTY_LONG)
-    return _union([_kendall_pair(df, order, a, b, rows_per_bucket) for order, a, b in _pairs(cols, False)])
-
-
-def _kendall_pair(df: DataFrame, order: int, a: str, b: str, rows_per_bucket: int) -> DataFrame:
+    return _union([_kendall_pair(df, order, a, b, group_points) for order, a, b in _pairs(cols, False)])
+
+
+def _cut_ranges(points: DataFrame) -> DataFrame:
+    """``points`` with ``sub``, their place among the cut values of their range; odd places are the cut values themselves."""
+    shares = [i / (CUTS + 1) for i in range(1, CUTS + 1)]
+    cuts = points.groupBy("g").agg(F.array_distinct(F.percentile_approx("x", shares, 1000)).alias("cuts"))  # steers the work only
+    below = F.size(F.filter("cuts", lambda c: c < F.col("x")))
+    return points.join(cuts, "g").withColumn("sub", (2 * below + F.array_contains("cuts", F.col("x")).cast("int"))).drop("cuts")
+
+
+def _score_between(points: DataFrame, group_points: int) -> float:
+    """Signed pairs of points of one range of x that lie in different sub-ranges."""
+    marks = points.groupBy("g", "y", "sub").agg(F.sum("n").alias("n"))  # a value of y has one row per sub-range
+    marks = cut_lineage(marks)
+    parts = max(1, math.ceil(marks.count() / (group_points / 4)))
+    ranged = marks.repartitionByRange(parts, "g", "y").select("g", F.spark_partition_id().alias("part"), "sub", "y", "n")
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = pd.concat([pd.DataFrame({"g": [], "part": [], "sub": [], "y": [], "n": []}), *batches])  # one range of y
+        for (g, part), rows in held.groupby(["g", "part"]):
+            score = _signed_pairs(rows["sub"].to_numpy(), rows["y"].to_numpy(), rows["n"].to_numpy())
+            sums = rows.groupby("sub")["n"].sum()
+            yield pd.DataFrame({"g": int(g), "part": int(part), "sub": sums.index.astype("int32"), "n": sums.to_numpy("float64"), "score": [score] + [0.0] * (len(sums) - 1)})
+
+    counted = cut_lineage(ranged.mapInPandas(inside, "g bigint, part int, sub int, n double, score double"))
+    # numbers of the sub-ranges in the ranges of y below, then those of smaller and of larger sub-ranges
+    earlier = Window.partitionBy("g", "sub").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    filled = counted.groupBy("g", "part").agg(F.map_from_entries(F.collect_list(F.struct("sub", "n"))).alias("m"))  # at most 2 CUTS + 1 entries
+    filled = filled.select("g", "part", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(2 * CUTS)), lambda s: F.coalesce(F.col("m")[s], F.lit(0.0)))).alias("sub", "n"))
+    filled = filled.withColumn("seen", F.coalesce(F.sum("n").over(earlier), F.lit(0.0)))
+    smaller = F.coalesce(F.sum("seen").over(Window.partitionBy("g", "part").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    larger = F.sum("seen").over(Window.partitionBy("g", "part")) - F.col("smaller") - F.col("seen")
+    across = filled.withColumn("smaller", smaller).withColumn("larger", larger).agg(F.sum(F.col("n") * (F.col("smaller") - F.col("larger")))).first()[0]
+    return float(across or 0.0) + float(counted.agg(F.sum("score")).first()[0] or 0.0)
+
+
+def _score(points: DataFrame, group_points: int) -> float:
+    """Concordant less discordant pairs of the weighted points ``(x, y, n)``."""
+    def group(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"score": [_signed_pairs(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy())]})
+
+    left, total = cut_lineage(points.withColumn("g", F.lit(0).cast("bigint"))), 0.0
+    while True:
+        many = cut_lineage(left.groupBy("g").agg(F.count(F.lit(1)).alias("points")).where(F.col("points") > group_points).select("g"))
+        few = left.join(many, "g", "left_anti")
+        total += few.groupBy("g").applyInPandas(group, "score double").agg(F.sum("score")).first()[0] or 0.0
+        if many.isEmpty():
+            return total
+        left = cut_lineage(_cut_ranges(left.join(many, "g", "left_semi")))
+        total += _score_between(left, group_points)
+        left = cut_lineage(left.where("sub % 2 = 0").select((F.col("g") * (2 * CUTS + 1) + F.col("sub")).alias("g"), "x", "y", "n"))
+
+
+def _kendall_pair(df: DataFrame, order: int, a: str, b: str, group_points: int) -> DataFrame:
     points = numeric_frame(df, [a, b]).dropna(subset=[quoted(a), quoted(b)])
-    counts = points.groupBy(col(a).alias("x"), col(b).alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    size = counts.agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("n")).first()
-    if size["distinct"] > KENDALL_RANGES * rows_per_bucket:
-        raise TablescopeError(f"kendall: {size['distinct']} distinct pairs of '{a}' and '{b}' are too many")
-    splits = find_splits(counts, ["x", "y"], rows_per_bucket, KENDALL_RANGES)
-
-    # a frequent value v becomes a range of its own, all of whose pairs are ties
-    alone = {c: [v for v in splits.hot.get(c, []) if np.isfinite(v)] for c in ("x", "y")}
-    cuts = {c: sorted({*splits.cuts.get(c, []), *alone[c], *(float(np.nextafter(v, np.inf)) for v in alone[c])}) for c in ("x", "y")}
-    counts = mark_ranges(counts, cuts, {"x": "gx", "y": "gy"})
-
-    def side(kind: str, group: str, other: str) -> DataFrame:
-        kept = counts.filter(~F.col(kind).isin(alone[kind])) if alone[kind] else counts
-        return kept.select(F.lit(kind).alias("kind"), F.col(group).alias("g"), F.col(other).alias("other"), "x", "y", "n")
-
-    parts = side("x", "gx", "gy")
-    if splits:
-        grid = counts.groupBy("gx", "gy").agg(F.sum("n").alias("n")).select(
-            F.lit("grid").alias("kind"), F.lit(0).alias("g"), F.lit(0).alias("other"),
-            F.col("gx").cast("double").alias("x"), F.col("gy").cast("double").alias("y"), "n",
-        )
-        parts = parts.unionByName(side("y", "gy", "gx")).unionByName(grid)
-    score = parts.groupBy("kind", "g").applyInPandas(_score_group, "score double").agg(F.coalesce(F.sum("score"), F.lit(0.0)).alias("score"))
+    counts = cut_lineage(points.groupBy(col(a).alias("x"), col(b).alias("y")).agg(F.count(F.lit(1)).alias("n")))
     # tie corrections come from the value counts of each column
-    tied = F.sum(F.col("m") * (F.col("m") - 1) / 2)
-    tx = counts.groupBy("x").agg(F.sum("n").alias("m")).agg(F.coalesce(tied, F.lit(0.0))).first()[0]
-    ty = counts.groupBy("y").agg(F.sum("n").alias("m")).agg(F.coalesce(tied, F.lit(0.0))).first()[0]
-    n = size["n"] or 0
+    tied = F.coalesce(F.sum(F.col("m") * (F.col("m") - 1) / 2), F.lit(0.0))
+    tx, ty = (counts.groupBy(c).agg(F.sum("n").alias("m")).agg(tied).first()[0] for c in ("x", "y"))
+    n = counts.agg(F.sum("n")).first()[0] or 0
     all_pairs = n * (n - 1) / 2
     base = float(np.sqrt(all_pairs - tx) * np.sqrt(all_pairs - ty))
-    return score.select(
-        F.lit("kendall").alias("method"), F.lit(order).alias("ord"), F.lit(a).alias("var_a"), F.lit(b).alias("var_b"),
-        (F.col("score") / F.nullif(F.lit(base), F.lit(0.0))).alias("coefficient"), F.lit(n).cast("bigint").alias("n"),
-    )
+    tau = _score(counts, group_points) / base if base else None
+    return df.sparkSession.createDataFrame([("kendall", order, a, b, tau, n)], EMPTY_LONG)
 
 
 METHODS = {"pearson": pearson, "spearman": spearman, "kendall": kendall}
@@ -255,50 +344,50 @@ def wide_matrix(table: DataFrame, cols: list[str]) -> DataFrame:
     return full_matrix(table).groupBy("method", "var_a").pivot("var_b", cols).agg(F.first("coefficient"))
 
 
+def _category_moments(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """``(ci, category, xj, n, mean, spread, low, high)``: moments of each numeric column in each category, of all columns in one pass."""
+    base = df.select(
+        F.array(*[F.struct(F.lit(i).alias("ci"), value_text(df, c).alias("category")) for i, c in enumerate(categorical)]).alias("cells"),
+        *[as_double(df, c).alias(f"x{j}") for j, c in enumerate(numeric)],
+    )
+    xs = [f"x{j}" for j in range(len(numeric))]
+    long = base.select(F.inline("cells"), *xs).filter(F.col("category").isNotNull())
+
+    def cell(x: str) -> Column:
+        return F.struct(
+            F.lit(int(x[1:])).alias("xj"), F.count(x).alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("spread"),
+            F.min(x).alias("low"), F.max(x).alias("high"),
+        ).alias(x)
+
+    frames = []
+    for start in range(0, len(xs), COLUMNS_PER_PASS):
+        some = xs[start : start + COLUMNS_PER_PASS]
+        groups = long.groupBy("ci", "category").agg(*[cell(x) for x in some])
+        frames.append(groups.select("ci", "category", F.inline(F.array(*some))).filter(F.col("n") > 0))
+    return _union(frames)
+
+
 def eta_squared(df: DataFrame, categorical: list[str], numeric: list[str]) -> DataFrame:
     """Share of the variance of each numeric column explained by each category.
 
-    Two passes: one row of totals per pair, then group means combined with
-    them.  NULL below two categories, below three rows or without variance.
+    One pass over the rows gives the moments of every (category, column); the
+    totals of each pair of columns follow from them.  NULL below two
+    categories, below three rows or without variance.
     """
-    base = df.select(
-        *[value_text(df, c).alias(f"c{i}") for i, c in enumerate(categorical)],
-        *[as_double(df, c).alias(f"x{j}") for j, c in enumerate(numeric)],
-    )
-    pairs = [(i, j) for i in range(len(categorical)) for j in range(len(numeric))]
-    totals = []
-    for i, j in pairs:
-        x = F.when(F.col(f"c{i}").isNotNull(), F.col(f"x{j}"))
-        totals.append(
-            F.struct(
-                F.lit(i).alias("ci"), F.lit(j).alias("xj"), F.avg(x).alias("grand_mean"), F.count(x).alias("rows"),
-                F.when(F.min(x) == F.max(x), 0.0).otherwise(F.var_pop(x) * F.count(x)).alias("ss_total"),
-            ).alias(f"t{i}_{j}")
-        )
-    totals = base.agg(*totals).select(F.inline(F.array(*[F.col(f"t{i}_{j}") for i, j in pairs])))
-    cells = [F.struct(F.lit(i).alias("ci"), F.col(f"c{i}").alias("category")) for i in range(len(categorical))]
-    long = base.select(F.inline(F.array(*cells)), *[F.col(f"x{j}") for j in range(len(numeric))]).filter(F.col("category").isNotNull())
-    groups = long.groupBy("ci", "category").agg(
-        *[F.struct(F.lit(j).alias("xj"), F.count(f"x{j}").alias("n"), F.avg(f"x{j}").alias("mean")).alias(f"g{j}") for j in range(len(numeric))]
-    )
-    groups = groups.select("ci", F.inline(F.array(*[F.col(f"g{j}") for j in range(len(numeric))]))).filter(F.col("n") > 0)
+    groups = cut_lineage(_category_moments(df, categorical, numeric))
+    totals = groups.groupBy("ci", "xj").agg(
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand_mean"), F.sum("n").alias("rows"), F.count(F.lit(1)).alias("categories"),
+        F.sum("spread").alias("ss_within"), (F.min("low") == F.max("high")).alias("constant"),
+    )
+    apart = F.col("mean") - F.col("grand_mean")
     # totals hold one row per pair of columns
-    between = (
-        groups.join(F.broadcast(totals), ["ci", "xj"])
-        .groupBy("ci", "xj")
-        .agg(
-            F.sum(F.col("n") * (F.col("mean") - F.col("grand_mean")) * (F.col("mean") - F.col("grand_mean"))).alias("ss_between"),
-            F.count(F.lit(1)).alias("categories"),
-            F.first("rows").alias("rows"),
-            F.first("ss_total").alias("ss_total"),
-        )
-    )
-    valid = (F.col("categories") >= 2) & (F.col("rows") >= 3)
-    return between.select(
+    between = groups.join(F.broadcast(totals.select("ci", "xj", "grand_mean")), ["ci", "xj"]).groupBy("ci", "xj").agg(F.sum(F.col("n") * apart * apart).alias("ss_between"))
+    valid = (F.col("categories") >= 2) & (F.col("rows") >= 3) & ~F.col("constant")
+    return between.join(totals, ["ci", "xj"]).select(
         (F.col("ci") * len(numeric) + F.col("xj")).alias("ord"),
         F.element_at(F.array(*[F.lit(c) for c in categorical]), F.col("ci") + 1).alias("categorical"),
         F.element_at(F.array(*[F.lit(c) for c in numeric]), F.col("xj") + 1).alias("numeric"),
-        F.when(valid, F.col("ss_between") / F.nullif("ss_total", F.lit(0.0))).alias("eta_squared"),
+        F.when(valid, F.col("ss_between") / F.nullif(F.col("ss_between") + F.col("ss_within"), F.lit(0.0))).alias("eta_squared"),
     )
 
 
