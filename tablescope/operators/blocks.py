@@ -1,9 +1,9 @@
-"""Exact nearest distances and distance sums, part against part.
+"""Exact nearest distances, near boxes and distance sums, part against part.
 
-Points are cut into a k-d tree of even depth, so every leaf holds about
-``LEAF_ROWS`` of them.  Leaves meet in pairs: a pair is one group that holds
-the points of both, so no task holds more, nothing passes through the driver
-and no pair of points is ever written.
+Points are cut into a k-d tree whose leaves hold a bounded number of them.
+Leaves meet in pairs, found by descending the tree in pairs of nodes: a pair
+is one group that holds the points of both, so no task holds more, nothing
+passes through the driver and only what was asked for is written.
 """
 
 from __future__ import annotations
@@ -12,12 +12,19 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.values import col
 from ..session import cut_lineage
 
 LEAF_ROWS = 2_000
+LEAF_BOXES = 200
+ROUND_BITS = 6  # a leaf is cut into at most 64 at once
+STEP_BITS = 3  # and pairs of nodes into at most 64 pairs
+SAMPLE_ROWS = 4_000  # of a leaf, to choose its cuts
+FILL = 0.9  # of a leaf that is cut no more, as the sample tells
+MOST_ROUNDS = 10
+GRID_ROWS = 32  # rows of a part per square root of all rows, for distance sums
 SAME = 1e-12  # relative slack of a bound, for the rounding of distances
 
 
@@ -25,18 +32,68 @@ def _axes(d: int) -> list[str]:
     return [f"x{i}" for i in range(d)]
 
 
-def tree(points: DataFrame, d: int, n_rows: int, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, int]:
-    """``points`` (with x0..) and their ``leaf``, and the depth: halved at an approximate median of the widest axis."""
-    depth = max(0, math.ceil(math.log2(max(1, n_rows / leaf_rows))))
-    points = cut_lineage(points.withColumn("leaf", F.lit(0).cast("bigint")))
-    for _ in range(depth):
-        cells = [F.struct((F.max(x) - F.min(x)).alias("width"), F.max(x).alias("high"), F.percentile_approx(x, 0.5, 1000).cast("double").alias("middle"), F.lit(i).alias("axis")) for i, x in enumerate(_axes(d))]
-        split = points.groupBy("leaf").agg(F.array_max(F.array(*cells)).alias("cut"))
-        value = F.element_at(F.array(*_axes(d)), F.col("cut.axis") + 1)
-        # at a median equal to the largest value the points below it go left, so both sides get some
-        right = F.when(F.col("cut.middle") < F.col("cut.high"), value > F.col("cut.middle")).otherwise(value >= F.col("cut.middle"))
-        points = cut_lineage(points.join(split, "leaf").withColumn("leaf", F.col("leaf") * 2 + right.cast("bigint")).drop("cut"))
-    return points, depth
+def _best_cut(x: np.ndarray) -> tuple[int, float] | None:
+    """Axis and value that part the rows most evenly into those above and the rest; of about equal ones the widest axis."""
+    best = None
+    for axis in range(x.shape[1]):
+        column = x[:, axis]
+        middle = np.partition(column, len(column) // 2)[len(column) // 2]
+        below = column[column < middle]
+        for cut in ([middle] if (column > middle).any() else []) + ([below.max()] if len(below) else []):
+            uneven = abs((column > cut).mean() - 0.5)
+            rank = (round(uneven, 1), -float(np.ptp(column)))
+            if best is None or rank < best[0]:
+                best = rank, axis, float(cut)
+    return best and best[1:]
+
+
+def _cuts(x: np.ndarray, enough: float) -> tuple[list[int], list[float]]:
+    """A complete tree of ``ROUND_BITS`` levels in heap order; rows above the cut go right, at an infinite one none do.
+
+    Nodes of at most ``enough`` rows are not cut.
+    """
+    axis, cut = [0] * (2**ROUND_BITS - 1), [math.inf] * (2**ROUND_BITS - 1)
+    todo = [(1, x)]
+    while todo:
+        node, rows = todo.pop()
+        found = _best_cut(rows) if node < 2**ROUND_BITS and len(rows) > max(1, enough) else None
+        if found is None:
+            continue
+        axis[node - 1], cut[node - 1] = found
+        right = rows[:, found[0]] > found[1]
+        todo += [(2 * node, rows[~right]), (2 * node + 1, rows[right])]
+    return axis, cut
+
+
+def tree(points: DataFrame, d: int, leaf_rows: int = LEAF_ROWS) -> tuple[DataFrame, int]:
+    """``points`` (distinct in x0..) with their ``leaf``, and how many bits its number has.
+
+    The leaves that hold too many points are cut again and again.  Where to
+    cut is chosen on a sample of each; that steers the work only.  The bits of
+    a leaf are its way down from the root.
+    """
+    axes = _axes(d)
+    points, bits = cut_lineage(points.withColumn("leaf", F.lit(0).cast("bigint"))), 0
+    sampled = F.pmod(F.xxhash64(*axes), F.lit(1 << 20)) < F.lit(float((1 << 20) * SAMPLE_ROWS)) / F.col("n")
+
+    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
+        axis, cut = _cuts(pdf[axes].to_numpy(float), FILL * leaf_rows * len(pdf) / pdf["n"].iloc[0])
+        return pd.DataFrame({"leaf": pdf["leaf"].iloc[:1], "axis": [axis], "cut": [cut]})
+
+    for _ in range(MOST_ROUNDS):
+        open_ = points.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > leaf_rows)
+        cuts = cut_lineage(points.join(open_, "leaf").where(sampled).select("leaf", "n", *axes).groupBy("leaf").applyInPandas(plan, "leaf bigint, axis array<int>, cut array<double>"))
+        if cuts.isEmpty():
+            break
+        side = lambda node, _: 2 * node + (F.element_at(F.array(*axes), F.element_at("axis", node) + 1) > F.element_at("cut", node)).cast("int")
+        way = F.aggregate(F.sequence(F.lit(1), F.lit(ROUND_BITS)), F.lit(1), side) - 2**ROUND_BITS
+        placed = points.join(cuts, "leaf", "left").withColumn("leaf", F.col("leaf") * 2**ROUND_BITS + F.when(F.col("cut").isNull(), 0).otherwise(way))
+        points, bits = cut_lineage(placed.drop("axis", "cut")), bits + ROUND_BITS
+    return points, bits
+
+
+def _ends(d: int) -> list[tuple[str, str]]:
+    return [(f"{n}{i}", f"x{i}") for i in range(d) for n in ("lo", "hi")]
 
 
 def _gap(d: int) -> Column:
@@ -48,6 +105,61 @@ def _gap(d: int) -> Column:
     return F.sqrt(total)
 
 
+def leaf_pairs(leaves: DataFrame, bits: int, d: int) -> DataFrame:
+    """Pairs ``(i, j)`` of leaves, each with itself too, whose boxes are no farther apart than the ``bound`` of i.
+
+    ``leaves`` has leaf, lo0, hi0, .., bound.  Only children of pairs of nodes
+    that are near are looked at.
+    """
+    merged = [f(f"{n}{i}").alias(f"{n}{i}") for i in range(d) for n, f in (("lo", F.min), ("hi", F.max))]
+    pairs, level = leaves.limit(1).select(F.lit(0).cast("bigint").alias("i"), F.lit(0).cast("bigint").alias("j")), 0
+    while level < bits:
+        step = STEP_BITS if level else ROUND_BITS
+        level += step
+        nodes = leaves.groupBy(F.shiftright("leaf", bits - level).alias("node")).agg(*merged, F.max("bound").alias("bound"))
+        nodes = cut_lineage(nodes.withColumn("parent", F.shiftright("node", step)))
+        met = pairs.join(nodes.alias("a"), F.col("i") == F.col("a.parent")).join(nodes.alias("b"), F.col("j") == F.col("b.parent"))
+        pairs = cut_lineage(met.where(_gap(d) <= F.col("a.bound") * (1 + SAME)).select(F.col("a.node").alias("i"), F.col("b.node").alias("j")))
+    return pairs
+
+
+def near_boxes(boxes: DataFrame, d: int, radius: float, leaf_rows: int = LEAF_BOXES) -> DataFrame:
+    """Pairs ``(a, b)`` of ids of boxes ``(id, lo0, hi0, ..)`` no farther than ``radius`` apart, in both orders and each with itself.
+
+    Boxes go by their lowest corners, which are distinct.
+    """
+    ends = [n for n, _ in _ends(d)]
+    placed, bits = tree(boxes.select("id", *ends, *[F.col(f"lo{i}").alias(f"x{i}") for i in range(d)]), d, leaf_rows)
+    placed = placed.drop(*_axes(d))
+    merged = [f(f"{n}{i}").alias(f"{n}{i}") for i in range(d) for n, f in (("lo", F.min), ("hi", F.max))]
+    leaves = placed.groupBy("leaf").agg(*merged).withColumn("bound", F.lit(float(radius)))
+    pairs = leaf_pairs(cut_lineage(leaves) if bits else leaves, bits, d).where("i <= j")
+    first = placed.join(pairs, placed["leaf"] == pairs["i"]).drop("leaf")
+    second = placed.join(pairs.where("i < j"), placed["leaf"] == pairs["j"]).drop("leaf")
+    held = first.withColumn("right", F.lit(False)).unionByName(second.withColumn("right", F.lit(True)))
+
+    def near(pdf: pd.DataFrame) -> pd.DataFrame:
+        right = pdf["right"].to_numpy()
+        same = not right.any()
+        x, y = pdf[~right], pdf if same else pdf[right]
+        lo = [[p[f"lo{i}"].to_numpy() for i in range(d)] for p in (x, y)]
+        hi = [[p[f"hi{i}"].to_numpy() for i in range(d)] for p in (x, y)]
+        a, b, step = [], [], max(1, 4_000_000 // len(y))
+        for s in range(0, len(x), step):
+            total = np.zeros((len(x[s : s + step]), len(y)))
+            for i in range(d):
+                apart = np.maximum(lo[0][i][s : s + step, None] - hi[1][i][None, :], lo[1][i][None, :] - hi[0][i][s : s + step, None])
+                np.maximum(apart, 0.0, out=apart)
+                total += apart * apart
+            p, q = np.nonzero(np.sqrt(total) <= radius)
+            a.append(x["id"].to_numpy()[p + s])
+            b.append(y["id"].to_numpy()[q])
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pd.DataFrame({"a": a, "b": b} if same else {"a": np.concatenate([a, b]), "b": np.concatenate([b, a])})
+
+    return held.groupBy("i", "j").applyInPandas(near, "a bigint, b bigint")
+
+
 def _near(x: np.ndarray, y: np.ndarray, w: np.ndarray, k: int) -> np.ndarray:
     """Per row of x the k smallest distances to the rows of y, each counted w times (infinite beyond the last)."""
     out = np.full((len(x), k), np.inf)
@@ -67,81 +179,81 @@ def kth_distances(scaled: DataFrame, cols: list[str], key: str, k: int, leaf_row
     """``(key, k_distance)`` for every row: the distance to its k-th nearest row, itself included.
 
     Equal rows are one point with a weight.  The k-th distance inside the own
-    leaf bounds the search; only leaves whose boxes are within the bound of a
-    leaf are looked at, found by descending the tree in pairs of nodes.
+    leaf bounds the search of a point; only leaves whose boxes are within the
+    largest such bound of a leaf are looked at, and of what they hold only
+    distances below the bound of a point are written.
     """
     d, axes, partners = len(cols), _axes(len(cols)), [f"y{i}" for i in range(len(cols))]
     rows = scaled.select(col(key).alias("key"), *[(col(c).cast("double") + 0.0).alias(x) for c, x in zip(cols, axes)])
-    distinct = cut_lineage(rows.groupBy(*axes).agg(F.count(F.lit(1)).alias("w")).withColumn("id", F.monotonically_increasing_id()))
-    points, depth = tree(distinct, d, distinct.count(), leaf_rows)
+    distinct = rows.groupBy(*axes).agg(F.count(F.lit(1)).alias("w")).withColumn("id", F.monotonically_increasing_id())
+    points, bits = tree(cut_lineage(distinct), d, leaf_rows)
 
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf[axes].to_numpy(float)
-        return pd.DataFrame({"leaf": pdf["leaf"], "id": pdf["id"], "near": list(_near(x, x, pdf["w"].to_numpy(), k))})
+        near = _near(x, x, pdf["w"].to_numpy(), k)
+        return pdf[["leaf", "id", "w", *axes]].assign(near=list(near), bound=near[:, k - 1])
 
-    first = cut_lineage(points.groupBy("leaf").applyInPandas(own, "leaf bigint, id bigint, near array<double>"))
-    bound = first.groupBy("leaf").agg(F.max(F.element_at("near", k)).alias("bound"))
+    first = cut_lineage(points.groupBy("leaf").applyInPandas(own, "leaf bigint, id bigint, w bigint, " + "".join(f"{x} double, " for x in axes) + "near array<double>, bound double"))
     ends = [f(x).alias(f"{n}{i}") for i, x in enumerate(axes) for n, f in (("lo", F.min), ("hi", F.max))]
-    leaves = cut_lineage(points.groupBy("leaf").agg(*ends).join(bound, "leaf"))
-    pairs = None
-    for level in range(depth + 1):
-        node = F.shiftright("leaf", depth - level).alias("node")
-        merged = [f(f"{n}{i}").alias(f"{n}{i}") for i in range(d) for n, f in (("lo", F.min), ("hi", F.max))]
-        nodes = leaves.groupBy(node).agg(*merged, F.max("bound").alias("bound"))
-        if pairs is None:
-            pairs = nodes.select(F.col("node").alias("i"), F.col("node").alias("j"))
-            continue
-        halves = lambda c: F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
-        pairs = pairs.select(halves("i").alias("i"), "j").select("i", halves("j").alias("j"))
-        met = pairs.join(nodes.alias("a"), F.col("i") == F.col("a.node")).join(nodes.alias("b"), F.col("j") == F.col("b.node"))
-        pairs = cut_lineage(met.where(_gap(d) <= F.col("a.bound") * (1 + SAME)).select("i", "j"))
-    others = pairs.where("i != j")
-    mine = points.select("leaf", "id", *axes).join(others.withColumnRenamed("i", "leaf"), "leaf").select(F.col("leaf").alias("i"), "j", "id", *axes)
-    theirs = points.select(F.col("leaf").alias("j"), F.col("w").alias("v"), *[F.col(x).alias(y) for x, y in zip(axes, partners)]).join(others.select(F.col("i").alias("i2"), F.col("j")), "j").select(F.col("i2").alias("i"), "j", "v", *partners)
+    leaves = cut_lineage(first.groupBy("leaf").agg(*ends, F.max("bound").alias("bound")))
+    others = leaf_pairs(leaves, bits, d).where("i != j")
+    mine = first.select(F.col("leaf").alias("i"), "id", "bound", *axes).join(others, "i")
+    theirs = first.select(F.col("leaf").alias("j"), F.col("w").alias("v"), *[F.col(x).alias(y) for x, y in zip(axes, partners)])
+    theirs = theirs.join(others.select(F.col("i").alias("i2"), "j"), "j").withColumnRenamed("i2", "i")
 
     def against(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "near": pd.Series([], dtype=object)})
-        return pd.DataFrame({"id": a["id"], "near": list(_near(a[axes].to_numpy(float), b[partners].to_numpy(float), b["v"].to_numpy(), k))})
+            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "near": pd.Series([], dtype="float64")})
+        near = _near(a[axes].to_numpy(float), b[partners].to_numpy(float), b["v"].to_numpy(), k)
+        row, at = np.nonzero(near < a["bound"].to_numpy()[:, None])
+        return pd.DataFrame({"id": a["id"].to_numpy()[row], "near": near[row, at]})
 
-    more = mine.groupBy("i", "j").cogroup(theirs.groupBy("i", "j")).applyInPandas(against, "id bigint, near array<double>")
-    # a point has one list of k numbers per leaf within its bound
-    found = first.select("id", "near").unionByName(more).groupBy("id").agg(F.element_at(F.array_sort(F.flatten(F.collect_list("near"))), k).alias("k_distance"))
-    return rows.join(distinct, axes).join(found, "id").select(F.col("key").alias(key), "k_distance")
+    more = mine.groupBy("i", "j").cogroup(theirs.groupBy("i", "j")).applyInPandas(against, "id bigint, near double")
+    every = cut_lineage(more)
+    # the own leaf's list is needed only where another leaf has something nearer
+    lists = first.join(every.select("id").distinct(), "id", "left_semi").select("id", F.explode("near").alias("near"))
+    place = F.row_number().over(Window.partitionBy("id").orderBy("near"))  # only the k nearest leave a task
+    found = every.unionByName(lists).withColumn("place", place).where(F.col("place") <= k).groupBy("id").agg(F.max("near").alias("k_distance"))
+    settled = first.join(found, "id", "left").select(*axes, F.coalesce("k_distance", "bound").alias("k_distance"))
+    return rows.join(settled, axes).select(F.col("key").alias(key), "k_distance")
 
 
 def distance_sums(labelled: DataFrame, cols: list[str], groups: dict[str, int], block_rows: int | None = None) -> DataFrame:
     """Per row the sums of its distances to the members of every group.
 
     ``groups`` names the label columns and their number of groups, numbered
-    from 0; a label below 0 is in no group.  Every part meets every part, as
-    the sums are defined over all pairs of rows.
+    from 0; a label below 0 is in no group.  Every part meets every part once,
+    as the sums are defined over all pairs of rows.  The parts grow with the
+    square root of the table, and so does the number of copies of a row.
     """
     axes, labels = _axes(len(cols)), list(groups)
     rows = labelled.select(F.monotonically_increasing_id().alias("id"), *[col(c).cast("double").alias(x) for c, x in zip(cols, axes)], *[col(c) for c in labels])
     rows = cut_lineage(rows)
-    parts = max(1, math.ceil(rows.count() / (block_rows or LEAF_ROWS)))
-    placed = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)))
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-    mine = placed.select("id", *axes, F.col("part").alias("i"), every.alias("j"))
-    partners, marks = [f"y{i}" for i in range(len(axes))], [f"g{i}" for i in range(len(labels))]
-    theirs = placed.select(*[F.col(x).alias(y) for x, y in zip(axes, partners)], *[col(c).alias(g) for c, g in zip(labels, marks)], every.alias("i"), F.col("part").alias("j"))
+    n = rows.count()
+    parts = max(1, math.ceil(n / max(block_rows or LEAF_ROWS, 0 if block_rows else GRID_ROWS * math.sqrt(n))))
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("other")
+    placed = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).select("*", other)
+    placed = placed.select("id", *axes, *[col(c) for c in labels], "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    width = sum(groups.values())
 
-    def against(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "sums": pd.Series([], dtype=object)})
-        x, y, out = a[axes].to_numpy(float), b[partners].to_numpy(float), []
-        member = np.concatenate([(b[g].to_numpy()[:, None] == np.arange(n)[None, :]).astype(float) for g, n in zip(marks, groups.values())], axis=1)
-        step = max(1, 4_000_000 // len(y))
+    def against(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+        a = pdf[pdf["part"] == i]
+        b = a if i == j else pdf[pdf["part"] == j]
+        x, y = a[axes].to_numpy(float), b[axes].to_numpy(float)
+        member = [np.concatenate([(p[g].to_numpy()[:, None] == np.arange(m)[None, :]).astype(float) for g, m in groups.items()], axis=1) for p in (a, b)]
+        left, right, step = np.zeros((len(x), width)), np.zeros((len(y), width)), max(1, 4_000_000 // max(1, len(y)))
         for s in range(0, len(x), step):
             d2 = np.zeros((len(x[s : s + step]), len(y)))
             for q in range(x.shape[1]):
                 gap = x[s : s + step, q, None] - y[None, :, q]
                 d2 += gap * gap
-            out.append(np.sqrt(d2) @ member)
-        return pd.DataFrame({"id": a["id"], "sums": list(np.concatenate(out))})
+            np.sqrt(d2, out=d2)
+            left[s : s + step] = d2 @ member[1]
+            right += d2.T @ member[0][s : s + step]
+        out = [(a, left)] if i == j else [(a, left), (b, right)]
+        return pd.DataFrame(np.concatenate([v for _, v in out]), columns=[f"s{g}" for g in range(width)]).assign(id=np.concatenate([p["id"].to_numpy() for p, _ in out]))
 
-    partial = mine.groupBy("i", "j").cogroup(theirs.groupBy("i", "j")).applyInPandas(against, "id bigint, sums array<double>")
-    width = sum(groups.values())
-    summed = partial.groupBy("id").agg(F.array(*[F.sum(F.element_at("sums", g + 1)) for g in range(width)]).alias("sums"))
+    partial = placed.groupBy("i", "j").applyInPandas(against, "".join(f"s{g} double, " for g in range(width)) + "id bigint")
+    summed = partial.groupBy("id").agg(F.array(*[F.sum(f"s{g}") for g in range(width)]).alias("sums"))  # combined in the task first
     return rows.select("id", *labels).join(summed, "id")

@@ -14,18 +14,17 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.graph import connected_components
-from ..functions.ordered import dense_index
+from ..functions.ordered import dense_index, rank_table
 from ..functions.skew import SALTS, hot_key_hashes, is_hot, salted_join
 from ..functions.values import col
 from ..session import cut_lineage
-from .blocks import LEAF_ROWS, kth_distances
+from .blocks import LEAF_BOXES, LEAF_ROWS, kth_distances, near_boxes
 
 DEFAULT_EPS = 0.5
-KNEE_RANGES = 10_000
-COARSE_AXES = 4
+KNEE_RANGES = 100
 MAX_HALVINGS = 40
 STEPS_PER_ROW = 64  # comparisons of points per row of the table
 MAX_STEPS = 1e8  # and for one pair of cells
@@ -40,24 +39,20 @@ def k_distances(scaled: DataFrame, cols: list[str], key: str, k: int, leaf_rows:
 def knee_value(curve: DataFrame, value: str = "k_distance") -> float:
     """Value of an ascending curve farthest from the line through its ends, the smaller on ties.
 
-    Equal values share the line's nearest ends: of a run of equal values only
-    the first and last place can be farthest, so values are counted first and
-    their places follow from running counts.
+    Of a run of equal values only the first and last place can be farthest, so
+    values are counted first, and dealt to ranges of about equal numbers.
     """
-    counts = cut_lineage(curve.groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("n")))
-    ends = counts.agg(F.min("v"), F.max("v"), F.sum("n")).first()
+    values = curve.select(F.lit(0).alias("v"), F.col(value).cast("double").alias("value"))
+    places = cut_lineage(rank_table(values, KNEE_RANGES))
+    ends = places.agg(F.min("value"), F.max("value"), F.sum("n")).first()
     low, high, n = ends[0], ends[1], ends[2] or 0
     if n < 3:
         return float(high) if n else DEFAULT_EPS
-    # Running counts: ranges of values, in order, then inside each range.
-    ranged = counts.withColumn("r", F.least(F.floor((F.col("v") - low) / ((high - low) or 1.0) * KNEE_RANGES), F.lit(KNEE_RANGES - 1)))
-    before = ranged.groupBy("r").agg(F.sum("n").alias("m")).withColumn("before", F.sum("m").over(Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)))  # at most KNEE_RANGES rows
-    inside = F.sum("n").over(Window.partitionBy("r").orderBy("v"))
-    places = ranged.withColumn("upto", inside).join(F.broadcast(before.select("r", F.coalesce("before", F.lit(0)).alias("before"))), "r")
-    last = F.col("before") + F.col("upto") - 1
-    first = last - F.col("n") + 1
-    off = [F.struct(F.abs(low + (high - low) * p / (n - 1) - F.col("v")).alias("off"), (-p).alias("p"), F.col("v").alias("v")) for p in (first, last)]
-    return float(places.agg(F.max(F.greatest(*off)).alias("x")).first()["x"]["v"])
+    off = [
+        F.struct(F.abs(low + (high - low) * p / (n - 1) - F.col("value")).alias("off"), (-p).alias("p"), F.col("value").alias("value"))
+        for p in (F.col("before"), F.col("before") + F.col("n") - 1)
+    ]
+    return float(places.agg(F.max(F.greatest(*off)).alias("x")).first()["x"]["value"])
 
 
 def estimate_eps(scaled: DataFrame, cols: list[str], key: str, min_samples: int = 5, leaf_rows: int = LEAF_ROWS) -> float:
@@ -179,9 +174,14 @@ def _compare_points(still: DataFrame, inside: DataFrame, d: int, eps: float) ->
     return met.filter(_reach("a_box", "b_box", d) <= eps).select("a", "b").distinct()
 
 
-def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples: int = 5) -> DataFrame:
+def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples: int = 5, leaf_rows: int = LEAF_BOXES) -> DataFrame:
     """``(key, label)`` for every row; -1 marks noise, clusters count from 0."""
     d = len(cols)
+    if not isinstance(scaled.schema[key].dataType, T.IntegralType):  # the graph below is one of whole numbers
+        numbers = dense_index(scaled, key, "_number")
+        rows = scaled.select(col(key).alias("_key"), *[col(c) for c in cols]).join(numbers.select(col(key).alias("_key"), "_number"), "_key")
+        found = dbscan(rows, cols, "_number", eps, min_samples, leaf_rows)
+        return found.join(numbers, "_number").select(col(key), "label")
     side = eps / math.sqrt(d) * (1 - 1e-9)
     names = [f"x{i}" for i in range(d)]
     points = scaled.select(col(key).alias("id"), *[col(c).alias(n) for c, n in zip(cols, names)])
@@ -192,17 +192,15 @@ def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples
     cells = cut_lineage(cells.withColumn("full", (F.col("n") >= min_samples) & (_reach("box", "box", d) <= eps)))
     hot = hot_key_hashes(cells, "cell", "n")
 
-    # neighbouring cells: equal coarse cells on the widest axes, then the true gap
-    steps = math.isqrt(d - 1) + 2 if d > 1 else 2  # ceil(sqrt(d)) + 1
-    widths = cells.agg(*[(F.max(F.element_at("cell", i + 1)) - F.min(F.element_at("cell", i + 1))).alias(f"w{i}") for i in range(d)]).first()
-    axes = sorted(sorted(range(d), key=lambda i: -(widths[i] or 0))[:COARSE_AXES])
-    coarse = [F.floor(F.element_at("cell", i + 1) / F.lit(steps)).cast("bigint") for i in axes]
-    right = cells.select(F.array(*coarse).alias("coarse"), F.col("cell").alias("b"), F.col("n").alias("b_n"), F.col("first_id").alias("b_id"), F.col("full").alias("b_full"), F.col("box").alias("b_box"))
-    left = cells.select(F.col("cell").alias("a"), F.col("n").alias("a_n"), F.col("full").alias("a_full"), F.col("box").alias("a_box"), *[c.alias(f"k{i}") for i, c in zip(axes, coarse)])
-    for i in axes:
-        left = left.withColumn(f"k{i}", F.explode(F.array(*[F.col(f"k{i}") + o for o in (-1, 0, 1)])))
-    left = left.withColumn("coarse", F.array(*[F.col(f"k{i}") for i in axes])).drop(*[f"k{i}" for i in axes])
-    near = cut_lineage(left.join(right, "coarse").drop("coarse").filter(_gap("a_box", "b_box", d) <= eps))
+    # neighbouring cells, found by descending a tree over their boxes
+    near = near_boxes(cells.select(F.col("first_id").alias("id"), "box.*"), d, eps, leaf_rows)
+    sides = {
+        s: cells.select(
+            F.col("first_id").alias(f"{s}_id"), F.col("cell").alias(s), F.col("n").alias(f"{s}_n"), F.col("full").alias(f"{s}_full"), F.col("box").alias(f"{s}_box")
+        )
+        for s in "ab"
+    }
+    near = cut_lineage(near.select(F.col("a").alias("a_id"), F.col("b").alias("b_id")).join(sides["a"], "a_id").join(sides["b"], "b_id").drop("a_id"))
 
     # edges between full cells
     full_pairs = near.filter(F.col("a_full") & F.col("b_full") & (F.col("a") < F.col("b")))

@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablescope.config import AnalysisConfig
 from tablescope.errors import UnknownMethodError
-from tablescope.functions import skew
+from tablescope.functions import ordered, skew
 from tablescope.functions.graph import connected_components
 from tablescope.operators import blocks, cluster, dbscan, features
 
@@ -75,7 +76,7 @@ def test_knee(spark):
     assert knee(values[::-1]) == plain_knee(values)
 
 
-@pytest.mark.parametrize("d, leaf", [(2, 2000), (2, 20), (5, 20)])
+@pytest.mark.parametrize("d, leaf", [(2, 2000), (2, 60), (5, 100)])
 def test_eps_curve_is_exact(spark, d, leaf):
     points = np.round(np.random.default_rng(2).normal(0, 1, (300, d)), 2)
     points[:40] = points[0]
@@ -126,6 +127,7 @@ def test_silhouette_against_all_pairs(spark, monkeypatch):
     got, n = cluster.silhouettes(df, ["a", "b"], "k", ["label"])["label"]
     assert got == pytest.approx(np.mean(scores), abs=1e-9) and n == use.sum()
     monkeypatch.setattr(blocks, "LEAF_ROWS", 7)
+    monkeypatch.setattr(blocks, "GRID_ROWS", 1)
     assert cluster.silhouettes(df, ["a", "b"], "k", ["label"])["label"][0] == pytest.approx(got, abs=1e-12)
     one = df.selectExpr("k", "a", "b", "0 AS label")
     assert cluster.silhouettes(one, ["a", "b"], "k", ["label"])["label"][0] is None
@@ -144,3 +146,100 @@ def test_scaling_uses_the_population_deviation(spark):
     got = features.feature_frame(df, ["v", "k"], ["id"]).orderBy("id").toPandas()
     filled = np.array([1.0, 3.0, 5.0, 3.0])
     assert np.allclose(got["v"], (filled - 3) / filled.std()) and (got["k"] == 0).all()
+
+
+@pytest.mark.parametrize("leaf_rows", [2000, 30])
+def test_dbscan_in_eight_columns(spark, leaf_rows):
+    rng = np.random.default_rng(12)
+    centres = rng.uniform(-4, 4, (6, 8))
+    points = np.concatenate([centres[rng.integers(0, 6, 500)] + rng.normal(0, 0.35, (500, 8)), rng.uniform(-5, 5, (150, 8))])[rng.permutation(650)]
+    df, cols = points_frame(spark, points)
+    got = dbscan.dbscan(df, cols, "k", 1.1, 5, leaf_rows).toPandas().sort_values("k")["label"].to_numpy()
+    want = brute_dbscan(points, 1.1, 5)
+    assert (got == want).all() and want.max() >= 5 and (want == -1).any()
+
+
+def test_near_boxes_against_all_pairs_and_their_growth(spark):
+    rng = np.random.default_rng(7)
+    compared, centres = [], rng.uniform(0, 10, (40, 8))
+    for n in (400, 3200):
+        low = centres[rng.integers(0, 40, n)] + rng.normal(0, 0.3, (n, 8))
+        high = low + rng.uniform(0, 0.2, (n, 8))
+        names = "id bigint, " + ", ".join(f"lo{i} double, hi{i} double" for i in range(8))
+        df = spark.createDataFrame([(i, *map(float, np.stack([a, b], axis=1).ravel())) for i, (a, b) in enumerate(zip(low, high))], names)
+        if n == 400:
+            got = blocks.near_boxes(df, 8, 0.5, 80).toPandas()
+            apart = np.maximum(0, np.maximum(low[:, None] - high[None], low[None] - high[:, None]))
+            want = np.argwhere(np.sqrt((apart**2).sum(axis=2)) <= 0.5)
+            assert sorted(zip(got.a, got.b)) == sorted(map(tuple, want.tolist()))
+        placed, bits = blocks.tree(df.select("id", *[F.col(f"lo{i}").alias(f"x{i}") for i in range(8)], *[f"{e}{i}" for i in range(8) for e in ("lo", "hi")]), 8, 40)
+        sizes = {r["leaf"]: r["count"] for r in placed.groupBy("leaf").count().collect()}
+        leaves = placed.groupBy("leaf").agg(*[f(f"{e}{i}").alias(f"{e}{i}") for i in range(8) for e, f in (("lo", F.min), ("hi", F.max))]).withColumn("bound", F.lit(0.5))
+        compared.append(sum(sizes[i] * sizes[j] for i, j in blocks.leaf_pairs(leaves, bits, 8).collect()))
+    assert compared[1] < compared[0] * 64 / 2  # eight times the boxes, sixty-four times the pairs
+
+
+def test_leaves_of_uneven_columns_are_small(spark):
+    """Five of six columns hold zeros in 95 of 100 rows."""
+    rng = np.random.default_rng(5)
+    points = rng.normal(0, 1, (32_000, 6)) * np.concatenate([np.ones((32_000, 1)), rng.random((32_000, 5)) < 0.05], axis=1)
+    df = spark.createDataFrame([tuple(map(float, p)) for p in points], ", ".join(f"x{i} double" for i in range(6)))
+    placed, bits = blocks.tree(df, 6, 1000)
+    sizes = [r["count"] for r in placed.groupBy("leaf").count().collect()]
+    assert sum(sizes) == 32_000 and max(sizes) <= 1000 and np.mean(sizes) > 250 and bits <= 12
+    sparse = (rng.random((4000, 12)) < 0.05) * rng.integers(1, 9, (4000, 12))
+    sparse = np.unique(sparse, axis=0)
+    placed, _ = blocks.tree(spark.createDataFrame([tuple(map(float, p)) for p in sparse], ", ".join(f"x{i} double" for i in range(12))), 12, 50)
+    assert max(r["count"] for r in placed.groupBy("leaf").count().collect()) <= 50
+
+
+def test_curve_of_uneven_columns(spark):
+    rng = np.random.default_rng(6)
+    points = np.round(rng.normal(0, 1, (900, 4)), 1) * np.concatenate([np.ones((900, 1)), rng.random((900, 3)) < 0.1], axis=1)
+    df, cols = points_frame(spark, points)
+    distance = np.sort(np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2)), axis=1)
+    for k in (1, 60):
+        got = dbscan.k_distances(df, cols, "k", k, 200).toPandas().sort_values("k")["k_distance"].to_numpy()
+        assert np.allclose(got, distance[:, k - 1])
+
+
+def test_knee_of_a_curve_with_one_far_value(spark):
+    values = np.sort(np.append(np.random.default_rng(2).exponential(1, 3000), 1e6))
+    curve = spark.createDataFrame([(float(x),) for x in values], "k_distance double")
+    assert dbscan.knee_value(curve) == plain_knee(values)
+    places = ordered.rank_table(curve.select(F.lit(0).alias("v"), F.col("k_distance").alias("value")), dbscan.KNEE_RANGES)
+    assert places.count() == 3001 and places.agg(F.max("before")).first()[0] == 3000
+    ranged = curve.repartitionByRange(dbscan.KNEE_RANGES, "k_distance").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert ranged.max() <= 3001 / 50
+
+
+def test_copies_of_a_row_grow_with_the_root(spark, monkeypatch):
+    """Four times the rows, eight times the shuffled rows, same sums."""
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(blocks, "LEAF_ROWS", 10)
+    monkeypatch.setattr(blocks, "GRID_ROWS", 2)
+    for n in (100, 400):
+        points = rng.normal(0, 1, (n, 3))
+        labels = rng.integers(-1, 2, n)
+        df = spark.createDataFrame([(*map(float, p), int(g)) for p, g in zip(points, labels)], "a double, b double, c double, g int")
+        got = np.array([r["sums"] for r in blocks.distance_sums(df, ["a", "b", "c"], {"g": 2}).collect()])
+        distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+        want = np.stack([distance[:, labels == g].sum(axis=1) for g in (0, 1)], axis=1)
+        assert np.allclose(np.sort(got, axis=0), np.sort(want, axis=0))
+
+
+def test_components_of_long_paths_at_every_size(spark):
+    rng = np.random.default_rng(1)
+    names = rng.permutation(3000)
+    pairs = [(int(names[i]), int(names[i + 1])) for i in range(2999) if i % 1000 != 999]
+    nodes = spark.createDataFrame([(int(i),) for i in range(3000)], "node bigint")
+    edges = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(7)
+    want = {int(x): int(names[i // 1000 * 1000 : i // 1000 * 1000 + 1000].min()) for i, x in enumerate(names)}
+    for one_task in (1_000_000, 50):
+        assert {r["node"]: r["root"] for r in connected_components(nodes, edges, one_task).collect()} == want
+
+
+def test_dbscan_of_rows_named_by_text(spark):
+    rows = [(f"r{i}", float(i % 3 * 10) + i / 100) for i in range(30)] + [("x", 99.0)]
+    got = dbscan.dbscan(spark.createDataFrame(rows, "name string, v double"), ["v"], "name", 1.0, 5).toPandas().set_index("name").label
+    assert got["x"] == -1 and got["r0"] == 0 and set(got) == {-1, 0, 1, 2} and len(got) == 31
