@@ -70,6 +70,7 @@ SQL["txt_scan"] = tidy(
 )
 SQL["csv_reader_options"] = SQL["txt_scan"].replace("s_nationkey:bigint", "s_nationkey:int")
 SQL["csv_multiline_texts"] = "SELECT conv_id, turn, role, length(text)::BIGINT AS length, md5(text) AS digest FROM conversations"
+SQL["csv_mixed_headers"] = SQL["csv_multiline_texts"]
 SQL["missing_tokens"] = """SELECT c_custkey,
     CASE WHEN c_nationkey IN (3, 4, 5) THEN NULL WHEN c_nationkey = 6 THEN 'none' ELSE c_mktsegment END AS segmento,
     CASE WHEN c_nationkey IN (7, 8) THEN NULL ELSE c_nationkey::DOUBLE END AS nacion,

@@ -147,6 +147,18 @@ def csv_multiline_texts(spark, folder):
     return tidy(df.select("conv_id", "turn", "role", F.length("text").alias("length"), F.md5("text").alias("digest")))
 
 
+@query
+def csv_mixed_headers(spark, folder):
+    """Files with their columns in two orders, some texts over several lines, read by one pattern."""
+    base = f"{shared_folder(spark)}/mixed-{uuid.uuid4().hex}"
+    source = table(spark, folder, "conversations")
+    for i, order in enumerate((["conv_id", "turn", "role", "text"], ["text", "role", "conv_id", "turn"])):
+        part = source.where(F.col("turn") % 2 == i).select(*order)
+        part.write.option("header", True).option("escape", '"').csv(f"{base}-{i}.csv")
+    df = load_dataset(spark, f"{base}-*.csv")
+    return tidy(df.select("conv_id", "turn", "role", F.length("text").alias("length"), F.md5("text").alias("digest")))
+
+
 @query
 def missing_tokens(spark, folder):
     """Spellings of missing values become NULL before the types are inferred."""
