@@ -17,6 +17,7 @@ from ..functions.values import col
 
 TREES = 100
 SAMPLE_ROWS = 256
+POOL_ROWS = 50_000  # drawn from the table, for all trees to draw from
 HASH_RANGE = 2**31
 
 
@@ -34,15 +35,21 @@ def _hash(key: str, *salts) -> "F.Column":
 
 
 def tree_samples(numbers: DataFrame, cols: list[str], key: str, n_rows: int, seed: int, trees: int = TREES) -> DataFrame:
-    """``(tree, x0, x1, ...)``: a uniform sample without replacement for each tree."""
+    """``(tree, x0, x1, ...)``: a uniform sample without replacement for each tree.
+
+    Each row is drawn into a pool by one hash, at every size of the table; a
+    table of fewer rows is its own pool.  The trees draw from the pool.
+    """
+    pooled = min(1.0, POOL_ROWS / max(n_rows, 1))
     # draw some more than needed, then cut each tree to its exact size
-    share = min(1.0, (1.3 * SAMPLE_ROWS + 50) / max(n_rows, 1))
+    share = min(1.0, (1.3 * SAMPLE_ROWS + 50) / max(n_rows * pooled, 1))
     limit = F.lit(int(HASH_RANGE * share))
     hashes = F.array(*[_hash(key, F.lit(t), F.lit(seed)) for t in range(trees)])
     drawn = (
         numbers.select(col(key), *[col(c).alias(f"x{i}") for i, c in enumerate(cols)])
+        .filter(_hash(key, F.lit("pool"), F.lit(seed)) < F.lit(int(HASH_RANGE * pooled)))
         .withColumn("_hs", hashes)
-        .filter(F.array_min("_hs") < limit)  # most rows of a large table leave here
+        .filter(F.array_min("_hs") < limit)
         .select("*", F.posexplode("_hs").alias("tree", "_h"))
         .filter(F.col("_h") < limit)
     )
@@ -93,12 +100,14 @@ def isolation_scores(numbers: DataFrame, cols: list[str], key: str, seed: int =
     nodes = grown.toPandas()
     ids = {t: i for i, t in enumerate(sorted(nodes["tree"].unique()))}
     width = int(nodes["node"].max()) + 1
-    axis = np.full((len(ids), width), -1, dtype=np.int32)
-    child = np.zeros((2, len(ids), width), dtype=np.int32)
-    cut, path = np.zeros((len(ids), width)), np.zeros((len(ids), width))
-    t, k = nodes["tree"].map(ids).to_numpy(), nodes["node"].to_numpy()
-    axis[t, k], cut[t, k], path[t, k] = nodes["axis"], nodes["cut"], nodes["path"]
-    child[0][t, k], child[1][t, k] = nodes["left"], nodes["right"]
+    # a leaf leads to itself on both sides
+    axis, path = np.zeros((len(ids), width), np.intp), np.zeros((len(ids), width))
+    cut, child = np.full((len(ids), width), np.inf), np.repeat(np.arange(width), 2).reshape(1, -1).repeat(len(ids), axis=0)
+    t, k, inner = nodes["tree"].map(ids).to_numpy(), nodes["node"].to_numpy(), nodes["axis"].to_numpy() >= 0
+    path[t, k] = nodes["path"]
+    t, k, inside = t[inner], k[inner], nodes[inner]
+    axis[t, k], cut[t, k] = inside["axis"], inside["cut"]
+    child[t, 2 * k], child[t, 2 * k + 1] = inside["left"], inside["right"]
     forest = numbers.sparkSession.sparkContext.broadcast((axis, cut, child, path))
     scale = average_path(sample_rows) or 1.0
 
@@ -106,15 +115,13 @@ def isolation_scores(numbers: DataFrame, cols: list[str], key: str, seed: int =
     def score(*values: pd.Series) -> pd.Series:
         axis, cut, child, path = forest.value
         x = np.column_stack([v.to_numpy(float) for v in values])
-        rows, total = np.arange(len(x)), np.zeros(len(x))
+        flat, first, total = x.ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x))
         for tree in range(len(axis)):
-            at = np.zeros(len(x), dtype=np.int32)
+            at = np.zeros(len(x), np.intp)
             for _ in range(limit):
-                a = axis[tree][at]
-                inner = a >= 0
-                right = x[rows, np.maximum(a, 0)] > cut[tree][at]
-                at = np.where(inner, np.where(right, child[1][tree][at], child[0][tree][at]), at)
-            total += path[tree][at]
+                right = flat.take(first + axis[tree].take(at)) > cut[tree].take(at)
+                at = child[tree].take(2 * at + right)
+            total += path[tree].take(at)
         return pd.Series(np.power(2.0, -(total / len(axis)) / scale))
 
     return numbers.withColumn("iforest_score", score(*[col(c) for c in cols]))
