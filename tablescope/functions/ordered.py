@@ -19,7 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage, fixed_partitions
+from ..session import cut_lineage
 from .values import col, numeric_frame
 
 ROWS_PER_BUCKET = 500_000  # a bucket of at most so many rows is settled by counting its values
@@ -162,11 +162,11 @@ def with_ranks(values: DataFrame, spread: Column, partitions: int | None = None)
 def dense_index(df: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct values of ``column`` numbered from 0 in ascending order.
 
-    Values are range-partitioned and written to a checkpoint, which fixes
-    their partitions; only one row count per partition reaches the driver.
+    Values are range-partitioned and written with their partition and place in
+    it; only one row count per partition reaches the driver.
     """
     ranged = df.select(col(column)).distinct().repartitionByRange(col(column)).sortWithinPartitions(col(column))
-    placed = fixed_partitions(ranged).withColumn("_id", F.monotonically_increasing_id())
+    placed = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
     placed = placed.withColumns({"_part": F.shiftright("_id", 33).cast("int"), "_at": F.col("_id").bitwiseAND((1 << 33) - 1)})
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).orderBy("_part").collect()
     offsets, seen = [], 0

@@ -551,3 +551,18 @@ SQL["recommendations"] = f"""SELECT ord, message FROM (
 SQL["custom_provider"] = tidy(
     union(f"SELECT '{c}' AS variable, avg({c}) AS media, count({c}) AS conteo FROM supplier" for c in ["s_nationkey", "s_acctbal"]), ["media"], ["variable", "conteo"]
 )
+
+REPORTED = f"""(SELECT *, 'b' || floor(este / 100)::BIGINT AS banda FROM
+    (SELECT p_partkey, label, v0 + p_partkey * 0.0000003::DOUBLE AS este, v1 AS norte FROM {PLANTED_PARTS}))"""
+REPORTED_SIGNALS = f"(SELECT {' OR '.join(z_test(c) for c in ['este', 'norte'])} AS z, {' OR '.join(iqr_test(REPORTED, c) for c in ['este', 'norte'])} AS i FROM {REPORTED})"
+REPORTED_SILHOUETTE = silhouette(standard(REPORTED, "p_partkey, label", ["este", "norte"]), "p_partkey", "sqrt((a.v0 - b.v0) * (a.v0 - b.v0) + (a.v1 - b.v1) * (a.v1 - b.v1))")
+SQL["full_report_planted"] = f"SELECT part, item, round(value::DOUBLE, 6) AS value FROM ({union([
+    f"SELECT 'rows' AS part, '' AS item, count(*)::DOUBLE AS value FROM {REPORTED}", "SELECT 'columns', '', 3.0::DOUBLE",
+    *[f"SELECT '{n}', '{c}', {f} FROM {REPORTED}" for c in ["este", "norte"] for n, f in [("mean", f"avg({c})"), ("median", f"quantile_cont({c}, 0.5)")]],
+    *[f"SELECT method, var_a || '|' || var_b, coefficient FROM ({correlation(REPORTED, ['este', 'norte'], m)})" for m in ["pearson", "spearman"]],
+    f"SELECT 'eta', categorical || '|' || numeric, eta_squared FROM ({eta(REPORTED, ['banda'], ['este', 'norte'])}) WHERE eta_squared >= 0.14",
+    f"SELECT 'segment', (row_number() OVER (ORDER BY count(*) DESC, avg(este), avg(norte)) - 1)::VARCHAR, count(*) FROM {REPORTED} GROUP BY label",
+    f"SELECT 'silhouette', '', silhouette FROM ({REPORTED_SILHOUETTE})",
+    f"SELECT 'anomalies', 'zscore', count(*) FILTER (z) FROM {REPORTED_SIGNALS}", f"SELECT 'anomalies', 'iqr', count(*) FILTER (i) FROM {REPORTED_SIGNALS}",
+    f"SELECT 'any_signal', '', count(*) FILTER (z OR i) FROM {REPORTED_SIGNALS}",
+])})"

@@ -816,3 +816,26 @@ def full_report(spark, folder):
     """Findings of the complete analysis with a given number of segments."""
     config = AnalysisConfig(kmeans_k=3)
     return tidy(Analyzer(spark, config).analyze(table(spark, folder, "supplier"), "s_suppkey").insights)
+
+
+@query
+def full_report_planted(spark, folder):
+    """Every figure of a complete analysis of three far groups whose optimum is unique."""
+    parts = planted_parts(spark, folder).withColumnRenamed("norte.sur", "norte").withColumn("este", F.col("este") + F.col("p_partkey") * 3e-7)
+    parts = parts.withColumn("banda", F.concat(F.lit("b"), F.floor(F.col("este") / 100)))
+    config = AnalysisConfig(correlation_methods=["pearson", "spearman"], anomaly_methods=["zscore", "iqr"], kmeans_k=3)
+    report = Analyzer(spark, config, basic_statistics).analyze(parts, "p_partkey")
+    said = lambda df, part, item, value: df.select(F.lit(part).alias("part"), item.cast("string").alias("item"), F.round(F.col(value).cast("double"), 6).alias("value"))
+    both = F.concat_ws("|", "var_a", "var_b")
+    rows = [
+        said(report.metadata, "rows", F.lit(""), "n_rows"), said(report.metadata, "columns", F.lit(""), "n_cols"),
+        said(report.descriptive, "mean", F.col("variable"), "media"), said(report.descriptive, "median", F.col("variable"), "mediana"),
+        said(report.correlations.where("method = 'pearson'"), "pearson", both, "coefficient"),
+        said(report.correlations.where("method = 'spearman'"), "spearman", both, "coefficient"),
+        said(report.dependencies, "eta", F.concat_ws("|", "categorical", "numeric"), "eta_squared"),
+        said(report.clustering.sizes, "segment", F.col("label"), "size"),
+        said(report.clustering_summary(), "silhouette", F.lit(""), "silhouette"),
+        said(report.anomaly_summary, "anomalies", F.col("method"), "outlier_count"),
+        said(report.agreement(), "any_signal", F.lit(""), "any_signal"),
+    ]
+    return reduce(DataFrame.unionByName, rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 import time
 from dataclasses import dataclass, field
@@ -14,7 +15,7 @@ from ..config import AnalysisConfig
 from ..errors import TablescopeError, UnknownMethodError
 from ..functions.values import first_row_id, nan_to_null
 from ..operators import anomaly, clean, cluster, describe, features, insights, profile as profiling, relate, segments
-from ..session import cut_lineage
+from ..session import Intermediates, cut_lineage
 from ..sources.files import load_dataset, require_content
 
 logger = logging.getLogger(__name__)
@@ -27,9 +28,24 @@ def basic_statistics(df: DataFrame, profile: profiling.Profile) -> DataFrame:
     return describe.describe(df, profile.names("numeric"))
 
 
+def _kept(method: Callable) -> Callable:
+    """A method of a report whose intermediate tables go with the report."""
+
+    @functools.wraps(method)
+    def inside(self: Report, *args, **kwargs):
+        with self.written:
+            return method(self, *args, **kwargs)
+
+    return inside
+
+
 @dataclass
 class Report:
-    """Results as DataFrames, evaluated when used; ``data`` is the cleaned table."""
+    """Results as DataFrames, evaluated when used; ``data`` is the cleaned table.
+
+    They read tables in the shared folder, which :meth:`close` (or leaving the
+    report as a context) deletes.
+    """
 
     data: DataFrame
     key: str
@@ -44,43 +60,63 @@ class Report:
     descriptive: DataFrame | None = None
     insights: DataFrame | None = None
     metadata: DataFrame | None = None
+    written: Intermediates = field(default_factory=Intermediates)
+
+    def __enter__(self) -> Report:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self.written.close()
 
     @property
     def categorical_columns(self) -> list[str]:
         return self.profile.names("categorical", "boolean")
 
+    @_kept
     def categorical_summary(self) -> DataFrame:
         return describe.categorical_summary(self.data, self.categorical_columns)
 
+    @_kept
     def labelled_rows(self) -> DataFrame:
         return self.data.join(self.clustering.rows.select(self.key, "label"), self.key)
 
+    @_kept
     def segment_profiles(self) -> DataFrame | None:
         if self.clustering is None or self.clustering.n_clusters == 0:
             return None
         return segments.segment_profiles(self.labelled_rows(), self.clustering.features, self.categorical_columns)
 
+    @_kept
     def segment_table(self) -> DataFrame | None:
         if self.clustering is None or self.clustering.n_clusters == 0:
             return None
         return segments.segment_table(self.labelled_rows(), self.clustering.features, self.categorical_columns)
 
+    @_kept
     def distinct_pairs(self) -> DataFrame:
         """Strong pairs the summary speaks of: linear or monotone, each once."""
         return relate.distinct_pairs(self.strong_pairs.filter(self.strong_pairs["method"].isin("pearson", "spearman")))
 
+    @_kept
     def clustering_summary(self) -> DataFrame:
         return insights.clustering_summary(self.data.sparkSession, self.clustering)
 
+    @_kept
     def agreement(self) -> DataFrame | None:
         return anomaly.agreement_counts(self.anomalies, self.anomaly_methods) if self.anomaly_methods else None
 
+    @_kept
     def review_queue(self) -> DataFrame:
         return anomaly.review_queue(self.data if self.anomalies is None else self.anomalies, self.anomaly_methods, self.key)
 
+    @_kept
     def executive_summary(self) -> DataFrame:
         return insights.executive_summary(self.profile.table, self.distinct_pairs(), self.clustering_summary(), self.agreement())
 
+    @_kept
     def recommendations(self) -> DataFrame:
         return insights.recommendations(self.distinct_pairs(), self.dependencies, self.clustering_summary(), self.agreement())
 
@@ -97,9 +133,20 @@ class Analyzer:
         """Analyse a file path or a DataFrame.
 
         ``key`` names a row id that is kept out of the analysis; without one
-        rows are numbered in scan order.  The cleaned table is written to a
-        checkpoint, so ids stay the same in every later job.
+        rows are numbered in scan order.  The cleaned table is written to the
+        shared folder, so ids stay the same in every later job.
         """
+        written = Intermediates()
+        try:
+            with written:
+                report = self._analysed(source, key, options)
+        except BaseException:
+            written.close()
+            raise
+        report.written = written
+        return report
+
+    def _analysed(self, source: str | DataFrame, key: str | None, options: dict) -> Report:
         start = time.perf_counter()
         config = self.config
         is_frame = isinstance(source, DataFrame)

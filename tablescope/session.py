@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -47,18 +48,51 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+class Intermediates:
+    """The tables written while it is entered, and their removal.
+
+    Frames that read them are of no use after :meth:`close`.  Entered again,
+    it holds what is written then as well.
+    """
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> "Intermediates":
+        _OPEN.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _OPEN.pop()
+
+    def close(self) -> None:
+        """Delete the files; what is gone already is no error."""
+        for spark, path in self.paths:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        self.paths.clear()
+
+
+_OPEN: list[Intermediates] = [Intermediates()]  # the first one lasts as long as the process
+
+
+@atexit.register
+def _leave() -> None:
+    try:
+        _OPEN[0].close()
+    except Exception:  # the session ended first; its folder is then left to whoever set it
+        pass
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The frame written to the shared folder and read back.
 
     Later jobs start from the files, also after the loss of an executor, and
     the planner sees their true size, so joins with small tables broadcast.
+    The files last until their :class:`Intermediates` are closed, or the
+    process ends.
     """
     path = f"{shared_folder(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    _OPEN[-1].paths.append((df.sparkSession, path))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def fixed_partitions(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: rows keep their partition and order in every job."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

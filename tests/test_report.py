@@ -1,5 +1,6 @@
 import pytest
 
+from tablescope import errors, session
 from tablescope.config import AnalysisConfig
 from tablescope.errors import UnknownMethodError
 from tablescope.operators import segments
@@ -91,3 +92,37 @@ def test_dotted_names_and_negative_zero(spark):
         assert found.insights.count() > 1 and found.segment_table().count() >= 1 and found.review_queue().columns[0] == "id"
     counts = {r["name"]: r["unique_count"] for r in found.profile.table.collect()} if "name" in found.profile.table.columns else None
     assert counts is None or counts["c.d"] == 1
+
+
+def folders(spark):
+    root = spark._jvm.org.apache.hadoop.fs.Path(session.shared_folder(spark))
+    at = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {x.getPath().getName() for x in at.listStatus(root)} if at.exists(root) else set()
+
+
+def test_a_closed_report_leaves_no_files(spark, mixed):
+    before = folders(spark)
+    config = AnalysisConfig(anomaly_methods=["zscore", "iqr"], kmeans_k=2)
+    with Analyzer(spark, config, basic_statistics).analyze(mixed) as report:
+        assert folders(spark) > before
+        assert report.insights.count() > 0 and report.segment_profiles().count() == 2 and report.review_queue().count() >= 0
+        report.executive_summary().collect()
+    assert folders(spark) == before
+    with pytest.raises(errors.EmptyDatasetError):
+        Analyzer(spark, config).analyze(mixed.where("edad < 0"))
+    assert folders(spark) == before
+
+
+def test_tables_go_with_the_innermost_holder(spark):
+    outer, inner = session.Intermediates(), session.Intermediates()
+    before = folders(spark)
+    with outer:
+        session.cut_lineage(spark.range(3))
+        with inner:
+            kept = session.cut_lineage(spark.range(4))
+    assert len(outer.paths) == len(inner.paths) == 1 and kept.count() == 4 and len(folders(spark) - before) == 2
+    inner.close()
+    assert len(folders(spark) - before) == 1
+    outer.close()
+    outer.close()
+    assert folders(spark) == before
