@@ -1,13 +1,24 @@
-"""Benchmark decontamination by exact containment search.
+"""Benchmark decontamination by size-partitioned MinHash containment search.
 
 A text contains an item if it has a share of at least ``threshold`` of the
-item's distinct five-word shingles, wherever they stand in the text.  An item
-of s shingles misses at most s - ceil(threshold s) of them then, so among any
+item's distinct five-word shingles, wherever they stand in the text.
+
+Items are partitioned by the number of their shingles: class u = 1, 2, 4, ..
+holds items of more than u/2 and at most u.  A text is read through windows of
+2u shingles that start every u, so what stands in a stretch of u shingles lies
+inside one window, and containment becomes a Jaccard similarity with the window
+that has a lower bound for each class, whatever the length of the text.  From
+that bound and ``recall`` follows how many bands of one minimum a class has; a
+window is a candidate if it shares any with an item.  All classes share the
+functions: minima over u shingles give those over 2u.
+
+What the bands can miss, by chance or because the shingles of an item stand
+further apart than its window is long, is found exactly: an item of s shingles
+misses at most s - ceil(threshold s) of them, so among any
 s - ceil(threshold s) + 1 of its shingles one is in the text.  Those that are
-rarest among the items are looked up for each item; a text that has one is a
-candidate, and nothing that is contained is missed.
+rarest among the items are looked up for each item.
 
-Candidates are verified by exact containment in the whole text.
+Candidates of both ways are verified by exact containment in the whole text.
 
 Items are taken in blocks of ``block_items``, so what is broadcast has a fixed
 bound; each block is one pass over the texts, and the rows are never paired.
@@ -34,6 +45,7 @@ from .common import text_groups
 
 WIDTH = 5
 THRESHOLD = 0.8
+RECALL = 0.999  # of the bands, for items that stand in one window
 BLOCK_ITEMS = 10_000
 FILTER_BITS = 20  # of a hash, to pass over shingles of no item
 
@@ -99,10 +111,67 @@ def _spot(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
+def bands_needed(size: int, threshold: float, recall: float) -> int:
+    """Bands of one minimum by which a contained item of class ``size`` meets its window with probability ``recall``."""
+    lowest = size // 2 + 1
+    needed = max(1, math.ceil(threshold * lowest - 1e-9))
+    similarity = needed / (2 * size + lowest - needed)
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity))
+
+
+def _coefficients(count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the first ``count`` functions, the same for every count."""
+    a, b = (np.random.default_rng(seed).integers(0, 2**63, count, dtype=np.uint64) for seed in (10, 11))
+    return a * np.uint64(2) + np.uint64(1), b
+
+
+def _minimum_spot(low: np.ndarray) -> np.ndarray:
+    return ((low >> np.uint64(20)) & np.uint64(0xFFFF)).astype(np.int64)
+
+
+class Partition:
+    """The items of one class, with a sorted list of minima for every band."""
+
+    def __init__(self, size: int, members: list[tuple[int, np.ndarray]], threshold: float, recall: float):
+        self.bands = bands_needed(size, threshold, recall)
+        self.owners = np.array([i for i, _ in members])
+        a, b = _coefficients(self.bands)
+        table = np.stack([(h[:, None] * a + b).min(axis=0) for _, h in members])
+        self.order = np.argsort(table, axis=0, kind="stable")
+        self.minima = np.take_along_axis(table, self.order, 0)
+        self.bits = np.zeros((self.bands, 1 << 16), bool)
+        for band in range(self.bands):
+            self.bits[band, _minimum_spot(table[:, band])] = True
+
+    def sharing(self, band: int, windows: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """``(window, items)`` that share the minimum of a band."""
+        at = np.flatnonzero(self.bits[band][_minimum_spot(windows)])
+        column = self.minima[:, band]
+        left, right = np.searchsorted(column, windows[at], "left"), np.searchsorted(column, windows[at], "right")
+        for i in np.flatnonzero(left < right):
+            yield at[i], self.owners[self.order[left[i] : right[i], band]]
+
+
+def _blocks_of(counts: np.ndarray, sizes: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per class size, doubling: where blocks begin among the blocks of half the size, the text of each, and which end a text."""
+    out, size, step = {}, sizes[0], sizes[0]
+    while size <= sizes[-1]:
+        blocks = -(-counts // step)
+        ends = np.cumsum(blocks)
+        below = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(counts)), blocks)
+        starts = (np.arange(ends[-1]) - np.repeat(ends - blocks, blocks)) * step + below[owner]
+        last = np.zeros(int(ends[-1]), bool)
+        last[ends[blocks > 0] - 1] = True
+        out[size] = starts, owner, last
+        counts, size, step = blocks, size * 2, 2
+    return out
+
+
 class Index:
-    """Items of one block, with a sorted list of the shingles looked up for them per number of words."""
+    """Items of one block: by class for the bands, and with a sorted list of the shingles looked up for them."""
 
-    def __init__(self, items: list[tuple], width: int, threshold: float):
+    def __init__(self, items: list[tuple], width: int, threshold: float, recall: float = RECALL):
         self.threshold, self.items, hashed = threshold, [], {}
         for key, text in items:
             words = words_of(text or "")
@@ -111,8 +180,12 @@ class Index:
             n = min(width, len(words))
             hashed.setdefault(n, []).append((len(self.items), np.unique(shingle_hashes(*word_hashes([text]), n)[0])))
             self.items.append((key, n, {tuple(words[i : i + n]) for i in range(len(words) - n + 1)}))
-        self.sought = {}
+        self.sought, self.classes = {}, {}
         for n, members in hashed.items():
+            sizes: dict[int, list] = {}
+            for i, h in members:
+                sizes.setdefault(1 << (len(h) - 1).bit_length(), []).append((i, h))
+            self.classes[n] = {size: Partition(size, some, threshold, recall) for size, some in sorted(sizes.items())}
             known, count = np.unique(np.concatenate([h for _, h in members]), return_counts=True)
             keys, owners = [], []
             for i, h in members:
@@ -126,19 +199,42 @@ class Index:
             bits[_spot(keys)] = True
             self.sought[n] = keys[order], owners[order], bits
 
+    def by_bands(self, h: np.ndarray, ends: np.ndarray, n: int, found: dict[int, set[int]]) -> None:
+        """Items that share a minimum with a window of a text, from the shingles of ``n`` words of all texts."""
+        partitions = self.classes[n]
+        if not len(h):
+            return
+        blocks = _blocks_of(np.diff(ends), list(partitions))
+        a, b = _coefficients(max(p.bands for p in partitions.values()))
+        for band in range(len(a)):
+            low = h * a[band] + b[band]
+            for size, (starts, owner, last) in blocks.items():
+                low = np.minimum.reduceat(low, starts)
+                if size in partitions and band < partitions[size].bands:
+                    windows = low.copy()
+                    np.minimum(low[:-1], low[1:], out=windows[:-1], where=~last[:-1])
+                    for w, owners in partitions[size].sharing(band, windows):
+                        found.setdefault(int(owner[w]), set()).update(owners.tolist())
+
+    def by_shingles(self, h: np.ndarray, ends: np.ndarray, n: int, found: dict[int, set[int]]) -> None:
+        """Items of which a text has a shingle that is looked up."""
+        keys, owners, bits = self.sought[n]
+        at = np.flatnonzero(bits[_spot(h)])
+        left, right = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
+        hit = np.flatnonzero(left < right)
+        text = np.searchsorted(ends, at[hit], "right") - 1
+        # A shingle counts once per text.
+        for d, x, y in sorted(set(zip(text.tolist(), left[hit].tolist(), right[hit].tolist()))):
+            found.setdefault(d, set()).update(owners[x:y].tolist())
+
     def candidates(self, texts: list[str]) -> dict[int, set[int]]:
-        """Per text the items of which it has a shingle that is looked up."""
+        """Per text the items of either way."""
         found: dict[int, set[int]] = {}
         words, bounds = word_hashes(texts)
-        for n, (keys, owners, bits) in self.sought.items():
+        for n in self.sought:
             h, ends = shingle_hashes(words, bounds, n)
-            at = np.flatnonzero(bits[_spot(h)])
-            left, right = np.searchsorted(keys, h[at], "left"), np.searchsorted(keys, h[at], "right")
-            hit = np.flatnonzero(left < right)
-            text = np.searchsorted(ends, at[hit], "right") - 1
-            # A shingle counts once per text.
-            for d, x, y in sorted(set(zip(text.tolist(), left[hit].tolist(), right[hit].tolist()))):
-                found.setdefault(d, set()).update(owners[x:y].tolist())
+            self.by_bands(h, ends, n, found)
+            self.by_shingles(h, ends, n, found)
         return found
 
     def contained(self, texts: list[str]) -> Iterator[tuple]:
@@ -167,7 +263,7 @@ def _blocks(items: DataFrame, item_text: str, item_key: str, block_items: int) -
 
 def search(
     docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id", item_text: str = "text", item_key: str = "item_id",
-    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS,
+    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS, recall: float = RECALL,
 ) -> DataFrame:
     """``(key, item_key, containment, first_word)`` of every text that contains an item."""
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where("t IS NOT NULL")
@@ -180,7 +276,7 @@ def search(
         sent = docs.sparkSession.sparkContext.broadcast(taken)
 
         def look(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value, width, threshold)
+            index = Index(sent.value, width, threshold, recall)
             for batch in batches:
                 texts, at, hits = batch.column(1).to_pylist(), [], []
                 for a, b in text_groups(texts):
@@ -197,21 +293,21 @@ def search(
 
 def clean(
     docs: DataFrame, items: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id",
-    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS,
+    width: int = WIDTH, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS, recall: float = RECALL,
 ) -> DataFrame:
     """The rows of ``docs`` that contain no item, without a shuffle; a row with a null text stays."""
     for taken in _blocks(items, item_text, item_key, block_items):
-        free = _free_of(docs.sparkSession.sparkContext.broadcast(taken), width, threshold)
+        free = _free_of(docs.sparkSession.sparkContext.broadcast(taken), width, threshold, recall)
         docs = docs.where(free.asNondeterministic()(F.col(text)))
     return docs
 
 
-def _free_of(sent, width: int, threshold: float):
+def _free_of(sent, width: int, threshold: float, recall: float):
     """A function that tells whether a text contains none of the items sent."""
 
     @F.pandas_udf("boolean")
     def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = Index(sent.value, width, threshold)
+        index = Index(sent.value, width, threshold, recall)
         for batch in batches:
             texts = [t if t is not None else "" for t in batch]
             out = np.ones(len(texts), bool)

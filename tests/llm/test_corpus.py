@@ -597,6 +597,32 @@ def test_short_and_scattered_items_are_found(spark):
     assert containment.clean(frame, listed).count() == 0
 
 
+def test_both_ways_reach_their_recall():
+    """Items of every class inside texts, some with a few words replaced: the bands find nearly all, the look-up all."""
+    rng, vocabulary = np.random.default_rng(8), [a + b for a in WORDS for b in WORDS]
+    items = [(i, prose(i, 5 + n, vocabulary)) for i, n in enumerate([0, 1, 2, 3, 5, 6, 8, 9, 12, 16, 17, 25, 32, 33, 50, 64, 65, 100, 128, 130] * 10)]
+    index = containment.Index(items, 5, 0.8)
+    assert sorted(index.classes[5]) == [1, 2, 4, 8, 16, 32, 64, 128, 256]
+    assert all(p.bands == containment.bands_needed(size, 0.8, containment.RECALL) for size, p in index.classes[5].items())
+    texts = []
+    for i, item in items:
+        words, copy = prose(5000 + i, int(rng.integers(0, 3000)), vocabulary).split(), item.split()
+        if len(copy) > 55:
+            copy[len(copy) // 2] = "other"  # five shingles of fifty-one or more
+        at = int(rng.integers(0, len(words) + 1))
+        texts.append(" ".join(words[:at] + copy + words[at:]))
+    bands, looked, either = 0, 0, 0
+    for i, t in enumerate(texts):
+        by_bands, by_shingles = {}, {}
+        h, ends = containment.shingle_hashes(*containment.word_hashes([t]), 5)
+        index.by_bands(h, ends, 5, by_bands)
+        index.by_shingles(h, ends, 5, by_shingles)
+        bands += i in by_bands.get(0, ())
+        looked += i in by_shingles.get(0, ())
+        either += i in {key for _, key, _, _ in index.contained([t])}
+    assert bands >= 0.98 * len(items) and looked == either == len(items)
+
+
 def test_containment_edges(spark, odd, empty):
     items = spark.createDataFrame([(1, "jumps over the lazy dog near the river bank"), (2, None)], "item_id bigint, text string")
     assert [(r.doc_id, r.item_id) for r in containment.search(odd, items).collect()] == [(1, 1)]
