@@ -8,6 +8,7 @@ from pyspark.sql import Column, functions as F
 
 # ---------------------------------------------------------------- fixed values
 # Labels, thresholds and names that results must carry literally.
+NO_TIME = "Fecha no disponible"
 TYPE_LABELS = {
     "numeric": "Numérica",
     "categorical": "Categoría",
@@ -150,3 +151,11 @@ def trait_reading(difference: Column) -> Column:
 
 def method_name(method: Column) -> Column:
     return mapped(method, METHOD_NAMES, capitalised(method))
+
+
+def shown_time(moment: Column) -> Column:
+    """ISO date or time text as day/month/year hour:minute of its own clock; other text as it is."""
+    raw = F.coalesce(moment, F.lit(""))
+    clock = F.replace(F.substring(raw, 1, 19), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    iso = raw.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$")
+    return F.when(raw == "", F.lit(NO_TIME)).otherwise(F.coalesce(F.when(iso, F.date_format(clock, "dd/MM/yyyy HH:mm")), raw))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions.graph import connected_components
 from ..functions.ordered import dense_index, rank_table
-from ..functions.skew import SALTS, hot_key_hashes, is_hot, salted_join
+from ..functions.skew import SALTS, hot_key_hashes, is_hot, lookup, salted_join
 from ..functions.values import col
 from ..session import cut_lineage
 from .blocks import LEAF_BOXES, LEAF_ROWS, kth_distances, near_boxes
@@ -244,13 +244,13 @@ def dbscan(scaled: DataFrame, cols: list[str], key: str, eps: float, min_samples
     nodes = ids.select(F.col("first_id").alias("node")).unionByName(core.select(F.col("id").alias("node")))
     components = connected_components(nodes, edges)
     numbers = dense_index(components, "root", "label")
-    labels = cut_lineage(components.join(numbers, "root").select("node", F.col("label").cast("int").alias("label")))
+    labels = cut_lineage(lookup(components, "root", numbers, "node", "inner").select("node", F.col("label").cast("int").alias("label")))
 
     # every row takes the label of its full cell, of itself, or of its first cluster
     cell_labels = ids.join(labels, ids["first_id"] == labels["node"]).select("cell", F.col("label").alias("cell_label"))
     known = labels.select(F.col("node").alias("other"), F.col("label").alias("other_label"))
     own = labels.select(F.col("node").alias("id"), F.col("label").alias("own_label"))
-    border = links.join(core, "id", "left_anti").join(known, "other").groupBy("id").agg(F.min("other_label").alias("own_label"))
+    border = lookup(links.join(core, "id", "left_anti"), "other", known, "id", "inner").groupBy("id").agg(F.min("other_label").alias("own_label"))
     point_labels = core.join(own, "id").unionByName(border)
     total = salted_join(points.select("id", "cell"), cell_labels, "cell", hot, F.col("id"), "left")
     total = total.join(point_labels, "id", "left")

@@ -77,6 +77,8 @@ SQL["missing_tokens"] = """SELECT c_custkey,
     'c_custkey:bigint,segmento:string,nacion:double' AS types FROM customer"""
 SQL["run_metadata"] = "SELECT 'supplier' AS source, count(*)::BIGINT AS n_rows, 3::BIGINT AS n_cols FROM supplier"
 
+SQL["display_times"] = """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'Fecha no disponible' WHEN 1 THEN 'pedido ' || o_orderkey
+    WHEN 2 THEN strftime(o_orderdate, '%d/%m/%Y 00:00') WHEN 3 THEN strftime(o_orderdate, '%d/%m/%Y 23:05') ELSE strftime(o_orderdate, '%d/%m/%Y 07:45') END AS generado FROM orders"""
 SQL["many_datasets"] = """SELECT 'supplier' AS source, count(*) AS n_rows, 4::BIGINT AS n_cols FROM supplier
     UNION ALL SELECT 'nation', count(*), 3::BIGINT FROM nation"""
 
@@ -145,7 +147,8 @@ SQL["profile_documents"] = tidy(
     ["missing_ratio"], PROFILE_COLUMNS,
 )
 SQL["profile_text_types"] = f"SELECT ord, name, logical_type, unique_count FROM ({TEXTS_PROFILE})"
-SQL["date_text_values"] = f"""SELECT o_orderkey, fecha, CASE WHEN casi_fecha = 'a-b' THEN NULL ELSE casi_fecha END AS casi_fecha FROM {TYPED_TEXTS}"""
+PARSED = "strftime(coalesce(try_strptime({0}, '%Y-%m-%d'), try_strptime({0}, '%d/%m/%Y %H:%M')), '%Y-%m-%d %H:%M') AS {0}"
+SQL["date_text_values"] = f"SELECT o_orderkey, {', '.join(PARSED.format(c) for c in ['fecha', 'fecha_hora', 'casi_fecha'])} FROM {TYPED_TEXTS}"
 
 
 def of_type(kind: str) -> str:
@@ -399,7 +402,7 @@ SQL["auto_k_planted"] = f"""SELECT count(DISTINCT label) AS k, any_value(s) AS s
 SQL["analysis_guards"] = f"""SELECT 'whole' AS caso, count(DISTINCT p_size) AS filas, 2::BIGINT AS pares, count(DISTINCT label) AS segmentos, 1::BIGINT AS metodos, true AS hallazgos FROM {PLANTED_PARTS}
     UNION ALL SELECT 'one_column', count(DISTINCT p_size), 0, 0, 1, true FROM part UNION ALL SELECT 'one_row', count(*), 2, 0, 1, true FROM part WHERE p_partkey = 1
     UNION ALL SELECT 'empty', count(*), 0, 0, 0, false FROM part WHERE p_partkey < 0 UNION ALL SELECT 'registry', 2, 0, 0, 3, false"""
-SQL["iforest_planted"] = "SELECT event_id, true AS is_isolation_forest FROM events WHERE event_id % 100 = 0"
+SQL["iforest_planted"] = "SELECT event_id, true AS is_isolation_forest, true AS above_others FROM events WHERE event_id % 100 = 0"
 SQL["iforest_planted_fraction"] = "SELECT event_id FROM events WHERE event_id % 100 = 0"
 
 SIZES = f"(SELECT label, count(*) AS size FROM {PARTS} GROUP BY label)"

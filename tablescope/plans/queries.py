@@ -181,6 +181,17 @@ def run_metadata(spark, folder):
     return tidy(report.metadata.select(F.lit("supplier").alias("source"), "n_rows", "n_cols"))
 
 
+@query
+def display_times(spark, folder):
+    """Times of several spellings as a report shows them."""
+    key, date = F.col("o_orderkey"), F.col("o_orderdate")
+    spelled = (
+        F.when(key % 5 == 0, None).when(key % 5 == 1, F.concat(F.lit("pedido "), key)).when(key % 5 == 2, F.date_format(date, "yyyy-MM-dd"))
+        .when(key % 5 == 3, F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit("T23:05:09.25+02:00"))).otherwise(F.concat(F.date_format(date, "yyyy-MM-dd"), F.lit(" 07:45")))
+    )
+    return table(spark, folder, "orders").select("o_orderkey", text.shown_time(spelled).alias("generado"))
+
+
 @query
 def many_datasets(spark, folder):
     """Two files and a missing one: the runs that succeed, with their sizes."""
@@ -316,8 +327,8 @@ def profile_text_types(spark, folder):
 @query
 def date_text_values(spark, folder):
     df = _typed_texts(spark, folder)
-    parsed = lambda c: F.date_format(profile.date_from_text(F.col(c)), "yyyy-MM-dd").alias(c)
-    return df.select("o_orderkey", parsed("fecha"), parsed("casi_fecha"))
+    parsed = lambda c: F.date_format(profile.date_from_text(F.col(c)), "yyyy-MM-dd HH:mm").alias(c)
+    return df.select("o_orderkey", parsed("fecha"), parsed("fecha_hora"), parsed("casi_fecha"))
 
 
 @query
@@ -707,9 +718,11 @@ def planted_signals(spark, folder) -> DataFrame:
 
 @query
 def iforest_planted(spark, folder):
-    """The rows planted far outside, as flagged by the automatic limit."""
+    """The rows planted far outside, as flagged by the automatic limit, and whether they score above all others."""
     found = iforest.isolation_forest_flags(planted_signals(spark, folder), ["value", "grupo.usuario"], "event_id")
-    return found.where("event_id % 100 = 0").select("event_id", "is_isolation_forest")
+    planted = F.col("event_id") % 100 == 0
+    ends = found.agg(F.max(F.when(~planted, F.col("iforest_score"))).alias("highest_other"))
+    return found.where(planted).crossJoin(F.broadcast(ends)).select("event_id", "is_isolation_forest", (F.col("iforest_score") > F.col("highest_other")).alias("above_others"))
 
 
 @query

@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..config import AnalysisConfig
 from ..errors import TablescopeError, UnknownMethodError
+from ..functions import text
 from ..functions.values import first_row_id, nan_to_null
 from ..operators import anomaly, clean, cluster, describe, features, insights, profile as profiling, relate, segments
 from ..session import Intermediates, cut_lineage
@@ -75,6 +76,10 @@ class Report:
     def categorical_columns(self) -> list[str]:
         return self.profile.names("categorical", "boolean")
 
+    def header(self) -> DataFrame:
+        """The size of the run and when it was, for display."""
+        return self.metadata.select("source", "n_rows", "n_cols", text.shown_time(F.col("generated_at")).alias("generado"))
+
     @_kept
     def categorical_summary(self) -> DataFrame:
         return describe.categorical_summary(self.data, self.categorical_columns)

@@ -5,9 +5,6 @@ import __spark_entry__ as contract
 from check import TABLES, rows_of
 from conftest import TESTDATA
 
-SLOW = {"dbscan_dense", "dbscan_labels", "full_report"}  # covered by their own tests
-
-
 @pytest.fixture(scope="module")
 def database():
     con = duckdb.connect()
@@ -25,7 +22,7 @@ def test_every_sql_belongs_to_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_its_sql(spark, database, name):
     df = contract.queries()[name](spark, TESTDATA)
     ours = rows_of(df.columns, df.collect())

@@ -1,7 +1,11 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from tablescope import errors, session
 from tablescope.config import AnalysisConfig
+from tablescope.functions import text
 from tablescope.errors import UnknownMethodError
 from tablescope.operators import segments
 from tablescope.plans.report import Analyzer, basic_statistics
@@ -126,3 +130,11 @@ def test_tables_go_with_the_innermost_holder(spark):
     outer.close()
     outer.close()
     assert folders(spark) == before
+
+
+def test_times_are_shown_by_their_own_clock(spark, report):
+    given = ["2024-03-05T17:08:59", "2024-03-05 17:08:59.5+09:00", "2024-03-05", "2024-03-05T17:08", "ayer", "2024-13-40", "2024", "", None]
+    shown = spark.createDataFrame([(i, g) for i, g in enumerate(given)], "i int, g string").select("i", text.shown_time(F.col("g")).alias("s")).orderBy("i")
+    assert [r["s"] for r in shown.collect()] == [*["05/03/2024 17:08"] * 2, "05/03/2024 00:00", "05/03/2024 17:08", "ayer", "2024-13-40", "2024", *["Fecha no disponible"] * 2]
+    row = report.header().collect()[0]
+    assert row["n_rows"] == 90 and re.fullmatch(r"\d\d/\d\d/\d{4} \d\d:\d\d", row["generado"])
