@@ -15,8 +15,8 @@ that equals it is scored too, as the tie may go to a smaller id.  The best k of
 the tasks' best k are the best k of all; all statistics are global.
 
 Terms are runs of ASCII letters, ASCII digits and non-ASCII characters; only
-A to Z are lower-cased.  Weights and scores are whole numbers, see
-:func:`weights` and :class:`Searcher`.
+A to Z are lower-cased; they are held as 64-bit hashes.  Weights and scores are
+whole numbers, see :func:`weights` and :class:`Searcher`.
 
 Queries are taken in blocks of about ``BLOCK_TERMS`` terms, so what is
 broadcast has a fixed bound; each block reads the index twice, for document
