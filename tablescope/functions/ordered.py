@@ -132,7 +132,7 @@ def rank_table(values: DataFrame, partitions: int | None = None) -> DataFrame:
     the tie-averaged rank.  Counted values are range-partitioned, so a
     partition holds a bounded part of the distinct values of any column.
     """
-    counts = cut_lineage(values.groupBy("v", "value").agg(F.count(F.lit(1)).alias("n")))
+    counts = values.groupBy("v", "value").agg(F.count(F.lit(1)).alias("n"))
     by = [F.col("v"), F.col("value")]
     ranged = counts.repartitionByRange(partitions, *by) if partitions else counts.repartitionByRange(*by)
     placed = cut_lineage(ranged.withColumn("part", F.spark_partition_id()))
@@ -144,13 +144,13 @@ def rank_table(values: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranked.select("v", "value", "n", "before", "total", (F.col("before") + (F.col("n") + 1) / 2).alias("avg_rank"))
 
 
-def with_ranks(values: DataFrame, spread: Column, partitions: int | None = None) -> DataFrame:
+def with_ranks(values: DataFrame, spread: Column, table: DataFrame) -> DataFrame:
     """Rows of ``(.., v, value)`` with ``avg_rank`` among the rows of the same ``v``.
 
-    One join by value for all columns.  The few hot values are broadcast; their
-    rows go to keys of their own, dealt by ``spread``, in the join of the others.
+    One join by value with ``table``, a written :func:`rank_table`, for all
+    columns.  The few hot values are broadcast; their rows go to keys of their
+    own, dealt by ``spread``, in the join of the others.
     """
-    table = cut_lineage(rank_table(values, partitions))
     hot = table.where(F.col("n") * HOT_SHARE > F.col("total")).select("v", "value", F.col("avg_rank").alias("hot_rank"))  # at most HOT_SHARE a column
     rest = table.where(F.col("n") * HOT_SHARE <= F.col("total")).select(F.col("v").alias("key"), "value", "avg_rank")
     rows = values.join(F.broadcast(hot), ["v", "value"], "left")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import AnalysisConfig
 from ..errors import UnknownMethodError
 from ..functions import text
-from ..functions.ordered import with_ranks
+from ..functions.ordered import rank_table, with_ranks
 from ..functions.values import as_double, col, numeric_frame, quoted, value_text
 from ..session import cut_lineage
 
@@ -26,6 +26,7 @@ FALLING = "Cuando {first} aumenta, {second} tiende a disminuir."
 PAIRS_PER_PASS = 300  # keeps one aggregate within sensible generated code
 COLUMNS_PER_PASS = 60  # numeric columns of one aggregate
 FEW_UNITS = 32  # brought back to their rows by one maximum each
+BROADCAST_RANKS = 500_000
 UNITS_PER_PASS = 400  # ranked columns of one pass
 LEAST_SHARE = 1e-6  # of the squares that the variance has to be, for sums to give it
 SUMS = ["n", "sa", "sb", "qa", "qb", "c"]  # of a pair: rows, values, squares, products
@@ -135,7 +136,9 @@ def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, partitions:
 
     A column is ranked once for each pattern of gaps among the columns, within
     the rows that have both; without gaps that is once.  All of them are ranked
-    together, one below another, and brought back to their rows by one shuffle.
+    together, one below another.  Ranks of at most ``BROADCAST_RANKS`` distinct
+    values come to the rows where they lie; beyond that all are joined by value
+    and brought back to their rows by one shuffle.
     """
     spark = df.sparkSession
     if len(cols) < 2:
@@ -154,13 +157,21 @@ def spearman(df: DataFrame, cols: list[str], diagonal: bool = False, partitions:
         todo = todo[len(entries) :]
         cells = [F.struct(F.lit(v).alias("v"), F.when(F.col(f"x{p}").isNotNull(), F.col(f"x{i}")).alias("value")) for (i, p), v in units.items()]
         values = numbers.withColumn("row", F.monotonically_increasing_id()).select("row", F.inline(F.array(*cells))).where(F.col("value").isNotNull())
-        ranked = with_ranks(values, F.col("row"), partitions)
-        if len(units) <= FEW_UNITS:
-            ranks = ranked.groupBy("row").agg(*[F.max(F.when(F.col("v") == v, F.col("avg_rank"))).alias(f"x{v}") for v in range(len(units))]).drop("row")
+        table = cut_lineage(rank_table(values, partitions))
+        if len(units) <= FEW_UNITS and table.count() <= BROADCAST_RANKS:
+            ranks = numbers.select(*[F.when(F.col(f"x{p}").isNotNull(), F.col(f"x{i}")).alias(f"u{v}") for (i, p), v in units.items()])
+            for v in range(len(units)):  # together at most BROADCAST_RANKS rows
+                own = table.where(F.col("v") == v).select(F.col("value").alias(f"u{v}"), F.col("avg_rank").alias(f"x{v}"))
+                ranks = ranks.join(F.broadcast(own), f"u{v}", "left")
+            ranks = ranks.select(*[f"x{v}" for v in range(len(units))])
         else:
-            ranks = ranked.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("v", "avg_rank"))).alias("r"))  # one row of the table
-            ranks = ranks.select(*[F.col("r")[v].alias(f"x{v}") for v in range(len(units))])
-        ranks = cut_lineage(ranks)
+            ranked = with_ranks(values, F.col("row"), table)
+            if len(units) <= FEW_UNITS:
+                ranks = ranked.groupBy("row").agg(*[F.max(F.when(F.col("v") == v, F.col("avg_rank"))).alias(f"x{v}") for v in range(len(units))]).drop("row")
+            else:
+                ranks = ranked.groupBy("row").agg(F.map_from_entries(F.collect_list(F.struct("v", "avg_rank"))).alias("r"))  # one row of the table
+                ranks = ranks.select(*[F.col("r")[v].alias(f"x{v}") for v in range(len(units))])
+            ranks = cut_lineage(ranks)
         frames.append(_all_pairs(ranks, len(units), entries, "spearman"))
     return _union(frames)
 

@@ -28,8 +28,9 @@ def test_pearson_is_pairwise_complete(gappy):
     check(relate.pearson(df, list(pdf.columns), diagonal=True), pdf.corr())
 
 
-@pytest.mark.parametrize("partitions", [None, 23])
-def test_spearman_ranks_each_pair(gappy, partitions):
+@pytest.mark.parametrize("partitions, broadcast", [(None, 500_000), (None, 0), (23, 0)])
+def test_spearman_ranks_each_pair(gappy, monkeypatch, partitions, broadcast):
+    monkeypatch.setattr(relate, "BROADCAST_RANKS", broadcast)
     df, pdf = gappy
     check(relate.spearman(df, ["a", "b", "c", "k"], diagonal=True, partitions=partitions), pdf[["a", "b", "c", "k"]].corr(method="spearman"))
 
