@@ -343,6 +343,13 @@ def test_wand_equals_full_scan():
         assert docs.tolist() == [d for _, d in best] and np.allclose(scores, [-s for s, _ in best])
 
 
+def test_rows_of_one_query_ask_each_term_once(spark):
+    docs = spark.createDataFrame([(20, "alpha alpha beta"), (20, "alpha gamma"), (3, "alpha delta")], "doc_id bigint, text string")
+    postings = bm25.index(docs)
+    asked = bm25.queries_from(docs.where("doc_id = 20"), bm25.frequencies(postings), 3, terms=None)
+    assert asked.count() == asked.select("query_id", "term").distinct().count() == 3
+
+
 def test_search_edges(odd, empty):
     postings = bm25.index(odd)
     n, mean = bm25.statistics(postings)
