@@ -12,6 +12,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.values import col
@@ -26,6 +27,17 @@ FILL = 0.9  # of a leaf that is cut no more, as the sample tells
 MOST_ROUNDS = 10
 GRID_ROWS = 32  # rows of a part per square root of all rows, for distance sums
 SAME = 1e-12  # relative slack of a bound, for the rounding of distances
+PAIR_CELLS = 500_000  # distances held at once
+LOOP_AXES = 4  # columns whose differences are taken one by one
+LOST = 1e-5  # of the squares, below which a squared distance is taken from differences
+FAR_AXES = 2  # columns for which distance sums go through the tree
+DIRECT_ROWS = 20_000  # distinct rows that all meet each other
+NEAR_ROWS = 700  # of a leaf of that tree
+MOST_LEAVES = 40_000  # boxes known to the driver
+FAR = 2.0  # half widths between two boxes whose points need not meet
+NODES = 14  # places of a grid along an axis
+CHEBYSHEV = np.cos((np.arange(NODES) + 0.5) * np.pi / NODES)
+TO_NODES = np.cos(np.arange(NODES)[:, None] * np.arccos(CHEBYSHEV)[None, :]) * np.where(np.arange(NODES) == 0, 1.0, 2.0)[:, None] / NODES
 
 
 def _axes(d: int) -> list[str]:
@@ -218,22 +230,65 @@ def kth_distances(scaled: DataFrame, cols: list[str], key: str, k: int, leaf_row
     return rows.join(settled, axes).select(F.col("key").alias(key), "k_distance")
 
 
+# --------------------------------------------------------------- distance sums
+def _pair_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Distances of all rows of x to all rows of y.
+
+    Many columns go through a matrix product; pairs so near that it would lose
+    digits are then taken from their differences.
+    """
+    if x.shape[1] <= LOOP_AXES:
+        d2 = np.zeros((len(x), len(y)))
+        for q in range(x.shape[1]):
+            gap = x[:, q, None] - y[None, :, q]
+            gap *= gap
+            d2 += gap
+        return np.sqrt(d2, out=d2)
+    size = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :]
+    d2 = x @ (-2.0 * y.T)
+    d2 += size
+    size *= LOST
+    near, at = np.nonzero(~(d2 > size))
+    step = max(1, PAIR_CELLS // x.shape[1])
+    for s in range(0, len(near), step):
+        gap = x[near[s : s + step]] - y[at[s : s + step]]
+        d2[near[s : s + step], at[s : s + step]] = (gap * gap).sum(axis=1)
+    return np.sqrt(d2, out=d2)
+
+
+def _members(label: np.ndarray, n: np.ndarray, groups: dict[str, int]) -> np.ndarray:
+    """Per row and group the number of equal rows in it; ``label`` has a column per labelling."""
+    n = n.astype(float)[:, None]
+    return np.concatenate([(label[:, k, None] == np.arange(m)[None, :]) * n for k, m in enumerate(groups.values())], axis=1)
+
+
 def distance_sums(labelled: DataFrame, cols: list[str], groups: dict[str, int], block_rows: int | None = None) -> DataFrame:
-    """Per row the sums of its distances to the members of every group.
+    """``(id, *groups, n, sums)``: per row the sums of its distances to the members of every group.
 
     ``groups`` names the label columns and their number of groups, numbered
-    from 0; a label below 0 is in no group.  Every part meets every part once,
-    as the sums are defined over all pairs of rows.  The parts grow with the
-    square root of the table, and so does the number of copies of a row.
+    from 0; a label below 0 is in no group.  Rows of one or two columns that
+    are equal come once, with their number ``n``.  More than ``DIRECT_ROWS``
+    of those go through a tree; otherwise every row meets every row.
     """
     axes, labels = _axes(len(cols)), list(groups)
-    rows = labelled.select(F.monotonically_increasing_id().alias("id"), *[col(c).cast("double").alias(x) for c, x in zip(cols, axes)], *[col(c) for c in labels])
-    rows = cut_lineage(rows)
-    n = rows.count()
+    flat = len(cols) <= FAR_AXES
+    rows = labelled.select(*[(col(c).cast("double") + 0.0).alias(x) for c, x in zip(cols, axes)], *[col(c) for c in labels])
+    rows = rows.groupBy(*axes, *[col(c) for c in labels]).agg(F.count(F.lit(1)).alias("n")) if flat else rows.withColumn("n", F.lit(1).cast("bigint"))
+    rows = cut_lineage(rows.withColumn("id", F.monotonically_increasing_id()))
+    most = F.greatest(*[F.abs(x) for x in axes], F.lit(0.0))
+    n, finite = rows.agg(F.count(F.lit(1)), F.count_if((most < math.inf) & F.concat(*[F.col(x).cast("string") for x in axes]).isNotNull())).first()
+    if flat and not block_rows and n > DIRECT_ROWS and n == finite:
+        return _tree_sums(rows, n, axes, groups)
+    return _all_pairs_sums(rows, n, axes, groups, block_rows)
+
+
+def _all_pairs_sums(rows: DataFrame, n: int, axes: list[str], groups: dict[str, int], block_rows: int | None) -> DataFrame:
+    """Every part meets every part once; the parts grow with the square root of the table, and so does the number of copies of a row."""
+    labels = list(groups)
     parts = max(1, math.ceil(n / max(block_rows or LEAF_ROWS, 0 if block_rows else GRID_ROWS * math.sqrt(n))))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("other")
     placed = rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).select("*", other)
-    placed = placed.select("id", *axes, *[col(c) for c in labels], "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    placed = placed.select("id", "n", *axes, *[col(c) for c in labels], "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
     width = sum(groups.values())
 
     def against(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -241,19 +296,128 @@ def distance_sums(labelled: DataFrame, cols: list[str], groups: dict[str, int],
         a = pdf[pdf["part"] == i]
         b = a if i == j else pdf[pdf["part"] == j]
         x, y = a[axes].to_numpy(float), b[axes].to_numpy(float)
-        member = [np.concatenate([(p[g].to_numpy()[:, None] == np.arange(m)[None, :]).astype(float) for g, m in groups.items()], axis=1) for p in (a, b)]
-        left, right, step = np.zeros((len(x), width)), np.zeros((len(y), width)), max(1, 4_000_000 // max(1, len(y)))
+        middle = y.mean(axis=0) if len(y) else 0.0
+        x, y = x - middle, y - middle
+        member = [_members(p[labels].to_numpy(), p["n"].to_numpy(), groups) for p in (a, b)]
+        left, right, step = np.zeros((len(x), width)), np.zeros((len(y), width)), max(1, PAIR_CELLS // max(1, len(y)))
         for s in range(0, len(x), step):
-            d2 = np.zeros((len(x[s : s + step]), len(y)))
-            for q in range(x.shape[1]):
-                gap = x[s : s + step, q, None] - y[None, :, q]
-                d2 += gap * gap
-            np.sqrt(d2, out=d2)
-            left[s : s + step] = d2 @ member[1]
-            right += d2.T @ member[0][s : s + step]
+            distance = _pair_distances(x[s : s + step], y)
+            left[s : s + step] = distance @ member[1]
+            if i != j:
+                right += distance.T @ member[0][s : s + step]
         out = [(a, left)] if i == j else [(a, left), (b, right)]
         return pd.DataFrame(np.concatenate([v for _, v in out]), columns=[f"s{g}" for g in range(width)]).assign(id=np.concatenate([p["id"].to_numpy() for p, _ in out]))
 
     partial = placed.groupBy("i", "j").applyInPandas(against, "".join(f"s{g} double, " for g in range(width)) + "id bigint")
     summed = partial.groupBy("id").agg(F.array(*[F.sum(f"s{g}") for g in range(width)]).alias("sums"))  # combined in the task first
-    return rows.select("id", *labels).join(summed, "id")
+    return rows.select("id", *[col(c) for c in labels], "n").join(summed, "id")
+
+
+def _basis(x: np.ndarray, box: np.ndarray) -> np.ndarray:
+    """Per row the values of the polynomials that are one at a node of the grid of ``box`` and zero at its other nodes."""
+    out = np.ones((len(x), 1))
+    for axis in range(x.shape[1]):
+        lo, hi = box[:, axis]
+        half = (hi - lo) / 2
+        t = np.clip((x[:, axis] - (lo + hi) / 2) / half, -1, 1) if half > 0 else np.zeros(len(x))
+        at = np.cos(np.arange(NODES) * np.arccos(t)[:, None]) @ TO_NODES
+        out = (out[:, :, None] * at[:, None, :]).reshape(len(x), -1)
+    return out
+
+
+def _nodes(box: np.ndarray) -> np.ndarray:
+    """The points of the grid of a box, in the order of :func:`_basis`."""
+    middle, half = box.mean(axis=0), (box[1] - box[0]) / 2
+    return np.stack([g.ravel() for g in np.meshgrid(*[m + h * CHEBYSHEV for m, h in zip(middle, half)], indexing="ij")], axis=1)
+
+
+def _meetings(leaf: np.ndarray, low: np.ndarray, high: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """Pairs of nodes far apart, pairs of leaves that are not, both in both orders, and the boxes of the nodes.
+
+    Node ``2**level + code`` has the leaves whose first ``level`` bits are
+    ``code``.  Together the pairs hold every pair of leaves once.
+    """
+    order = np.argsort(leaf)
+    leaf, low, high = leaf[order], low[order], high[order]
+    i = j = np.zeros(1, np.int64)
+    far, boxes = [], {}
+    for level in range(bits + 1):
+        code, first = np.unique(leaf >> (bits - level), return_index=True)
+        lo, hi = np.minimum.reduceat(low, first), np.maximum.reduceat(high, first)
+        name = code + (1 << level)
+        half = ((hi - lo) / 2).max(axis=1)
+        gap = np.maximum(np.maximum(lo[i] - hi[j], lo[j] - hi[i]), 0.0)
+        apart = np.sqrt((gap * gap).sum(axis=1)) >= FAR * np.maximum(half[i], half[j])
+        far.append(np.stack([name[i[apart]], name[j[apart]]], axis=1))
+        boxes |= {int(m): np.stack([lo[k], hi[k]]) for k, m in enumerate(name)}
+        i, j = i[~apart], j[~apart]
+        if level < bits:
+            below = np.unique(leaf >> (bits - level - 1))
+            child = np.searchsorted(below >> 1, code)
+            more = np.diff(np.append(child, len(below))) == 2
+            i, j = (np.concatenate(v) for v in zip(*[(child[i[m]] + a, child[j[m]] + b) for a in (0, 1) for b in (0, 1) for m in [(more[i] | (a == 0)) & (more[j] | (b == 0))]]))
+    far = np.concatenate(far)
+    return far, np.stack([leaf[i], leaf[j]], axis=1), {k: boxes[k] for k in np.unique(far).tolist()}
+
+
+def _tree_sums(rows: DataFrame, n: int, axes: list[str], groups: dict[str, int]) -> DataFrame:
+    """Sums over leaves that are near taken row by row, over nodes that are far through polynomials of distance.
+
+    Between two boxes whose gap is at least ``FAR`` times their half widths,
+    distance is a smooth function: it equals the polynomial through its values
+    on a grid of ``NODES`` places an axis up to less than 1e-10 of itself.  So
+    the rows of a node act as weights at its grid, and what a node receives
+    is known from the values at its own.  Work grows with the rows.
+    """
+    spark, labels, width, d = rows.sparkSession, list(groups), sum(groups.values()), len(axes)
+    points, bits = tree(rows.withColumnRenamed("n", "times"), d, max(NEAR_ROWS, n // MOST_LEAVES))
+    points = points.withColumnRenamed("times", "n")
+    ends = [f(x) for f in (F.min, F.max) for x in axes]
+    found = np.array([tuple(r) for r in points.groupBy("leaf").agg(*ends).collect()], dtype=object)  # one row per leaf
+    leaf, box = found[:, 0].astype(np.int64), found[:, 1:].astype(float)
+    far, near, boxes = _meetings(leaf, box[:, :d], box[:, d:], bits)
+    above = np.stack([(leaf >> (bits - level)) + (1 << level) for level in range(bits + 1)], axis=1)
+    pairs = lambda some, *names: spark.createDataFrame(pa.table({c: some[:, k] for k, c in enumerate(names)}))
+
+    def weigh(pdf: pd.DataFrame) -> pd.DataFrame:
+        code, x, member = int(pdf["leaf"].iloc[0]), pdf[axes].to_numpy(float), _members(pdf[labels].to_numpy(), pdf["n"].to_numpy(), groups)
+        mine = [m for m in ((code >> (bits - level)) + (1 << level) for level in range(bits + 1)) if m in boxes]
+        return pd.DataFrame({"node": pd.Series(mine, dtype="int64"), "w": [(_basis(x, boxes[m]).T @ member).tobytes() for m in mine]})
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"node": pdf["node"].iloc[:1], "w": [sum(np.frombuffer(w) for w in pdf["w"]).tobytes()]})
+
+    def receive(pdf: pd.DataFrame) -> pd.DataFrame:
+        at, got = _nodes(boxes[int(pdf["i"].iloc[0])]), 0.0
+        for j, w in zip(pdf["j"].tolist(), pdf["w"]):
+            got = got + _pair_distances(at, _nodes(boxes[j])) @ np.frombuffer(w).reshape(-1, width)
+        return pd.DataFrame({"node": pdf["i"].iloc[:1], "got": [got.tobytes()]})
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        parts = {"x": pdf[axes].to_numpy(float), "g": pdf[labels].to_numpy(np.int64), "n": pdf["n"].to_numpy(np.int64), "id": pdf["id"].to_numpy(np.int64)}
+        return pd.DataFrame({"leaf": pdf["leaf"].iloc[:1], **{c: [v.tobytes()] for c, v in parts.items()}})
+
+    def settle(pdf: pd.DataFrame, received: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf["id"].tolist()
+        own = next(k for k, v in enumerate(ids) if v is not None)
+        spots, marks, counts = [np.frombuffer(v).reshape(-1, d) for v in pdf["x"]], [np.frombuffer(v, np.int64).reshape(-1, len(labels)) for v in pdf["g"]], [np.frombuffer(v, np.int64) for v in pdf["n"]]
+        x = spots[own]
+        sums = np.zeros((len(x), width))
+        for y, mark, count in zip(spots, marks, counts):
+            member, step = _members(mark, count, groups), max(1, PAIR_CELLS // len(y))
+            for s in range(0, len(x), step):
+                sums[s : s + step] += _pair_distances(x[s : s + step], y) @ member
+        for node, got in zip(received["node"].tolist(), received["got"]):
+            sums += _basis(x, boxes[node]) @ np.frombuffer(got).reshape(-1, width)
+        return pd.DataFrame(marks[own], columns=labels).assign(n=counts[own], id=np.frombuffer(ids[own], np.int64), sums=list(sums))
+
+    weights = cut_lineage(points.groupBy("leaf").applyInPandas(weigh, "node bigint, w binary")).groupBy("node").applyInPandas(total, "node bigint, w binary")
+    met = pairs(far, "i", "j").join(cut_lineage(weights), F.col("j") == F.col("node")).select("i", "j", "w")
+    received = cut_lineage(met.groupBy("i").applyInPandas(receive, "node bigint, got binary"))
+    owners = pairs(np.stack([np.repeat(leaf, bits + 1), above.ravel()], axis=1), "i", "node")
+    received = owners.join(received, "node").select("i", "node", "got")
+    # rows of a leaf go as one, so a copy costs its bytes only
+    packed = cut_lineage(points.groupBy("leaf").applyInPandas(pack, "leaf bigint, x binary, g binary, n binary, id binary"))
+    close = pairs(near, "i", "j").join(packed, F.col("j") == F.col("leaf")).select("i", "j", "x", "g", "n", F.when(F.col("i") == F.col("j"), F.col("id")).alias("id"))
+    kinds = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in labels)
+    return close.groupBy("i").cogroup(received.groupBy("i")).applyInPandas(settle, f"{kinds}n bigint, id bigint, sums array<double>")

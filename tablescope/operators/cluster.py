@@ -81,8 +81,9 @@ def choose_k(
 ) -> tuple[int, dict[int, float]]:
     """k with the highest Euclidean silhouette, the smallest on ties; 2 by default.
 
-    Every row takes part; a caller who cannot afford the quadratic silhouette
-    names a ``sample_rows``, which then holds at any size.
+    Every row takes part; a caller who cannot afford the silhouette of many
+    columns, which is quadratic, names a ``sample_rows``, which then holds at
+    any size.
     """
     rows = hash_sample(scaled, key, sample_rows, seed)
     n_rows = rows.count()
@@ -107,9 +108,10 @@ def silhouettes(
 ) -> dict[str, tuple[float | None, int]]:
     """Mean Euclidean silhouette and rows used, for several labellings at once.
 
-    Noise (-1) is left out.  Every row meets every row, which is the
-    definition and takes quadratic time; with ``sample_rows`` the score is an
-    estimate over a hash sample of about that many rows.
+    Noise (-1) is left out.  One or two columns take time that grows with the
+    rows; with more of them every row meets every row, which is quadratic.
+    With ``sample_rows`` the score is an estimate over a hash sample of about
+    that many rows.
     """
     rows = hash_sample(labelled, key, sample_rows, seed)
     counts = {c: {r[0]: r[1] for r in rows.groupBy(col(c)).count().collect()} for c in label_cols}  # one row per group
@@ -140,7 +142,7 @@ def silhouettes(
         other = F.array_min(F.array(*means))
         top = F.greatest(within, other)
         value = F.when((size > 1) & (top > 0), (other - within) / top).otherwise(0.0)
-        cells.append(F.avg(F.when(own >= 0, value)).alias(f"s{i}"))
+        cells.append((F.sum(F.when(own >= 0, value * F.col("n"))) / F.sum(F.when(own >= 0, F.col("n")))).alias(f"s{i}"))
         start += len(names)
     row = sums.agg(*cells).first()
     for i, (c, names) in enumerate(numbers.items()):

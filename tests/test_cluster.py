@@ -243,3 +243,45 @@ def test_dbscan_of_rows_named_by_text(spark):
     rows = [(f"r{i}", float(i % 3 * 10) + i / 100) for i in range(30)] + [("x", 99.0)]
     got = dbscan.dbscan(spark.createDataFrame(rows, "name string, v double"), ["v"], "name", 1.0, 5).toPandas().set_index("name").label
     assert got["x"] == -1 and got["r0"] == 0 and set(got) == {-1, 0, 1, 2} and len(got) == 31
+
+
+@pytest.mark.parametrize("d", [1, 2])
+def test_distance_sums_through_the_tree(spark, monkeypatch, d):
+    """Rows in groups, on lines, far away and equal: the sums are those of all pairs, from a fraction of the pairs."""
+    rng = np.random.default_rng(d)
+    spots = np.concatenate([rng.normal(0, 1, (1500, d)), rng.normal(0, 1e-3, (500, d)) + 3, np.stack([rng.uniform(-5, 5, 700), np.full(700, 2.0)], axis=1)[:, :d], np.full((200, d), 7.0), np.full((1, d), 1e4)])
+    labels = rng.integers(-1, 3, (len(spots), 2))
+    monkeypatch.setattr(blocks, "DIRECT_ROWS", 100)
+    monkeypatch.setattr(blocks, "NEAR_ROWS", 30)
+    met, plain = [], blocks._meetings
+    monkeypatch.setattr(blocks, "_meetings", lambda *a: met.append(plain(*a)) or met[-1])
+    names = ["a", "b"][:d]
+    df = spark.createDataFrame([(*map(float, p), *map(int, g)) for p, g in zip(spots, labels)], ", ".join(f"{c} double" for c in names) + ", g int, h int")
+    got = blocks.distance_sums(df, names, {"g": 3, "h": 3}).collect()
+    assert len(met) == 1 and len(met[0][1]) < 0.5 * len(np.unique(met[0][1])) ** 2
+    assert sum(r["n"] for r in got) == len(spots)
+    distance = np.sqrt(((spots[:, None] - spots[None]) ** 2).sum(axis=2))
+    want = np.concatenate([np.stack([distance[:, labels[:, k] == g].sum(axis=1) for g in range(3)], axis=1) for k in (0, 1)], axis=1)
+    order = lambda table: table[np.lexsort(np.round(table, 5).T)]
+    assert np.allclose(order(np.repeat([r["sums"] for r in got], [r["n"] for r in got], axis=0)), order(want), rtol=1e-10, atol=0)
+
+
+def test_distances_of_many_columns_keep_their_digits():
+    rng = np.random.default_rng(8)
+    x = rng.normal(0, 1, (40, 64))
+    y = np.concatenate([x, x + 1e-7, rng.normal(0, 1, (20, 64))])
+    want = np.sqrt(((x[:, None] - y[None]) ** 2).sum(axis=2))
+    assert np.allclose(blocks._pair_distances(x, y), want, rtol=1e-10, atol=0)
+
+
+def test_silhouette_of_nine_columns(spark):
+    """Equal rows and rows far from the origin."""
+    rng = np.random.default_rng(5)
+    points, labels = np.concatenate([rng.normal(0, 1, (80, 9)), np.ones((20, 9))]) + 1e3, rng.integers(0, 2, 100)
+    cols = [f"v{i}" for i in range(9)]
+    df = spark.createDataFrame([(i, *map(float, p), int(g)) for i, (p, g) in enumerate(zip(points, labels))], "k bigint, " + ", ".join(f"{c} double" for c in cols) + ", label int")
+    distance = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    sums = np.stack([distance[:, labels == g].sum(axis=1) for g in (0, 1)], axis=1)
+    size, at = np.bincount(labels), np.arange(100)
+    within, outside = sums[at, labels] / (size[labels] - 1), sums[at, 1 - labels] / size[1 - labels]
+    assert cluster.silhouettes(df, cols, "k", ["label"])["label"][0] == pytest.approx(np.mean((outside - within) / np.maximum(outside, within)), abs=1e-10)
