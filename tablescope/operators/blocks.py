@@ -28,6 +28,7 @@ MOST_ROUNDS = 10
 GRID_ROWS = 32  # rows of a part per square root of all rows, for distance sums
 SAME = 1e-12  # relative slack of a bound, for the rounding of distances
 PAIR_CELLS = 500_000  # distances held at once
+NEAR_CELLS = 32_000  # the same between near leaves, few enough for the cache of a core
 LOOP_AXES = 4  # columns whose differences are taken one by one
 LOST = 1e-5  # of the squares, below which a squared distance is taken from differences
 FAR_AXES = 2  # columns for which distance sums go through the tree
@@ -404,7 +405,7 @@ def _tree_sums(rows: DataFrame, n: int, axes: list[str], groups: dict[str, int])
         x = spots[own]
         sums = np.zeros((len(x), width))
         for y, mark, count in zip(spots, marks, counts):
-            member, step = _members(mark, count, groups), max(1, PAIR_CELLS // len(y))
+            member, step = _members(mark, count, groups), max(1, NEAR_CELLS // len(y))
             for s in range(0, len(x), step):
                 sums[s : s + step] += _pair_distances(x[s : s + step], y) @ member
         for node, got in zip(received["node"].tolist(), received["got"]):
